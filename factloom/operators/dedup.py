@@ -21,10 +21,14 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     """The first row of each key.
 
     The planner puts a group limit before the shuffle, so a hot key sends one row per
-    input task and never gathers in one place.
+    input task and never gathers in one place. The leading hash changes no group; it
+    gives the sorts a distinctive number where zero-padded keys all begin alike.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+    window = Window.partitionBy("_hash", *keys).orderBy(*order)
+    numbered = df.withColumn("_hash", F.xxhash64(*keys)).withColumn(
+        "_rn", F.row_number().over(window)
+    )
+    return numbered.filter("_rn = 1").drop("_rn", "_hash")
 
 
 def latest_per_key(facts: DataFrame, include_start: bool = False) -> DataFrame:
@@ -68,48 +72,42 @@ def with_calendar(df: DataFrame) -> DataFrame:
 def resolve_filings(facts: DataFrame) -> DataFrame:
     """`prefer_form(latest_per_key(facts))` in one aggregation, plus `normalized_value`.
 
-    Which row wins depends only on the latest row of each of a few form classes, so each
+    Which row wins depends only on the latest row of each of five form classes, so each
     class is one maximum of a struct that starts with the recency columns. Maxima combine
     before the shuffle: a key moves one row per input task however many filings it has,
-    and both steps and the restated value share a single exchange.
+    and both steps and the restated value share a single exchange. As in `first_per_key`,
+    the hash is only there for the sort.
 
     `normalized_value` is the latest value of the winner's form, amendments included.
     """
     payload = [c for c in facts.columns if c not in PERIOD_KEY and c not in RECENCY]
-    row = F.struct(*RECENCY, *payload)
-    form = F.col("form_type")
-    base = base_form("form_type")
-
-    def latest(condition: Column | None = None) -> Column:
-        return F.max(row if condition is None else F.when(condition, row))
-
-    value = F.struct(*RECENCY)
-    best = facts.groupBy(*PERIOD_KEY).agg(
-        latest().alias("any_form"),
-        latest(form == "10-Q").alias("quarterly"),
-        latest(form == "10-K").alias("annual"),
-        F.max(F.when(base == "10-Q", value)).alias("quarterly_amended"),
-        F.max(F.when(base == "10-K", value)).alias("annual_amended"),
-    )
-    last_quarter = fiscal_quarter("period_end") == 4
-    preferred_quarterly = F.when(~last_quarter, F.col("quarterly"))
-    preferred_annual = F.when(
-        last_quarter | (F.col("annual.fiscal_period_label") == "FY"), F.col("annual")
-    )
-    winner = F.coalesce(F.greatest(preferred_quarterly, preferred_annual), F.col("any_form"))
-    picked = best.withColumn("w", winner)
-    normalized = (
-        F.when(F.col("w.form_type") == "10-Q", F.col("quarterly_amended.reported_value"))
-        .when(F.col("w.form_type") == "10-K", F.col("annual_amended.reported_value"))
-        .otherwise(F.col("w.reported_value"))
+    row = f"struct({', '.join([*RECENCY, *payload])})"
+    classes = {
+        "quarterly": "form_type = '10-Q'",
+        "annual": "form_type = '10-K'",
+        "quarterly_amended": "form_type = '10-Q/A'",
+        "annual_amended": "form_type = '10-K/A'",
+        "other": "coalesce(form_type NOT IN ('10-Q', '10-K', '10-Q/A', '10-K/A'), true)",
+    }
+    latest = facts.groupBy(F.expr(f"xxhash64({', '.join(PERIOD_KEY)})").alias("_hash"), *PERIOD_KEY).agg(
+        *[F.expr(f"max(CASE WHEN {c} THEN {row} END)").alias(n) for n, c in classes.items()]
     )
-    names = [c for c in facts.columns if c not in PERIOD_KEY]
-    resolved = picked.select(
+    winner = f"""coalesce(
+        greatest(CASE WHEN quarter(period_end) < 4 THEN quarterly END,
+                 CASE WHEN quarter(period_end) = 4 OR annual.fiscal_period_label = 'FY'
+                      THEN annual END),
+        greatest({', '.join(classes)}))"""
+    normalized = """CASE w.form_type
+        WHEN '10-Q' THEN greatest(quarterly, quarterly_amended).reported_value
+        WHEN '10-K' THEN greatest(annual, annual_amended).reported_value
+        ELSE w.reported_value END"""
+    return latest.withColumn("w", F.expr(winner)).selectExpr(
         *PERIOD_KEY,
-        *[F.col(f"w.{n}").alias(n) for n in names],
-        normalized.alias("normalized_value"),
+        *[f"w.{c} AS {c}" for c in facts.columns if c not in PERIOD_KEY],
+        "quarter(period_end) AS calendar_quarter",
+        "year(period_end) AS period_year",
+        f"{normalized} AS normalized_value",
     )
-    return with_calendar(resolved)
 
 
 def latest_load_per_company(raw: DataFrame) -> DataFrame:

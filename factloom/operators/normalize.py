@@ -8,23 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _lookup(seed: DataFrame) -> DataFrame:
-    # One row per synonym, so the lookup never multiplies facts.
-    return seed.groupBy("synonym_tag").agg(F.min("canonical_tag").alias("_canonical"))
-
-
 def normalize_tag(
     seed: DataFrame, tag: str = "raw_concept", output: str = "canonical_concept"
 ) -> Callable[[DataFrame], DataFrame]:
     """Synonym tag -> canonical tag; unknown tags pass through unchanged.
 
+    `seed` has one row per synonym (see `seeds.synonyms`), so facts never multiply.
     No broadcast hint: the planner knows the size of the seed and broadcasts it when it is
     below its threshold, and joins by sort-merge with skew handling when it is not.
     """
 
     def apply(df: DataFrame) -> DataFrame:
-        lookup = _lookup(seed)
-        joined = df.join(lookup, df[tag] == lookup["synonym_tag"], "left")
+        lookup = seed.selectExpr("synonym_tag", "canonical_tag AS _canonical")
+        joined = df.join(lookup, F.col(tag) == F.col("synonym_tag"), "left")
         return joined.withColumn(output, F.coalesce("_canonical", tag)).drop(
             "synonym_tag", "_canonical"
         )
@@ -42,6 +38,6 @@ def tracked_only(
     """Keep rows whose tag the seed lists; an empty seed keeps none."""
 
     def apply(df: DataFrame) -> DataFrame:
-        return df.join(seed, df[tag] == seed["synonym_tag"], "left_semi")
+        return df.join(seed.select("synonym_tag"), F.col(tag) == F.col("synonym_tag"), "left_semi")
 
     return apply

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from factloom.functions import value_type
 from factloom.operators.dedup import latest_per_key, prefer_form, resolve_filings
 from factloom.operators.extract import extracted_facts, usable_facts
 from factloom.operators.normalize import normalize_tag
@@ -20,7 +18,7 @@ SILVER_COLUMNS = (
 
 def facts_from_rows(rows: DataFrame, seed: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Typed rows (with `form_raw`) filtered and normalised like the entries of a document."""
-    typed = rows.select(
+    typed = rows.selectExpr(
         "cik",
         "entity_name",
         "raw_concept",
@@ -28,10 +26,10 @@ def facts_from_rows(rows: DataFrame, seed: DataFrame, params: Params = DEFAULTS)
         "period_start",
         "period_end",
         "accession_number",
-        F.upper("form_raw").alias("form_type"),
+        "upper(form_raw) AS form_type",
         "filed_date",
         "fiscal_period_label",
-        value_type("period_start").alias("value_type"),
+        "if(period_start IS NULL, 'instant', 'duration') AS value_type",
     )
     return normalize_tag(seed)(usable_facts(typed, params))
 

@@ -66,7 +66,7 @@ def bronze_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_submissions(spark: SparkSession, folder: str) -> DataFrame:
-    texts = tables.submission_documents(spark, folder).select("loaded_at", "document")
+    texts = tables.submission_documents(spark, folder)
     parsed = F.from_json("document", docs.SUBMISSIONS_DOCUMENT)
     expanded = texts.select("loaded_at", parsed.alias("d")).select("loaded_at", "d.*")
     return docs.raw_submissions(expanded, F.col("loaded_at"))
@@ -248,7 +248,7 @@ CTES = {
                CASE WHEN c_nationkey < 10 THEN 'NYSE' WHEN c_nationkey < 20 THEN 'Nasdaq' END
                    AS primary_exchange,
                1704067200 + part * 3600 AS loaded_seconds
-        FROM (SELECT DISTINCT o_custkey, o_orderkey // 4096 AS part FROM orders)
+        FROM (SELECT DISTINCT o_custkey, o_orderkey // 262144 * 2 + o_orderkey % 2 AS part FROM orders)
         JOIN customer ON c_custkey = o_custkey)""",
     "companies": """companies AS (
         SELECT * FROM submissions

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from factloom.operators.companies import companies, flatten_filings, last_filing
 from factloom.plans import anomalies, gold, reports
 from factloom.registry.base import bronze_submissions, facts, query, rows, silver, sql
+from factloom.session import stored
 from factloom.sources import seeds
 
 
 def _company_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    raw = bronze_submissions(spark, folder)
-    filings = flatten_filings(raw)
-    as_of = filings.agg(F.max("filed_date")).scalar()
-    return gold.dim_companies(companies(raw), last_filing(filings), as_of)
+    raw = stored(spark, bronze_submissions(spark, folder), "raw_submissions")
+    last = stored(spark, last_filing(flatten_filings(raw)), "last_filings")
+    as_of = last.agg(F.max("last_filed")).scalar()
+    return gold.dim_companies(companies(raw), last, as_of)
 
 
 @query("dim_companies", sql("""
@@ -67,7 +68,7 @@ _STAR_SQL = """
 
 
 def _star(spark: SparkSession, folder: str, how: str) -> DataFrame:
-    resolved = silver(spark, folder)
+    resolved = stored(spark, silver(spark, folder), "silver")
     joined = gold.star_join(
         gold.fact_financials(resolved),
         companies(bronze_submissions(spark, folder)),
@@ -116,14 +117,14 @@ def yoy_same_quarter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("trailing_stats", sql(f"""
-    {_PERIOD_SQL}, CASE WHEN prior_rows = 8 THEN round(mean8, 2) END AS trailing_mean,
-           CASE WHEN prior_rows = 8 THEN round(dev8, 2) END AS trailing_stddev
+    {_PERIOD_SQL}, CASE WHEN prior_rows = 8 THEN round(mean8, 6) END AS trailing_mean,
+           CASE WHEN prior_rows = 8 THEN round(dev8, 3) END AS trailing_stddev
     FROM trailing8""", "trailing8"))
 def trailing_stats(spark: SparkSession, folder: str) -> DataFrame:
     return anomalies.trailing_stats(silver(spark, folder)).select(
         "cik", "canonical_concept", "period_end",
-        F.round("trailing_mean", 2).alias("trailing_mean"),
-        F.round("trailing_stddev", 2).alias("trailing_stddev"),
+        F.round("trailing_mean", 6).alias("trailing_mean"),
+        F.round("trailing_stddev", 3).alias("trailing_stddev"),
     )
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from factloom.operators import quality
 from factloom.params import DEFAULTS
 from factloom.plans import gold
-from factloom.registry.base import facts, query, rows, silver, sql
+from factloom.plans.silver import silver_financials
+from factloom.registry.base import facts, query, rows, sql
+from factloom.session import stored
 from factloom.sources import seeds
 from factloom.sources.tables import table
 
@@ -103,7 +105,8 @@ def dq_freshness(spark: SparkSession, folder: str) -> DataFrame:
           UNION ALL SELECT 'revenue not negative', 0
           UNION ALL SELECT 'values finite', 0)""", "facts", "concepts"))
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
-    all_facts, resolved = facts(spark, folder), silver(spark, folder)
+    all_facts = stored(spark, facts(spark, folder), "facts")
+    resolved = stored(spark, silver_financials(all_facts), "silver")
     key = ["cik", "canonical_concept", "period_end"]
     concepts = gold.dim_gaap_concepts(seeds.synonyms(spark))
     required = ["cik", "period_start", "period_end", "reported_value", "filed_date"]

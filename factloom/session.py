@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -20,6 +20,9 @@ def build_session(app: str = "factloom", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Recording the call site of every column expression costs several round trips
+        # to the JVM each; error messages without it still name the expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
@@ -45,3 +48,14 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path of its own for one run, below the shared folder."""
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a relation that several steps read to the shared folder and read it back.
+
+    The steps then start from storage: nothing is computed twice, and a lost executor
+    costs the step at hand instead of everything before it.
+    """
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

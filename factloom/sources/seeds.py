@@ -7,6 +7,7 @@ from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.schemas import COMPANY_SEED, SYNONYM_SEED
@@ -25,10 +26,21 @@ def _packaged(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame
     return spark.createDataFrame(pa.Table.from_pylist(list(rows), schema=fields))
 
 
+def unique_synonyms(seed: DataFrame) -> DataFrame:
+    """The first row of each synonym by canonical tag."""
+    rest = ["canonical_tag", "statement_type", "display_label"]
+    first = seed.groupBy("synonym_tag").agg(F.min(F.struct(*rest)).alias("r"))
+    return first.select("r.canonical_tag", "synonym_tag", "r.statement_type", "r.display_label")
+
+
 def synonyms(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """canonical_tag, synonym_tag, statement_type, display_label."""
+    """canonical_tag, synonym_tag, statement_type, display_label; one row per synonym_tag.
+
+    The packaged seed is unique as it stands. One from elsewhere is made so here, once,
+    so that no lookup has to.
+    """
     if path:
-        return read_seed(spark, path, SYNONYM_SEED)
+        return unique_synonyms(read_seed(spark, path, SYNONYM_SEED))
     return _packaged(spark, "gaap_tag_synonyms.csv", SYNONYM_SEED)
 
 

@@ -5,56 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.functions import pad_identifier
+# Declared, so that opening a table reads no file footer.
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
 
-# A derived document covers at most this many consecutive order keys.
-ORDERS_PER_DOCUMENT = 4096
+# A derived document covers orders of one such range of keys, which bounds its size
+# however many orders its company has.
+KEYS_PER_FACTS_DOCUMENT = 4096
+KEYS_PER_SUBMISSION = 262144
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def facts_from_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One fact entry per order, filed by the nation of its customer."""
-    key = F.col("o_orderkey")
-    day = F.col("o_orderdate").cast("date")
-    quarter_start = F.trunc(day, "quarter")
-    priority = F.col("o_orderpriority")
-    concept = (
-        F.when(priority == "1-URGENT", "Revenues")
-        .when(priority == "2-HIGH", "SalesRevenueNet")
-        .when(priority == "3-MEDIUM", "NetIncomeLoss")
-        .when(priority == "4-NOT SPECIFIED", "Assets")
-        .when(key % 2 == 0, "EarningsPerShareBasic")
-        .otherwise("UnmappedTag")
+    concept = """CASE o_orderpriority
+        WHEN '1-URGENT' THEN 'Revenues'
+        WHEN '2-HIGH' THEN 'SalesRevenueNet'
+        WHEN '3-MEDIUM' THEN 'NetIncomeLoss'
+        WHEN '4-NOT SPECIFIED' THEN 'Assets'
+        ELSE if(o_orderkey % 2 = 0, 'EarningsPerShareBasic', 'UnmappedTag') END"""
+    filings = orders.selectExpr(
+        "o_custkey",
+        "o_orderkey",
+        "cast(o_orderdate AS date) AS day",
+        f"{concept} AS raw_concept",
+        "if(o_orderpriority = '3-MEDIUM', o_totalprice - 150000.0D, o_totalprice) AS reported_value",
     )
-    digit = key % 10
-    form = (
-        F.when(digit == 0, "8-k")
-        .when(digit == 1, "10-K/A")
-        .when(digit == 2, "10-Q/A")
-        .when(digit <= 5, "10-K")
-        .otherwise("10-Q")
-    )
-    filings = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
     filers = customers.select("c_custkey", "c_nationkey")
-    joined = filings.join(filers, F.col("o_custkey") == F.col("c_custkey"))
-    return joined.select(
-        pad_identifier("c_nationkey").alias("cik"),
-        F.concat(F.lit("Entity "), F.col("c_nationkey").cast("string")).alias("entity_name"),
-        concept.alias("raw_concept"),
-        F.when(priority == "3-MEDIUM", F.col("o_totalprice") - 150000.0)
-        .otherwise(F.col("o_totalprice")).alias("reported_value"),
-        F.when(priority != "4-NOT SPECIFIED", quarter_start).alias("period_start"),
-        F.last_day(F.add_months(quarter_start, 2)).alias("period_end"),
-        pad_identifier("o_orderkey").alias("accession_number"),
-        form.alias("form_raw"),
-        F.date_add(day, (key % 120).cast("int")).alias("filed_date"),
-        F.when(F.quarter(day) == 4, "FY")
-        .otherwise(F.concat(F.lit("Q"), F.quarter(day).cast("string"))).alias("fiscal_period_label"),
-        F.when(concept == "EarningsPerShareBasic", "USD/shares").otherwise("USD").alias("unit"),
-        F.floor(key / ORDERS_PER_DOCUMENT).cast("int").alias("part"),
+    return filings.join(filers, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
+        "lpad(cast(c_nationkey AS string), 10, '0') AS cik",
+        "concat('Entity ', cast(c_nationkey AS string)) AS entity_name",
+        "raw_concept",
+        "reported_value",
+        "if(raw_concept <> 'Assets', trunc(day, 'quarter'), NULL) AS period_start",
+        "last_day(add_months(trunc(day, 'quarter'), 2)) AS period_end",
+        "lpad(cast(o_orderkey AS string), 10, '0') AS accession_number",
+        "CASE WHEN o_orderkey % 10 = 0 THEN '8-k' WHEN o_orderkey % 10 = 1 THEN '10-K/A' "
+        "WHEN o_orderkey % 10 = 2 THEN '10-Q/A' WHEN o_orderkey % 10 <= 5 THEN '10-K' "
+        "ELSE '10-Q' END AS form_raw",
+        "date_add(day, cast(o_orderkey % 120 AS int)) AS filed_date",
+        "if(quarter(day) = 4, 'FY', concat('Q', cast(quarter(day) AS string))) "
+        "AS fiscal_period_label",
+        "if(raw_concept = 'EarningsPerShareBasic', 'USD/shares', 'USD') AS unit",
+        f"cast(o_orderkey DIV {KEYS_PER_FACTS_DOCUMENT} AS int) AS part",
     )
 
 
@@ -63,64 +70,36 @@ def filing_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def submission_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Company metadata documents: (cik, part, loaded_at, document).
+    """Company metadata documents: (loaded_at, document).
 
-    Each customer is a company; its orders are its filings, split so that no document
-    holds more than `ORDERS_PER_DOCUMENT` of them. A later part is a later load.
+    Each customer is a company and its orders are its filings. Even and odd keys arrive as
+    separate loads, so that every company is loaded more than once.
     """
-    key = F.col("o_orderkey")
-    digit = key % 10
-    form = (
-        F.when(digit == 0, "8-K")
-        .when(digit <= 3, "10-K")
-        .otherwise("10-Q")
-    )
-    filings = table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("c_custkey"),
-        F.floor(key / ORDERS_PER_DOCUMENT).cast("int").alias("part"),
-        F.struct(
-            pad_identifier("o_orderkey").alias("accn"),
-            F.date_add(F.col("o_orderdate").cast("date"), (key % 120).cast("int"))
-            .cast("string").alias("filed"),
-            form.alias("form"),
-        ).alias("filing"),
+    filings = table(spark, folder, "orders").selectExpr(
+        "o_custkey AS c_custkey",
+        f"cast(o_orderkey DIV {KEYS_PER_SUBMISSION} * 2 + o_orderkey % 2 AS int) AS part",
+        "struct(lpad(cast(o_orderkey AS string), 10, '0') AS accn, "
+        "cast(date_add(cast(o_orderdate AS date), cast(o_orderkey % 120 AS int)) AS string) AS filed, "
+        "CASE WHEN o_orderkey % 10 = 0 THEN '8-K' WHEN o_orderkey % 10 <= 3 THEN '10-K' "
+        "ELSE '10-Q' END AS form) AS filing",
     )
     folded = filings.groupBy("c_custkey", "part").agg(F.collect_list("filing").alias("f"))
     company = table(spark, folder, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
     )
-    code = F.col("c_custkey").cast("string")
-    sic = (
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", 3711)
-        .when(F.col("c_mktsegment") == "BUILDING", 1520)
-        .when(F.col("c_mktsegment") == "FURNITURE", 2510)
-        .when(F.col("c_mktsegment") == "HOUSEHOLD", 2840)
-        .otherwise(3530)
-    )
-    listed = F.col("c_nationkey") < 20
-    document = F.to_json(
-        F.struct(
-            F.col("c_custkey").alias("cik"),
-            F.concat("c_name", F.lit(" part "), F.col("part").cast("string")).alias("name"),
-            sic.alias("sic"),
-            F.col("c_mktsegment").alias("sicDescription"),
-            F.when(F.col("c_nationkey") < 10, "DE").alias("stateOfIncorporation"),
-            F.when(listed, F.array(F.concat(F.lit("T"), code), F.concat(F.lit("T"), code, F.lit("-B"))))
-            .otherwise(F.array().cast("array<string>")).alias("tickers"),
-            F.when(listed, F.array(F.when(F.col("c_nationkey") < 10, "NYSE").otherwise("Nasdaq")))
-            .otherwise(F.array().cast("array<string>")).alias("exchanges"),
-            F.struct(
-                F.struct(
-                    F.transform("f", lambda x: x["accn"]).alias("accessionNumber"),
-                    F.transform("f", lambda x: x["filed"]).alias("filingDate"),
-                    F.transform("f", lambda x: x["form"]).alias("form"),
-                ).alias("recent")
-            ).alias("filings"),
-        )
-    )
-    return folded.join(company, "c_custkey").select(
-        pad_identifier("c_custkey").alias("cik"),
-        "part",
-        F.timestamp_seconds(F.lit(1704067200) + F.col("part") * 3600).alias("loaded_at"),
-        document.alias("document"),
+    document = """to_json(named_struct(
+        'cik', c_custkey,
+        'name', concat(c_name, ' part ', cast(part AS string)),
+        'sic', CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 3711 WHEN 'BUILDING' THEN 1520
+                    WHEN 'FURNITURE' THEN 2510 WHEN 'HOUSEHOLD' THEN 2840 ELSE 3530 END,
+        'sicDescription', c_mktsegment,
+        'stateOfIncorporation', if(c_nationkey < 10, 'DE', NULL),
+        'tickers', if(c_nationkey < 20, array(concat('T', cast(c_custkey AS string)),
+                      concat('T', cast(c_custkey AS string), '-B')), cast(array() AS array<string>)),
+        'exchanges', if(c_nationkey < 20, array(if(c_nationkey < 10, 'NYSE', 'Nasdaq')),
+                        cast(array() AS array<string>)),
+        'filings', named_struct('recent', named_struct(
+            'accessionNumber', f.accn, 'filingDate', f.filed, 'form', f.form))))"""
+    return folded.join(company, "c_custkey").selectExpr(
+        "timestamp_seconds(1704067200 + part * 3600) AS loaded_at", f"{document} AS document"
     )
