@@ -107,10 +107,11 @@ def extract_entries(entries: DataFrame) -> DataFrame:
 
 def usable_facts(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Rows with a value, a period end and a form that is not excluded (null forms go too)."""
+    # The form first: it spares the excluded rows their casts.
     return facts.filter(
-        F.col("reported_value").isNotNull()
+        ~F.col("form_type").isin(*params.excluded_forms)
+        & F.col("reported_value").isNotNull()
         & F.col("period_end").isNotNull()
-        & ~F.col("form_type").isin(*params.excluded_forms)
     )
 
 
