@@ -28,18 +28,14 @@ def companies(raw: DataFrame) -> DataFrame:
 
 def flatten_filings(raw: DataFrame) -> DataFrame:
     """Parallel history arrays -> one row per filing."""
-    recent = F.from_json("filings_blob", FILING_HISTORY)["recent"]
-    zipped = F.arrays_zip(
-        recent["accessionNumber"].alias("accession_number"),
-        recent["filingDate"].alias("filing_date"),
-        recent["form"].alias("form"),
-    )
-    rows = raw.select(pad_identifier("cik_raw").alias("cik"), F.inline(zipped))
-    return rows.select(
+    parsed = F.from_json("filings_blob", FILING_HISTORY)["recent"]
+    history = raw.select(pad_identifier("cik_raw").alias("cik"), parsed.alias("recent"))
+    zipped = F.arrays_zip("recent.accessionNumber", "recent.filingDate", "recent.form")
+    return history.select("cik", F.inline(zipped)).select(
         "cik",
-        F.col("accession_number"),
+        F.col("accessionNumber").alias("accession_number"),
         F.upper("form").alias("form_type"),
-        strict_date("filing_date").alias("filed_date"),
+        strict_date("filingDate").alias("filed_date"),
     )
 
 

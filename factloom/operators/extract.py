@@ -27,8 +27,11 @@ def unnest_all(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -> Da
     parsed = _base(bronze).select(
         "cik", "entity_name", F.from_json("facts_blob", all_concepts_type())["us-gaap"].alias("gaap")
     )
+    # Exploding the bare column would make the optimizer test it for rows first, below the
+    # projection, and so parse every document again for the test.
+    with_units = F.map_filter("gaap", lambda _, concept: concept["units"].isNotNull())
     concepts = parsed.select(
-        "cik", "entity_name", F.explode("gaap").alias("raw_concept", "concept")
+        "cik", "entity_name", F.explode(with_units).alias("raw_concept", "concept")
     )
     wanted = F.map_filter("concept.units", lambda unit, _: unit.isin(*units))
     arrays = concepts.select(

@@ -60,7 +60,9 @@ def annual_rollup(silver: DataFrame) -> DataFrame:
 
 def quarter_matrix(silver: DataFrame) -> DataFrame:
     """One row per (company, quarter) with its concepts side by side and their changes."""
-    wide = silver.groupBy("cik", quarter_index("period_end").alias("q_idx")).agg(
+    # One exchange by company serves the grouping, the window and a later join by company.
+    by_company = silver.repartition("cik")
+    wide = by_company.groupBy("cik", quarter_index("period_end").alias("q_idx")).agg(
         _latest_of(REVENUE).alias("revenue"),
         _latest_of(INCOME).alias("net_income"),
     )

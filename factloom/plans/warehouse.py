@@ -14,11 +14,12 @@ from factloom.plans import anomalies, gold
 from factloom.plans.silver import silver_financials
 from factloom.sources import seeds
 from factloom.sources.documents import (
+    GOOD,
+    judge_documents,
     raw_company_facts,
     raw_submissions,
     read_fact_documents,
     read_submission_documents,
-    split_documents,
 )
 from factloom.sources.layers import LayerStore
 
@@ -41,9 +42,11 @@ def build(
     seed = store.write(seeds.synonyms(spark), "seeds", "gaap_tag_synonyms")
     store.write(seeds.tracked_companies(spark), "seeds", "companies")
 
-    good, rejected = split_documents(read_fact_documents(spark, facts_path, multi_line), params)
-    bronze = store.write(raw_company_facts(good), "bronze", "raw_company_facts", wide_rows=True)
-    store.write(rejected, "bronze", "rejected_company_facts", wide_rows=True)
+    judged = judge_documents(read_fact_documents(spark, facts_path, multi_line), params)
+    landed = store.write(
+        raw_company_facts(judged), "bronze", "raw_company_facts", ("status",), wide_rows=True
+    )
+    bronze = landed.filter(F.col("status") == GOOD)
     documents = read_submission_documents(spark, submissions_path, multi_line)
     submissions = store.write(
         raw_submissions(documents), "bronze", "raw_submissions", wide_rows=True

@@ -162,7 +162,7 @@ def union_all_branches(spark: SparkSession, folder: str) -> DataFrame:
 def empty_seed_relation(spark: SparkSession, folder: str) -> DataFrame:
     """Nothing is tracked when the seed is empty; the relation keeps its columns."""
     all_rows = rows(spark, folder)
-    empty = spark.createDataFrame([], seeds.SYNONYM_SEED)
+    empty = seeds.synonyms(spark).filter(F.lit(False))
     kept = tracked_only(empty)(all_rows).groupBy("cik").agg(F.count(F.lit(1)).alias("n"))
     counted = all_rows.groupBy("cik").agg(F.count(F.lit(1)).alias("facts"))
     return counted.join(kept, "cik", "left").select(

@@ -224,11 +224,9 @@ def payload_quarantine(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(text)
     )
     received = whole.select(F.col("cik").alias("filer"), damaged.alias("document"))
-    good, rejected = docs.split_documents(docs.parse_document_text(received))
-    outcomes = good.select("filer", F.lit("good").alias("outcome")).unionByName(
-        rejected.select("filer", F.col("reason").alias("outcome"))
-    )
-    return outcomes.groupBy(F.col("filer").alias("cik"), "outcome").agg(
+    judged = docs.judge_documents(docs.parse_document_text(received))
+    outcome = F.coalesce("reason", "status")
+    return judged.groupBy(F.col("filer").alias("cik"), outcome.alias("outcome")).agg(
         F.count(F.lit(1)).alias("documents")
     )
 

@@ -12,7 +12,7 @@ from factloom.session import shared_path
 from factloom.sources import seeds
 from factloom.sources.documents import concept_count, land_documents
 from factloom.sources.tables import facts_from_orders, table
-from factloom.streaming.landing import document_stream, land_stream
+from factloom.streaming.landing import document_stream, land_stream, landed
 from factloom.streaming.latest import current_table, keep_latest
 from factloom.streaming.monitor import append_to, arrival_windows, suppress_repeats
 
@@ -31,8 +31,7 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
     land_documents(fact_documents(spark, folder), f"{root}/in")
     arriving = document_stream(spark, f"{root}/in", multi_line=False)
     land_stream(arriving, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
-    bronze = spark.read.parquet(f"{root}/bronze")
-    return bronze.groupBy("cik_raw", "entity_name").agg(
+    return landed(spark, f"{root}/bronze").groupBy("cik_raw", "entity_name").agg(
         F.count("facts_blob").alias("documents"),
         F.sum(concept_count("facts_blob")).alias("concepts"),
     )

@@ -10,6 +10,9 @@ from factloom.params import DEFAULTS, Params
 from factloom.schemas import CORRUPT, FACTS_DOCUMENT, SUBMISSIONS_DOCUMENT
 
 
+GOOD, REJECTED = "good", "rejected"
+
+
 def read_fact_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One row per document with `facts` kept as raw JSON text.
 
@@ -46,13 +49,22 @@ def rejection_reason(params: Params = DEFAULTS) -> Column:
     )
 
 
+def judge_documents(documents: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Documents with `reason` (null when good) and `status`, good or rejected.
+
+    Writing the outcome partitioned by status separates the two in one read of the input.
+    """
+    judged = documents.withColumn("reason", rejection_reason(params))
+    return judged.withColumn("status", F.when(F.col("reason").isNull(), GOOD).otherwise(REJECTED))
+
+
 def split_documents(
     documents: DataFrame, params: Params = DEFAULTS
 ) -> tuple[DataFrame, DataFrame]:
     """(good, quarantined); every document is in exactly one of the two."""
-    judged = documents.withColumn("reason", rejection_reason(params))
-    good = judged.filter(F.col("reason").isNull()).drop("reason", CORRUPT)
-    return good, judged.filter(F.col("reason").isNotNull())
+    judged = judge_documents(documents, params)
+    good = judged.filter(F.col("status") == GOOD).drop("reason", "status", CORRUPT)
+    return good, judged.filter(F.col("status") == REJECTED).drop("status")
 
 
 def parse_document_text(texts: DataFrame, text: str = "document") -> DataFrame:
@@ -72,17 +84,18 @@ def concept_count(facts: Column | str = "facts") -> Column:
 def raw_company_facts(documents: DataFrame) -> DataFrame:
     """Bronze fact documents: identifier unpadded, blob untouched."""
     return documents.select(
-        F.col("cik").cast("bigint").cast("string").alias("cik_raw"),
+        F.col("cik").try_cast("bigint").cast("string").alias("cik_raw"),
         F.col("entityName").alias("entity_name"),
         F.col("facts").alias("facts_blob"),
         F.current_timestamp().alias("loaded_at"),
+        *[c for c in ("status", "reason", CORRUPT) if "status" in documents.columns],
     )
 
 
 def raw_submissions(documents: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Bronze company metadata; tickers and exchanges stay arrays."""
     return documents.select(
-        F.col("cik").cast("bigint").cast("string").alias("cik_raw"),
+        F.col("cik").try_cast("bigint").cast("string").alias("cik_raw"),
         F.col("name").alias("company_name_raw"),
         F.col("sic").alias("sic_raw"),
         F.col("sicDescription").alias("sic_description_raw"),

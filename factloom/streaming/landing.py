@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from factloom.schemas import CORRUPT, FACTS_DOCUMENT
-from factloom.sources.documents import raw_company_facts, rejection_reason
+from factloom.sources.documents import GOOD, judge_documents, raw_company_facts
 from factloom.sources.layers import WIDE_ROW_OPTIONS
 
 
@@ -20,28 +20,25 @@ def document_stream(
     return reader.json(path)
 
 
-def land_stream(
-    documents: DataFrame, bronze_path: str, checkpoint: str, rejected_path: str | None = None
-) -> StreamingQuery:
-    """Append what arrived since the last run and stop.
+def land_stream(documents: DataFrame, bronze_path: str, checkpoint: str) -> StreamingQuery:
+    """Append what arrived since the last run and stop; bronze is partitioned by status.
 
     Files already taken are known to the checkpoint; the file sink commits each
     micro-batch as a whole, so a lost executor or a restart adds nothing twice.
     """
-    judged = documents.withColumn("reason", rejection_reason())
-    good = raw_company_facts(judged.filter(F.col("reason").isNull()))
-    if rejected_path:
-        rejected = judged.filter(F.col("reason").isNotNull())
-        _append(rejected, rejected_path, f"{checkpoint}/rejected").awaitTermination()
-    return _append(good.drop(CORRUPT), bronze_path, f"{checkpoint}/good")
-
-
-def _append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (
-        df.writeStream.format("parquet")
+        raw_company_facts(judge_documents(documents))
+        .writeStream.format("parquet")
         .options(**WIDE_ROW_OPTIONS)
         .option("checkpointLocation", checkpoint)
+        .partitionBy("status")
         .outputMode("append")
         .trigger(availableNow=True)
-        .start(path)
+        .start(bronze_path)
     )
+
+
+def landed(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """The good documents of a landed table."""
+    table = spark.read.parquet(bronze_path)
+    return table.filter(F.col("status") == GOOD).drop("status", "reason", CORRUPT)
