@@ -48,9 +48,7 @@ def build(
     )
     bronze = landed.filter(F.col("status") == GOOD)
     documents = read_submission_documents(spark, submissions_path, multi_line)
-    submissions = store.write(
-        raw_submissions(documents), "bronze", "raw_submissions", wide_rows=True
-    )
+    submissions = store.write(raw_submissions(documents), "bronze", "raw_submissions")
 
     entries = store.write(extracted_facts(bronze, seed, params), "silver", "fact_entries")
     silver = store.write(

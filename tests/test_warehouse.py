@@ -1,5 +1,6 @@
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,14 @@ def test_tables_answer_sql(built, spark):
     assert n == store.read("silver", "stg_financials").filter("period_year = 1998").count() > 0
 
 
+def test_wide_rows_are_written_in_small_groups(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    store.write(spark.range(0, 20, 1, 1), "bronze", "t", wide_rows=True)
+    (part,) = (tmp_path / "bronze" / "t").glob("*.parquet")
+    groups = pq.ParquetFile(part).metadata
+    assert [groups.row_group(i).num_rows for i in range(groups.num_row_groups)] == [8, 8, 4]
+
+
 def test_unknown_layer_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         LayerStore(spark, str(tmp_path)).path("platinum", "x")
