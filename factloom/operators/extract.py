@@ -57,21 +57,25 @@ def unnest_tracked(
         "entity_name",
         F.from_json("facts_blob", tracked_concepts_type(tags, units))["us-gaap"].alias("gaap"),
     )
-    arrays = F.array(
-        *[
-            F.struct(
-                F.lit(tag).alias("raw_concept"),
-                F.lit(unit).alias("unit"),
-                F.col("gaap")[tag]["units"][unit].alias("entries"),
-            )
-            for tag in tags
-            for unit in units
-        ]
+    arrays = ", ".join(
+        f"struct({_text(tag)} AS raw_concept, {_text(unit)} AS unit, "
+        f"gaap.{_name(tag)}.units.{_name(unit)} AS entries)"
+        for tag in tags
+        for unit in units
     )
-    return (
-        parsed.select("cik", "entity_name", F.inline(F.filter(arrays, lambda a: a["entries"].isNotNull())))
-        .select("cik", "entity_name", "raw_concept", "unit", F.explode("entries").alias("entry"))
+    found = parsed.selectExpr(
+        "cik", "entity_name", f"inline(filter(array({arrays}), a -> a.entries IS NOT NULL))"
     )
+    return found.select("cik", "entity_name", "raw_concept", "unit", F.explode("entries").alias("entry"))
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _name(value: str) -> str:
+    return f"`{value.replace('`', '``')}`"
 
 
 def mistyped_units(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -> DataFrame:
@@ -92,19 +96,18 @@ def mistyped_units(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -
 
 def extract_entries(entries: DataFrame) -> DataFrame:
     """Entry structs -> typed columns, nothing filtered yet."""
-    e = F.col("entry")
     return entries.select(
         "cik",
         "entity_name",
         "raw_concept",
-        strict_double(e["val"]).alias("reported_value"),
-        strict_date(e["start"]).alias("period_start"),
-        strict_date(e["end"]).alias("period_end"),
-        e["accn"].alias("accession_number"),
-        F.upper(e["form"]).alias("form_type"),
-        strict_date(e["filed"]).alias("filed_date"),
-        e["fp"].alias("fiscal_period_label"),
-        value_type(e["start"]).alias("value_type"),
+        strict_double("entry.val").alias("reported_value"),
+        strict_date("entry.start").alias("period_start"),
+        strict_date("entry.end").alias("period_end"),
+        F.col("entry.accn").alias("accession_number"),
+        F.upper("entry.form").alias("form_type"),
+        strict_date("entry.filed").alias("filed_date"),
+        F.col("entry.fp").alias("fiscal_period_label"),
+        value_type("entry.start").alias("value_type"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,23 +18,22 @@ def lag_in_chunks(
     """
     columns = df.columns
     placed = df.repartition(*keys, chunk)
-    here = F.struct(*[F.col(c).alias(f"prev_{c}") for c in carry])
+    key, rest = ", ".join(keys), [c for c in columns if c not in keys and c not in (chunk, *order)]
+    ahead = ", ".join(f"{c} AS prev_{c}" for c in carry)
 
-    inside = Window.partitionBy(*keys, chunk).orderBy(*order)
-    later = (
-        placed.withColumns({"_prev": F.lag(here).over(inside), "_rn": F.row_number().over(inside)})
-        .filter("_rn > 1")
-        .select(*columns, "_prev.*")
+    inside = f"(PARTITION BY {key}, {chunk} ORDER BY {', '.join(order)})"
+    numbered = placed.selectExpr(
+        "*", f"lag(struct({ahead})) OVER {inside} AS _prev", f"row_number() OVER {inside} AS _rn"
     )
+    later = numbered.filter("_rn > 1").select(*columns, "_prev.*")
 
-    rest = [c for c in columns if c not in keys and c != chunk and c not in order]
-    row = F.struct(*order, *rest)
-    ends = placed.groupBy(*keys, chunk).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy(F.col(chunk).asc_nulls_first())
-    last = F.struct(*[F.col(f"_last.{c}").alias(f"prev_{c}") for c in carry if c in order + rest],
-                    *[F.col(chunk).alias(f"prev_{c}") for c in carry if c == chunk])
-    first = ends.withColumn("_prev", F.lag(last).over(across)).select(
-        *[F.col(f"_first.{c}").alias(c) if c in order + rest else F.col(c) for c in columns],
-        *[F.col(f"_prev.prev_{c}").alias(f"prev_{c}") for c in carry],
+    row = f"struct({', '.join([*order, *rest])})"
+    ends = placed.groupBy(*keys, chunk).agg(
+        F.expr(f"min({row})").alias("_first"), F.expr(f"max({row})").alias("_last")
+    )
+    last = ", ".join(f"{c if c == chunk else '_last.' + c} AS prev_{c}" for c in carry)
+    across = f"(PARTITION BY {key} ORDER BY {chunk} ASC NULLS FIRST)"
+    first = ends.selectExpr("*", f"lag(struct({last})) OVER {across} AS _prev").selectExpr(
+        *[f"_first.{c} AS {c}" if c in order or c in rest else c for c in columns], "_prev.*"
     )
     return first.unionByName(later)

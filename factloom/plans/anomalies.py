@@ -7,7 +7,7 @@ window below.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import pct_change, quarter_index
@@ -17,14 +17,19 @@ from factloom.params import DEFAULTS, Params
 REVENUE, INCOME, EPS, ASSETS = "Revenues", "NetIncomeLoss", "EarningsPerShareBasic", "Assets"
 
 
-def _series() -> WindowSpec:
-    return Window.partitionBy("cik", "canonical_concept").orderBy("period_end")
+_SERIES = "PARTITION BY cik, canonical_concept ORDER BY period_end"
+
+# Looks the quarter up by number, so gaps cannot shift it, and needs no self-join. Of
+# several ends in that quarter the latest counts.
+_YEAR_AGO = """(PARTITION BY cik, canonical_concept ORDER BY q_idx
+                RANGE BETWEEN 4 PRECEDING AND 4 PRECEDING)"""
 
 
 def quarterly_values(silver: DataFrame) -> DataFrame:
     """Only snapshots and values that span about one quarter."""
-    days = F.date_diff("period_end", "period_start")
-    return silver.filter(F.col("period_start").isNull() | days.between(80, 100))
+    return silver.filter(
+        "period_start IS NULL OR date_diff(period_end, period_start) BETWEEN 80 AND 100"
+    )
 
 
 def _prepared(silver: DataFrame, params: Params) -> DataFrame:
@@ -34,92 +39,81 @@ def _prepared(silver: DataFrame, params: Params) -> DataFrame:
 
 def qoq_change(silver: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Adds `prev_value` and `qoq`, both null unless the previous row is the quarter before."""
-    s = _prepared(silver, params)
-    adjacent = F.col("q_idx") - F.lag("q_idx").over(_series()) == 1
-    return s.withColumn(
-        "prev_value", F.when(adjacent, F.lag("reported_value").over(_series()))
-    ).withColumn("qoq", pct_change("reported_value", "prev_value"))
-
-
-def _same_quarter_last_year(value: Column | str) -> Column:
-    # A range frame looks up the quarter by number, so gaps cannot shift it, and needs no
-    # self-join. Of several ends in that quarter the latest counts.
-    year_ago = Window.partitionBy("cik", "canonical_concept").orderBy("q_idx").rangeBetween(-4, -4)
-    v = F.col(value) if isinstance(value, str) else value
-    return F.max(F.struct("period_end", v.alias("v"))).over(year_ago)["v"]
+    previous = f"""CASE WHEN q_idx - lag(q_idx) OVER ({_SERIES}) = 1
+                   THEN lag(reported_value) OVER ({_SERIES}) END"""
+    return (
+        _prepared(silver, params)
+        .selectExpr("*", f"{previous} AS prev_value")
+        .withColumn("qoq", pct_change("reported_value", "prev_value"))
+    )
 
 
 def yoy_change(silver: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Adds the value of the same quarter one year before and the change since."""
-    s = _prepared(silver, params)
-    return s.withColumn("prior_year_value", _same_quarter_last_year("reported_value")).withColumn(
-        "yoy", pct_change("reported_value", "prior_year_value")
+    year_ago = f"max(struct(period_end, reported_value)) OVER {_YEAR_AGO}.reported_value"
+    return (
+        _prepared(silver, params)
+        .selectExpr("*", f"{year_ago} AS prior_year_value")
+        .withColumn("yoy", pct_change("reported_value", "prior_year_value"))
     )
 
 
 def trailing_stats(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Mean and population deviation of the rows before the current one; null until full."""
     n = params.eps_trailing_quarters
-    before = _series().rowsBetween(-n, -1)
-    full = F.count("reported_value").over(before) == n
-    return df.withColumns(
-        {
-            "trailing_mean": F.when(full, F.avg("reported_value").over(before)),
-            "trailing_stddev": F.when(full, F.stddev_pop("reported_value").over(before)),
-        }
+    before = f"({_SERIES} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    full = f"count(reported_value) OVER {before} = {n}"
+    return df.selectExpr(
+        "*",
+        f"if({full}, avg(reported_value) OVER {before}, NULL) AS trailing_mean",
+        f"if({full}, stddev_pop(reported_value) OVER {before}, NULL) AS trailing_stddev",
     )
 
 
 def measures(silver: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Everything rules 1-4 look at, on each silver row."""
     changed = trailing_stats(qoq_change(silver, params), params)
-    quarter = Window.partitionBy("cik", "q_idx")
-    revenue = F.when(F.col("canonical_concept") == REVENUE, F.struct("period_end", "qoq"))
-    return changed.withColumn("prior_year_qoq", _same_quarter_last_year("qoq")).withColumn(
-        "revenue_qoq", F.max(revenue).over(quarter)["qoq"]
+    revenue = f"if(canonical_concept = '{REVENUE}', struct(period_end, qoq), NULL)"
+    return changed.selectExpr(
+        "*",
+        f"max(struct(period_end, qoq)) OVER {_YEAR_AGO}.qoq AS prior_year_qoq",
+        f"max({revenue}) OVER (PARTITION BY cik, q_idx).qoq AS revenue_qoq",
     )
 
 
-def _rule(name: str, fires: Column, observed: Column, threshold: float, severity: Column) -> Column:
-    return F.when(
-        fires,
-        F.struct(
-            F.lit(name).alias("rule"),
-            observed.cast("double").alias("observed"),
-            F.lit(float(threshold)).alias("threshold"),
-            severity.cast("double").alias("severity"),
-        ),
+def _rule(name: str, fires: str, observed: str, threshold: float, severity: str) -> Column:
+    return F.expr(
+        f"""CASE WHEN {fires} THEN named_struct(
+            'rule', '{name}', 'observed', cast({observed} AS double),
+            'threshold', {float(threshold)}D, 'severity', cast({severity} AS double)) END"""
     )
 
 
 def revenue_spike(params: Params = DEFAULTS) -> Column:
-    t = params.revenue_qoq_threshold
-    qoq, before = F.col("qoq"), F.col("prior_year_qoq")
-    seasonal = (F.abs(before) > t) & (F.signum(before) == F.signum(qoq))
-    fires = (F.col("canonical_concept") == REVENUE) & (F.abs(qoq) > t)
-    fires = fires & ~F.coalesce(seasonal, F.lit(False))
-    return _rule("revenue_spike", fires, qoq, t, F.abs(qoq) / t)
+    t = f"{params.revenue_qoq_threshold}D"
+    fires = f"""canonical_concept = '{REVENUE}' AND abs(qoq) > {t} AND NOT coalesce(
+        abs(prior_year_qoq) > {t} AND signum(prior_year_qoq) = signum(qoq), false)"""
+    return _rule("revenue_spike", fires, "qoq", params.revenue_qoq_threshold, f"abs(qoq) / {t}")
 
 
 def income_sign_flip() -> Column:
-    value, previous = F.col("reported_value"), F.col("prev_value")
-    fires = (F.col("canonical_concept") == INCOME) & (F.signum(value) * F.signum(previous) < 0)
-    fires = fires & ~F.coalesce(F.col("revenue_qoq") < 0, F.lit(False))
-    return _rule("income_sign_flip", fires, value, 0.0, F.lit(1.0))
+    fires = f"""canonical_concept = '{INCOME}' AND signum(reported_value) * signum(prev_value) < 0
+        AND NOT coalesce(revenue_qoq < 0, false)"""
+    return _rule("income_sign_flip", fires, "reported_value", 0.0, "1.0D")
 
 
 def eps_drop(params: Params = DEFAULTS) -> Column:
-    sigmas = params.eps_sigmas
-    value, mean, dev = F.col("reported_value"), F.col("trailing_mean"), F.col("trailing_stddev")
-    fires = (F.col("canonical_concept") == EPS) & (value < mean - sigmas * dev)
-    drop = (mean - value) / F.nullif(dev, F.lit(0.0))
-    return _rule("eps_drop", fires, drop, sigmas, drop / sigmas)
+    """Observed is the drop in deviations; null when the window did not vary at all."""
+    k = f"{params.eps_sigmas}D"
+    fires = f"canonical_concept = '{EPS}' AND reported_value < trailing_mean - {k} * trailing_stddev"
+    drop = "(trailing_mean - reported_value) / nullif(trailing_stddev, 0.0D)"
+    return _rule("eps_drop", fires, drop, params.eps_sigmas, f"{drop} / {k}")
 
 
 def asset_jump(params: Params = DEFAULTS) -> Column:
-    t, qoq = params.asset_qoq_threshold, F.col("qoq")
-    fires = (F.col("canonical_concept") == ASSETS) & (F.abs(qoq) > t)
-    return _rule("asset_jump", fires, qoq, t, F.abs(qoq) / t)
+    t = f"{params.asset_qoq_threshold}D"
+    fires = f"canonical_concept = '{ASSETS}' AND abs(qoq) > {t}"
+    return _rule("asset_jump", fires, "qoq", params.asset_qoq_threshold, f"abs(qoq) / {t}")
 
 
 _RECORD = ("cik", "canonical_concept", "period_end", "q_idx", "accession_number")

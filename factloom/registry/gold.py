@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators.companies import companies, flatten_filings, last_filing
 from factloom.plans import anomalies, gold, reports
+from factloom.plans.silver import silver_financials
 from factloom.registry.base import bronze_submissions, facts, query, rows, silver, sql
 from factloom.session import stored
 from factloom.sources import seeds
@@ -177,7 +178,7 @@ def anomaly_asset_jump(spark: SparkSession, folder: str) -> DataFrame:
 
 def _flags(spark: SparkSession, folder: str) -> DataFrame:
     base = facts(spark, folder)
-    return anomalies.anomaly_flags(silver(spark, folder), base)
+    return anomalies.anomaly_flags(silver_financials(base), base)
 
 
 @query("anomaly_flags", sql(f"{_FLAG_SQL} FROM flags", "flags"))

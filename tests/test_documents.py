@@ -210,3 +210,11 @@ def test_usable_facts_keeps_columns(spark):
 def test_schema_discovery(spark):
     assert docs.discover_schema(spark, '{"cik": 1, "tickers": ["A"]}') == (
         "STRUCT<cik: BIGINT, tickers: ARRAY<STRING>>")
+
+
+def test_odd_tags_in_a_seed_are_quoted(spark, land, seed):
+    tags = ["It's", "a`b", "x.y-z", "back\\slash"]
+    odd = spark.createDataFrame([(t, t, "IS", t) for t in tags], seed.schema)
+    b = bronze(spark, land(document(1, {t: usd(entry(val=i)) for i, t in enumerate(tags)})))
+    found = {r["raw_concept"]: r["entry"]["val"] for r in unnest_tracked(b, odd).collect()}
+    assert found == {t: str(i) for i, t in enumerate(tags)}
