@@ -10,7 +10,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from factloom import registry
@@ -56,7 +55,6 @@ def main() -> None:
         spark__driver__memory="16g",
         # One JVM for everything: the throughput collector suits batch work best.
         spark__driver__extraJavaOptions="-XX:+UseParallelGC",
-        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

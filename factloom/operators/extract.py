@@ -80,18 +80,14 @@ def _name(value: str) -> str:
 
 def mistyped_units(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -> DataFrame:
     """(cik, raw_concept, unit) whose value is present but is no array; for quarantine."""
-    path = "$['us-gaap']"
-    gaap = F.get_json_object("facts_blob", path)
-    concepts = _base(bronze).select(
-        "cik", F.explode(F.from_json(gaap, "map<string,struct<units:map<string,string>>>"))
-        .alias("raw_concept", "concept"),
-    )
-    wanted = F.map_filter("concept.units", lambda unit, _: unit.isin(*units))
-    return (
-        concepts.select("cik", "raw_concept", F.explode(wanted).alias("unit", "text"))
-        .filter(~F.ltrim("text").startswith("["))
-        .select("cik", "raw_concept", "unit")
+    shape = "`us-gaap` MAP<STRING, STRUCT<units: MAP<STRING, STRING>>>"
+    parsed = _base(bronze).select("cik", F.from_json("facts_blob", shape)["us-gaap"].alias("gaap"))
+    with_units = F.map_filter("gaap", lambda _, concept: concept["units"].isNotNull())
+    concepts = parsed.select("cik", F.explode(with_units).alias("raw_concept", "concept"))
+    bad = F.map_filter(
+        "concept.units", lambda unit, text: unit.isin(*units) & ~F.ltrim(text).startswith("[")
     )
+    return concepts.select("cik", "raw_concept", F.explode(F.map_keys(bad)).alias("unit"))
 
 
 def extract_entries(entries: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="factloom-")
-    spark.conf.set(CHECKPOINT_CONF, root)
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

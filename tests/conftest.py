@@ -16,7 +16,6 @@ def spark(tmp_path_factory):
         "tests",
         master="local[4]",
         spark__sql__shuffle__partitions="4",
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="4g",
     )

@@ -4,7 +4,7 @@ import pytest
 
 from factloom import registry
 from factloom.operators import dedup
-from factloom.operators.extract import extracted_facts, unnest_all, unnest_tracked
+from factloom.operators.extract import extracted_facts, mistyped_units, unnest_all, unnest_tracked
 from factloom.plans import anomalies
 from factloom.registry import base
 
@@ -49,7 +49,8 @@ def test_document_text_is_parsed_once(spark, seed):
     bronze = spark.createDataFrame(
         [("1", "E", "{}")], "cik_raw string, entity_name string, facts_blob string"
     )
-    for df in (unnest_all(bronze), unnest_tracked(bronze, seed), extracted_facts(bronze, seed)):
+    for df in (unnest_all(bronze), unnest_tracked(bronze, seed), extracted_facts(bronze, seed),
+               mistyped_units(bronze)):
         assert plan(df).count("from_json") == 1
 
 
