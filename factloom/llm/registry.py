@@ -2,9 +2,11 @@
 
 from factloom.llm import (  # noqa: F401
     exact_dedup,
+    language_id,
     packing,
     sentence_pieces,
     token_counts,
+    toxicity,
 )
 from factloom.llm.common import ORACLES as oracles
 from factloom.llm.common import QUERIES as queries
