@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+import pickle
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +60,25 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+# What more than one of so many parts of all rows share is broadcast: there can be no more
+# such values than this, whatever the data.
+HOT_PARTS = 20_000
+
+
+def join_values(
+    rows: DataFrame, values: DataFrame, key: str, uses: str, total: int, hot: int = HOT_PARTS
+) -> DataFrame:
+    """`rows` with the columns of `values` (one row per key, with its number of uses).
+
+    Values that many rows use are few and come by broadcast, so that no task gathers their
+    rows; the others are joined by their key.
+    """
+    often = F.broadcast(values.filter(F.col(uses) > total / hot).drop(uses))
+    seldom = values.filter(F.col(uses) <= total / hot).drop(uses)
+    rest = rows.join(often.select(key), key, "left_anti")
+    return rows.join(often, key).unionByName(rest.join(seldom, key))
+
+
 class Memo(dict):
     """Values by key, computed on first use; emptied when full, so its size is bounded.
 
@@ -82,3 +107,23 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
                 yield work(batch)
 
     return run
+
+
+def per_worker(spark: SparkSession, value, build: Callable) -> Callable:
+    """A function for tasks that gives `build(value)`, made once in each Python worker.
+
+    The value is broadcast, so it must be of bounded size. What was made last stays with the
+    worker for its next tasks and makes room when something else is asked for.
+    """
+    sent, name = spark.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
+
+    def get():
+        holder = sys.modules.setdefault("_factloom_worker", types.ModuleType("_factloom_worker"))
+        made = holder.__dict__.setdefault("made", {})
+        if name not in made:
+            made.clear()
+            gc.collect()
+            made[name] = build(pickle.loads(sent.value))
+        return made[name]
+
+    return get

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm.common import by_batch, fold, query, table, texts_of
+from factloom.llm.common import by_batch, fold, per_worker, query, table, texts_of
 from factloom.llm.letters import CODES, SCRIPTS, Tables, Words, counted
 
 UNKNOWN = "und"
@@ -123,9 +123,10 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     through; other columns are not read. No shuffle.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    made = per_worker(docs.sparkSession, model, lambda value: (value, Tables()))
 
     def task(batches):
-        tables = Tables()
+        model, tables = made()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             names, scores = predict(texts_of(batch), model, tables)
@@ -148,9 +149,10 @@ def spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     Words are counted from 0 in their text; a text without letters has no spans.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    made = per_worker(docs.sparkSession, model, lambda value: (value, Tables()))
 
     def task(batches):
-        tables = Tables()
+        model, tables = made()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             words, found = label_batch(texts_of(batch), model, tables)
@@ -186,9 +188,10 @@ def keep_identified(
     """Rows whose text has a language that holds at least `least` of its letters; all columns."""
     inner = [f"c{k}" for k in range(len(docs.columns))]
     column = inner[docs.columns.index(text)]
+    made = per_worker(docs.sparkSession, model, lambda value: (value, Tables()))
 
     def task(batches):
-        tables = Tables()
+        model, tables = made()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             names, scores = predict(texts_of(batch, column), model, tables)

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.common import per_worker
+
 # Code points from here on are no letters to us.
 LIMIT = 0x32000
 # Trigrams are counted by hash: the table's size does not depend on the corpus.
@@ -95,8 +97,10 @@ def counted(
     shuffled depends on the tasks and the codes seen and not on the length of the texts.
     """
 
+    made = per_worker(rows.sparkSession, None, lambda _: Tables())
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, sums = Tables(), {}
+        tables, sums = made(), {}
         for batch in batches:
             names = batch.column("group").to_pylist()
             texts = batch.column("text").to_pylist()

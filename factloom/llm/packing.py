@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import byte_pairs
-from factloom.llm.common import by_batch, query, stored, table, texts_of
+from factloom.llm.common import by_batch, per_worker, query, stored, table, texts_of
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -107,13 +107,12 @@ def cut_pieces(
     with_ids: bool = False,
 ) -> DataFrame:
     """Documents as pieces: key, piece, start, length, ids_crc32, task, number (in its task and length)."""
-    content = byte_pairs.vocabulary(tokenizer)
-    whole = byte_pairs.whole_tokens(content)
+    packer = byte_pairs.shared(docs.sparkSession, tokenizer, byte_pairs.token_packer)
     end = SEPARATOR.to_bytes(4, "little")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def task(batches):
-        pack = byte_pairs.token_packer(content, whole)
+        pack = packer()
         here, seen = TaskContext.get().partitionId(), Counter()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:

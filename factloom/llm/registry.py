@@ -3,10 +3,12 @@
 from factloom.llm import (  # noqa: F401
     exact_dedup,
     language_id,
+    ngram_join,
     packing,
     sentence_pieces,
     token_counts,
     toxicity,
+    url_filter,
 )
 from factloom.llm.common import ORACLES as oracles
 from factloom.llm.common import QUERIES as queries

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from factloom.llm.common import Memo, by_batch, query, table, texts_of
+from factloom.llm.common import Memo, by_batch, per_worker, query, table, texts_of
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -76,10 +76,13 @@ def encode_decode(
     """
     proto = Path(model).read_bytes()
     load(proto)
+    made = per_worker(
+        docs.sparkSession, proto, lambda value: segmenter(SentencePieceProcessor(model_proto=value))
+    )
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def task(batches):
-        run = segmenter(SentencePieceProcessor(model_proto=proto))
+        run = made()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             pairs = [run(t) for t in texts_of(batch)]

@@ -22,12 +22,11 @@ def count_tokens(
     repeats in the key pass through, other columns are not read. No shuffle: each task
     holds one batch, the vocabulary and a bounded table of words it has merged.
     """
-    content = byte_pairs.vocabulary(tokenizer)
-    whole = byte_pairs.whole_tokens(content)
+    counter = byte_pairs.shared(docs.sparkSession, tokenizer, byte_pairs.token_counter)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def task(batches):
-        count = byte_pairs.token_counter(content, whole)
+        count = counter()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = texts_of(batch)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm.common import Memo, by_batch, fold, query, stored, table, texts_of
+from factloom.llm.common import Memo, by_batch, fold, per_worker, query, stored, table, texts_of
 from factloom.llm.letters import CODES, Words, counted, mixed
 
 FOLDS, HELD_OUT = 3, 1
@@ -282,8 +282,10 @@ def train(
     if not totals.get(0) or not totals.get(1):
         return Model(counts, {})
 
+    reader = per_worker(docs.sparkSession, counts, Reader)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, seen = Reader(counts), (Counter(), Counter())
+        read, seen = reader(), (Counter(), Counter())
         for batch in batches:
             for value, toxic in zip(texts_of(batch), batch.column("toxic").to_pylist(), strict=True):
                 seen[toxic].update({f for w in read(value) for f in features(w)})
@@ -311,7 +313,7 @@ def train(
     chances = {r.feature: r.chance for r in chosen.collect()}
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = Reader(counts)
+        read = reader()
         for batch in batches:
             words = [
                 sorted(w for w in read(t) if any(f in chances for f in features(w)))
@@ -326,8 +328,10 @@ def train(
     kept = explaining(sorted((r.y, r.words) for r in pairs.collect()), chances, settings)
     model = Model(counts, {f: chances[f] for f in sorted(kept)})
 
+    made = per_worker(docs.sparkSession, model, Scorer)
+
     def missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = made()
         for batch in batches:
             none = [not scorer.found(t) for t in texts_of(batch)]
             yield batch.select(["toxic"]).filter(pa.array(none))
@@ -344,9 +348,10 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     the key pass through; other columns are not read. No shuffle.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    made = per_worker(docs.sparkSession, model, Scorer)
 
     def task(batches):
-        scorer = Scorer(model)
+        scorer = made()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             scores = [scorer(t) for t in texts_of(batch)]
@@ -367,9 +372,10 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Rows whose score stays below the threshold; all columns."""
     inner = [f"c{k}" for k in range(len(docs.columns))]
     column = inner[docs.columns.index(text)]
+    made = per_worker(docs.sparkSession, model, Scorer)
 
     def task(batches):
-        scorer = Scorer(model)
+        scorer = made()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             return batch.filter(pa.array([scorer(t) < THRESHOLD for t in texts_of(batch, column)]))
