@@ -2,6 +2,7 @@
 
 from factloom.llm import (  # noqa: F401
     exact_dedup,
+    imatch,
     language_id,
     ngram_join,
     packing,
