@@ -173,10 +173,8 @@ def pack(
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    counts = stored(
-        spark, counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "counts"
-    )
-    histogram = dict(counts.groupBy("length").agg(F.sum("n")).collect())  # `capacity` rows at most
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    histogram = dict(pieces.groupBy("length").count().collect())  # `capacity` rows at most
     runs = places(plan_bins(histogram, capacity))
 
     def put(batch: pa.RecordBatch) -> pa.RecordBatch:
