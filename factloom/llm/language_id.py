@@ -49,7 +49,7 @@ def train(docs: DataFrame, settings: Settings = Settings(), text: str = "text",
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("_lang"))
     rows = rows.filter("text IS NOT NULL AND _lang IS NOT NULL")
     size = CODES + len(SCRIPTS)
-    found = counted(rows, "_lang", count, size).toPandas()
+    found = counted(rows, "_lang", count, size).toArrow().to_pandas()
     names = sorted(found["group"].unique())
     counts = np.zeros((size, len(names)))
     counts[found["code"], np.searchsorted(names, found["group"])] = found["n"]

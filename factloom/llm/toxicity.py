@@ -92,7 +92,7 @@ def train_characters(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Counts for `CharModel` over every text of the table."""
     size = 2 * CODES + CharModel.SINGLES
     rows = docs.select(F.col(text).alias("text")).filter("text IS NOT NULL")
-    found = counted(rows, None, CharModel.codes, size).toPandas()
+    found = counted(rows, None, CharModel.codes, size).toArrow().to_pandas()
     counts = np.zeros(size, np.int64)
     counts[found["code"]] = found["n"]
     return counts
