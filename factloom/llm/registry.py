@@ -4,6 +4,7 @@ from factloom.llm import (  # noqa: F401
     exact_dedup,
     imatch,
     language_id,
+    line_dedup,
     ngram_join,
     packing,
     sentence_pieces,
