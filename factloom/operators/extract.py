@@ -8,86 +8,98 @@ from pyspark.sql import functions as F
 from factloom.functions import pad_identifier, strict_date, strict_double, value_type
 from factloom.operators.normalize import normalize_tag, tracked_only
 from factloom.params import DEFAULTS, Params
-from factloom.schemas import all_concepts_type, tracked_concepts_type
+from factloom.schemas import FACT_ENTRY
 
-# Above this many tags the literal schema of `unnest_tracked` stops paying off.
-MAX_LITERAL_TAGS = 2000
+# Each level is read from the text of the one above it, and everything below stays text.
+# So what cannot be read costs itself alone, and says where it stood.
+TAXONOMY = "`us-gaap` MAP<STRING, STRING>"
+CONCEPT = "units STRING"
+UNITS = "MAP<STRING, STRING>"
+ENTRIES = "ARRAY<STRING>"
 
+NO_CONCEPT, NO_UNITS = "concept is no object", "units is no object"
+REPEATED_UNIT, NO_ARRAY, NO_ENTRY = "repeated unit", "unit is no array", "entry is no object"
 
-def _base(bronze: DataFrame) -> DataFrame:
-    return bronze.select(pad_identifier("cik_raw").alias("cik"), "entity_name", "facts_blob")
 
+def read_entries(
+    bronze: DataFrame, seed: DataFrame | None = None, units: tuple[str, ...] = DEFAULTS.units
+) -> DataFrame:
+    """Every entry of the wanted units: cik, entity_name, raw_concept, unit, entry_text, reason.
 
-def unnest_all(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -> DataFrame:
-    """Every concept of every document: cik, entity_name, raw_concept, unit, entry.
-
-    Missing taxonomy, null or empty arrays give no rows. Where a unit holds something
-    other than an array, that concept alone is lost.
+    `reason` is null for an entry that can be read. A concept, a `units`, a unit or an entry
+    that cannot is a row of its own with the reason, and null for what lies below it. A unit
+    that its concept names twice has no single reading and gives no entries. Absent or empty
+    taxonomies, units and arrays give no rows. With `seed` only the concepts it lists are
+    read beyond their name, whatever its size.
     """
-    parsed = _base(bronze).select(
-        "cik", "entity_name", F.from_json("facts_blob", all_concepts_type())["us-gaap"].alias("gaap")
+    gaap = F.from_json("facts_blob", TAXONOMY)["us-gaap"]
+    concepts = bronze.select(
+        pad_identifier("cik_raw").alias("cik"), "entity_name",
+        # Exploding the bare column would make the optimizer test it for rows first, below
+        # the projection, and so parse every document again for the test.
+        F.explode(F.map_filter(gaap, lambda name, _: name.isNotNull())).alias("raw_concept", "concept"),
     )
-    # Exploding the bare column would make the optimizer test it for rows first, below the
-    # projection, and so parse every document again for the test.
-    with_units = F.map_filter("gaap", lambda _, concept: concept["units"].isNotNull())
-    concepts = parsed.select(
-        "cik", "entity_name", F.explode(with_units).alias("raw_concept", "concept")
+    if seed is not None:
+        concepts = tracked_only(seed)(concepts)
+    named = ["cik", "entity_name", "raw_concept"]
+    whole = F.col("concept").startswith("{")
+    parts = concepts.filter(F.col("concept").isNotNull()).select(
+        *named, whole.alias("whole"), F.from_json("concept", CONCEPT)["units"].alias("units")
     )
-    wanted = F.map_filter("concept.units", lambda unit, _: unit.isin(*units))
-    arrays = concepts.select(
-        "cik", "entity_name", "raw_concept", F.explode(wanted).alias("unit", "entries")
+    kept = parts.select(
+        *named, "whole", "units", F.from_json("units", UNITS).alias("by_unit")
+    ).select(
+        *named,
+        F.when(~F.col("whole"), NO_CONCEPT)
+        .when(F.col("units").isNotNull() & F.col("by_unit").isNull(), NO_UNITS).alias("above"),
+        F.map_keys("by_unit").alias("names"),
+        F.map_filter("by_unit", lambda unit, _: unit.isin(*units)).alias("wanted"),
     )
-    return arrays.select("cik", "entity_name", "raw_concept", "unit", F.explode("entries").alias("entry"))
-
-
-def unnest_tracked(
-    bronze: DataFrame, seed: DataFrame, units: tuple[str, ...] = DEFAULTS.units
-) -> DataFrame:
-    """Rows of `unnest_all` whose concept the seed lists.
-
-    The few tags of the seed become the parse schema, so each document is read once and
-    the parser skips the concepts nobody asked for instead of building them.
-    """
-    rows = seed.select("synonym_tag").distinct().limit(MAX_LITERAL_TAGS + 1).collect()
-    tags = sorted(r[0] for r in rows if r[0] is not None)
-    if not tags or len(tags) > MAX_LITERAL_TAGS:
-        return tracked_only(seed)(unnest_all(bronze, units))
-    parsed = _base(bronze).select(
-        "cik",
-        "entity_name",
-        F.from_json("facts_blob", tracked_concepts_type(tags, units))["us-gaap"].alias("gaap"),
+    by_unit = kept.select(*named, "above", "names", F.explode_outer("wanted").alias("unit", "text"))
+    by_unit = by_unit.filter("above IS NOT NULL OR text IS NOT NULL")
+    twice = F.size(F.filter("names", lambda n: n == F.col("unit"))) > 1
+    arrays = by_unit.select(*named, "above", "unit", twice.alias("twice"), F.from_json("text", ENTRIES).alias("entries"))
+    reason = (
+        F.when(F.col("above").isNotNull(), F.col("above"))
+        .when(F.col("twice"), REPEATED_UNIT)
+        .when(F.col("entries").isNull(), NO_ARRAY)
     )
-    arrays = ", ".join(
-        f"struct({_text(tag)} AS raw_concept, {_text(unit)} AS unit, "
-        f"gaap.{_name(tag)}.units.{_name(unit)} AS entries)"
-        for tag in tags
-        for unit in units
+    entries = arrays.select(
+        *named, "unit", reason.alias("above"), F.when(reason.isNull(), F.col("entries")).alias("entries")
     )
-    found = parsed.selectExpr(
-        "cik", "entity_name", f"inline(filter(array({arrays}), a -> a.entries IS NOT NULL))"
+    # A unit named twice came as two rows.
+    entries = entries.filter("above IS NOT NULL OR size(entries) > 0")
+    single = entries.select(*named, "unit", "above", F.explode_outer("entries").alias("entry_text"))
+    bad = F.col("above").isNull() & ~F.coalesce(F.col("entry_text").startswith("{"), F.lit(False))
+    return single.select(
+        *named, "unit", "entry_text", F.when(bad, NO_ENTRY).otherwise(F.col("above")).alias("reason")
     )
-    return found.select("cik", "entity_name", "raw_concept", "unit", F.explode("entries").alias("entry"))
 
 
-def _text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
+def good_entries(entries: DataFrame) -> DataFrame:
+    """Readable entries of `read_entries` as structs: cik, entity_name, raw_concept, unit, entry."""
+    return entries.filter("reason IS NULL").select(
+        "cik", "entity_name", "raw_concept", "unit", F.from_json("entry_text", FACT_ENTRY).alias("entry")
+    )
 
 
-def _name(value: str) -> str:
-    return f"`{value.replace('`', '``')}`"
+def unreadable(entries: DataFrame) -> DataFrame:
+    """(cik, raw_concept, unit, reason, n): what `read_entries` could not read, and how often."""
+    return entries.filter("reason IS NOT NULL").groupBy("cik", "raw_concept", "unit", "reason").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
-def mistyped_units(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -> DataFrame:
-    """(cik, raw_concept, unit) whose value is present but is no array; for quarantine."""
-    shape = "`us-gaap` MAP<STRING, STRUCT<units: MAP<STRING, STRING>>>"
-    parsed = _base(bronze).select("cik", F.from_json("facts_blob", shape)["us-gaap"].alias("gaap"))
-    with_units = F.map_filter("gaap", lambda _, concept: concept["units"].isNotNull())
-    concepts = parsed.select("cik", F.explode(with_units).alias("raw_concept", "concept"))
-    bad = F.map_filter(
-        "concept.units", lambda unit, text: unit.isin(*units) & ~F.ltrim(text).startswith("[")
-    )
-    return concepts.select("cik", "raw_concept", F.explode(F.map_keys(bad)).alias("unit"))
+def unnest_all(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -> DataFrame:
+    """The readable entries of every concept: cik, entity_name, raw_concept, unit, entry."""
+    return good_entries(read_entries(bronze, None, units))
+
+
+def unnest_tracked(
+    bronze: DataFrame, seed: DataFrame, units: tuple[str, ...] = DEFAULTS.units
+) -> DataFrame:
+    """Rows of `unnest_all` whose concept the seed lists."""
+    return good_entries(read_entries(bronze, seed, units))
 
 
 def extract_entries(entries: DataFrame) -> DataFrame:
@@ -117,7 +129,11 @@ def usable_facts(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
+def typed_facts(entries: DataFrame, seed: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Typed, filtered and normalised facts of readable entries."""
+    return normalize_tag(seed)(usable_facts(extract_entries(entries), params))
+
+
 def extracted_facts(bronze: DataFrame, seed: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Tracked, typed, filtered and normalised facts of the bronze documents."""
-    typed = extract_entries(unnest_tracked(bronze, seed, params.units))
-    return normalize_tag(seed)(usable_facts(typed, params))
+    return typed_facts(unnest_tracked(bronze, seed, params.units), seed, params)

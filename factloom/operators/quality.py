@@ -15,6 +15,37 @@ def not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return counts.unpivot([], names, "column_name", "null_rows")
 
 
+def failing_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(check_name, failing_rows) of row rules, all judged in one pass.
+
+    A rule says which rows fail; a null is no failure.
+    """
+    names = list(rules)
+    counts = df.agg(*[F.count_if(rule).alias(f"c{k}") for k, rule in enumerate(rules.values())])
+    pairs = ", ".join(f"'{name}', c{k}" for k, name in enumerate(names))
+    return counts.selectExpr(f"stack({len(names)}, {pairs}) AS (check_name, failing_rows)")
+
+
+def any_null(columns: Iterable[str]) -> Column:
+    """Rows with a null in one of the columns."""
+    bad = F.lit(False)
+    for column in columns:
+        bad = bad | F.col(column).isNull()
+    return bad
+
+
+def outside(column: str, accepted: Iterable[str]) -> Column:
+    return ~F.col(column).isin(*accepted)
+
+
+def is_negative_revenue() -> Column:
+    return (F.col("canonical_concept") == "Revenues") & (F.col("reported_value") < 0)
+
+
+def is_non_finite(column: str = "reported_value") -> Column:
+    return F.isnan(column) | (F.abs(column) == float("inf"))
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys found more than once; keys with a null part are ignored."""
     present = df.dropna(subset=keys)
@@ -43,13 +74,12 @@ def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Data
 
 
 def negative_revenue(df: DataFrame) -> DataFrame:
-    return df.filter((F.col("canonical_concept") == "Revenues") & (F.col("reported_value") < 0))
+    return df.filter(is_negative_revenue())
 
 
 def non_finite_values(df: DataFrame, column: str = "reported_value") -> DataFrame:
     """Values that passed the cast but are NaN or infinite."""
-    v = F.col(column)
-    return df.filter(F.isnan(v) | (F.abs(v) == float("inf")))
+    return df.filter(is_non_finite(column))
 
 
 def freshness(loads: DataFrame, by: list[str], loaded_at: str, as_of: Column, hours: int) -> DataFrame:
@@ -60,12 +90,19 @@ def freshness(loads: DataFrame, by: list[str], loaded_at: str, as_of: Column, ho
     )
 
 
-def report(checks: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, failing_rows, status) from DataFrames of offending rows."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("failing_rows")).withColumn("check_name", F.lit(name))
-        for name, df in checks.items()
-    ]
+def counted_rows(found: DataFrame, name: str) -> DataFrame:
+    """(check_name, failing_rows) of offending rows or of counts of them (`n`, `null_rows`)."""
+    count = next((c for c in ("null_rows", "n") if c in found.columns), None)
+    rows = F.coalesce(F.sum(count), F.lit(0)) if count else F.count(F.lit(1))
+    return found.agg(rows.cast("bigint").alias("failing_rows")).select(
+        F.lit(name).alias("check_name"), "failing_rows"
+    )
+
+
+def report(checks: dict[str, DataFrame], *judged: DataFrame) -> DataFrame:
+    """(check_name, failing_rows, status) from DataFrames of offending rows or counts of them,
+    and from the results of `failing_rows`."""
+    parts = [counted_rows(df, name) for name, df in checks.items()] + list(judged)
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

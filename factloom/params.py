@@ -17,7 +17,8 @@ class Params:
     freshness_hours: int = 25
     inactive_after_months: int = 18
     event_window_days: int = 90
-    max_object_bytes: int = 33554432
+    # Off by default. Documents above it are rejected, and the build reports every reject.
+    max_object_bytes: int | None = None
     units: tuple[str, ...] = ("USD",)
     excluded_forms: tuple[str, ...] = ("8-K", "8-K/A")
     accepted_forms: tuple[str, ...] = (

@@ -17,6 +17,9 @@ from factloom.params import DEFAULTS, Params
 REVENUE, INCOME, EPS, ASSETS = "Revenues", "NetIncomeLoss", "EarningsPerShareBasic", "Assets"
 
 
+# Filer and year at the beginning of an accession number.
+SERIES_LENGTH = 13
+
 _SERIES = "PARTITION BY cik, canonical_concept ORDER BY period_end"
 
 # Looks the quarter up by number, so gaps cannot shift it, and needs no self-join. Of
@@ -133,13 +136,15 @@ def restatements(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Amended values that differ from the value reported before by more than the threshold.
 
     Works on extracted facts, before any of them are resolved away. Copies of an entry,
-    which every new load of a document brings, collapse first; a key with very many
-    filings is split by filing date.
+    which every new load of a document brings, collapse; a key with very many filings is
+    split by filing date, and those without a date by the beginning of their number.
     """
     key = ["cik", "canonical_concept", "raw_concept", "period_start", "period_end"]
     order = ["accession_number", "form_type", "reported_value"]
-    history = facts.select(*key, "filed_date", *order).distinct()
-    lagged = lag_in_chunks(history, key, "filed_date", order, ["reported_value", "accession_number"])
+    series = f"if(filed_date IS NULL, left(accession_number, {SERIES_LENGTH}), '') AS series"
+    history = facts.selectExpr(*key, "filed_date", series, *order)
+    chunks = ["filed_date", "series"]
+    lagged = lag_in_chunks(history, key, chunks, order, ["reported_value", "accession_number"]).drop("series")
     change = pct_change("reported_value", "prev_reported_value")
     return lagged.withColumn("change", change).filter(
         F.col("form_type").endswith("/A") & (F.abs("change") > params.restatement_threshold)

@@ -88,14 +88,15 @@ def margin_trend(silver: DataFrame) -> DataFrame:
 
 
 def peer_benchmark(silver: DataFrame, companies: DataFrame) -> DataFrame:
-    """Mean growth and margin per industry code and quarter; the median margin is exact up
-    to 10,000 peers and a sketch beyond."""
-    rows = quarter_matrix(silver).join(companies.select("cik", "sic_code"), "cik")
+    """Mean growth, mean and median margin per industry code and quarter, over the companies
+    that have one of the two. The median's buffer holds one value per company of the code."""
+    known = quarter_matrix(silver).filter("revenue_qoq IS NOT NULL OR margin IS NOT NULL")
+    rows = known.join(companies.select("cik", "sic_code"), "cik")
     return rows.groupBy("sic_code", "q_idx").agg(
         F.count(F.lit(1)).alias("companies"),
         F.avg("revenue_qoq").alias("avg_growth"),
         F.avg("margin").alias("avg_margin"),
-        F.percentile_approx("margin", 0.5, 10000).alias("median_margin"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY margin)").alias("median_margin"),
     )
 
 

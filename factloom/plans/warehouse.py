@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.operators import quality
 from factloom.operators.companies import companies, flatten_filings, last_filing
 from factloom.operators.coverage import filing_periods
-from factloom.operators.extract import extracted_facts
+from factloom.operators.extract import good_entries, read_entries, typed_facts, unreadable
 from factloom.params import ALL_UNITS, DEFAULTS, Params
 from factloom.plans import anomalies, gold
 from factloom.plans.silver import silver_financials
 from factloom.sources import seeds
 from factloom.sources.documents import (
     GOOD,
+    REJECTED,
     judge_documents,
+    judge_submissions,
     raw_company_facts,
     raw_submissions,
     read_fact_documents,
@@ -30,6 +34,7 @@ def build(
     facts_path: str,
     submissions_path: str,
     as_of: Column | None = None,
+    now: Column | None = None,
     params: Params = Params(units=ALL_UNITS),
     multi_line: bool = True,
 ) -> DataFrame:
@@ -39,6 +44,7 @@ def build(
     executor costs a stage and never the parse of the documents.
     """
     as_of = F.current_date() if as_of is None else as_of
+    now = F.current_timestamp() if now is None else now
     seed = store.write(seeds.synonyms(spark), "seeds", "gaap_tag_synonyms")
     store.write(seeds.tracked_companies(spark), "seeds", "companies")
 
@@ -46,13 +52,20 @@ def build(
     landed = store.write(
         raw_company_facts(judged), "bronze", "raw_company_facts", ("status",), wide_rows=True
     )
-    bronze = landed.filter(F.col("status") == GOOD)
-    documents = read_submission_documents(spark, submissions_path, multi_line)
-    submissions = store.write(raw_submissions(documents), "bronze", "raw_submissions")
+    documents = judge_submissions(read_submission_documents(spark, submissions_path, multi_line))
+    received = store.write(raw_submissions(documents), "bronze", "raw_submissions", ("status",))
+    submissions = received.filter(F.col("status") == GOOD)
 
-    entries = store.write(extracted_facts(bronze, seed, params), "silver", "fact_entries")
+    # One parse of the documents serves the facts and the account of what could not be read.
+    entries = read_entries(landed.filter(F.col("status") == GOOD), seed, params.units)
+    entries = store.write(
+        entries.withColumn("status", F.when(F.col("reason").isNull(), GOOD).otherwise(REJECTED)),
+        "bronze", "concept_entries", ("status",),
+    )
+    rejected = store.write(unreadable(entries), "bronze", "rejected_concepts")
+    facts = store.write(typed_facts(good_entries(entries), seed, params), "silver", "fact_entries")
     silver = store.write(
-        silver_financials(entries).repartitionByRange("period_year", "cik"),
+        silver_financials(facts).repartitionByRange("period_year", "cik"),
         "silver", "stg_financials", partition_by=("period_year",),
     )
     company = store.write(companies(submissions), "silver", "stg_companies")
@@ -66,56 +79,78 @@ def build(
     dim_concept = store.write(gold.dim_gaap_concepts(seed), "gold", "dim_gaap_concepts")
     fact = store.write(gold.fact_financials(silver), "gold", "fact_financials")
     store.write(
-        anomalies.anomaly_flags(silver, entries, params), "gold", "rpt_anomaly_flags"
+        anomalies.anomaly_flags(silver, facts, params), "gold", "rpt_anomaly_flags"
     )
-    return checks(bronze, submissions, silver, company, fact, dim_company, dim_period, dim_concept, params)
-
-
-def checks(
-    bronze: DataFrame,
-    submissions: DataFrame,
-    silver: DataFrame,
-    company: DataFrame,
-    fact: DataFrame,
-    dim_company: DataFrame,
-    dim_period: DataFrame,
-    dim_concept: DataFrame,
-    params: Params = DEFAULTS,
-) -> DataFrame:
-    """Report of every column, key and relationship check over the built tables."""
-    required = {
-        "raw_company_facts": (bronze, ["cik_raw", "entity_name", "facts_blob", "loaded_at"]),
-        "raw_submissions": (submissions, ["cik_raw", "company_name_raw", "loaded_at"]),
-        "stg_financials": (
-            silver,
-            ["cik", "canonical_concept", "reported_value", "period_end", "form_type",
-             "value_type", "accession_number", "filed_date"],
+    tables = Tables(landed, received, rejected, silver, company, fact, dim_company, dim_period, dim_concept)
+    return checks(tables, now, params)
+
+
+@dataclass(frozen=True)
+class Tables:
+    """What the checks look at."""
+
+    documents: DataFrame
+    submissions: DataFrame
+    rejected_concepts: DataFrame
+    silver: DataFrame
+    company: DataFrame
+    fact: DataFrame
+    dim_company: DataFrame
+    dim_period: DataFrame
+    dim_concept: DataFrame
+
+
+def checks(tables: Tables, now: Column, params: Params = DEFAULTS) -> DataFrame:
+    """Report of every check over the built tables; `failing_rows` counts rows.
+
+    The rules of a table's rows are judged in one pass over the columns they name. Documents
+    are judged by their size in bytes; their text is not read again.
+    """
+    good = F.col("status") == GOOD
+    raw, companies_raw = tables.documents, tables.submissions
+    stale_before = now - F.expr(f"INTERVAL {params.freshness_hours} HOURS")
+    rows = [
+        quality.failing_rows(raw, {
+            "documents rejected": ~good,
+            "not_null raw_company_facts": good
+            & quality.any_null(["cik_raw", "entity_name", "facts_bytes", "loaded_at"]),
+            "documents fresh": good & (F.col("source_modified_at") < stale_before),
+        }),
+        quality.failing_rows(companies_raw, {
+            "submissions rejected": ~good,
+            "not_null raw_submissions": good & quality.any_null(["cik_raw", "company_name_raw", "loaded_at"]),
+        }),
+        quality.failing_rows(tables.silver, {
+            "not_null stg_financials": quality.any_null(
+                ["cik", "canonical_concept", "reported_value", "period_end", "form_type",
+                 "value_type", "accession_number", "filed_date"]
+            ),
+            "accepted form_type": quality.outside("form_type", params.accepted_forms),
+            "accepted value_type": quality.outside("value_type", params.accepted_value_types),
+            "revenue not negative": quality.is_negative_revenue(),
+            "values finite": quality.is_non_finite(),
+        }),
+        quality.failing_rows(
+            tables.company, {"not_null stg_companies": quality.any_null(["cik", "company_name"])}
         ),
-        "stg_companies": (company, ["cik", "company_name"]),
-        "fact_financials": (fact, ["financial_key", "cik", "period_end"]),
-    }
-    found = {
-        f"not_null {name}": quality.not_null(df, columns).filter("null_rows > 0")
-        for name, (df, columns) in required.items()
-    }
-    found |= {
-        "unique raw_company_facts": quality.duplicates(bronze, ["cik_raw"]),
-        "unique raw_submissions": quality.duplicates(submissions, ["cik_raw"]),
-        "unique stg_companies": quality.duplicates(company, ["cik"]),
-        "unique financial_key": quality.duplicates(fact, ["financial_key"]),
-        "accepted form_type": quality.unaccepted_values(silver, "form_type", params.accepted_forms),
-        "accepted value_type": quality.unaccepted_values(
-            silver, "value_type", params.accepted_value_types
+        quality.failing_rows(
+            tables.fact,
+            {"not_null fact_financials": quality.any_null(["financial_key", "cik", "period_end"])},
         ),
-        "relationship company": quality.orphans(fact, "cik", dim_company, "cik"),
-        "relationship period": quality.orphans(fact, "period_key", dim_period, "period_key"),
+    ]
+    found = {
+        "concepts unreadable": tables.rejected_concepts,
+        "unique raw_company_facts": quality.duplicates(raw.filter(good), ["cik_raw"]),
+        "unique raw_submissions": quality.duplicates(companies_raw.filter(good), ["cik_raw"]),
+        "unique stg_companies": quality.duplicates(tables.company, ["cik"]),
+        "unique financial_key": quality.duplicates(tables.fact, ["financial_key"]),
+        "relationship company": quality.orphans(tables.fact, "cik", tables.dim_company, "cik"),
+        "relationship period": quality.orphans(tables.fact, "period_key", tables.dim_period, "period_key"),
         "relationship concept": quality.orphans(
-            fact, "canonical_concept", dim_concept, "canonical_tag"
+            tables.fact, "canonical_concept", tables.dim_concept, "canonical_tag"
         ),
         "no duplicate periods": quality.duplicates(
-            silver, ["cik", "canonical_concept", "period_end"]
+            tables.silver, ["cik", "canonical_concept", "period_end"]
         ),
-        "revenue not negative": quality.negative_revenue(silver),
-        "values finite": quality.non_finite_values(silver),
     }
-    return quality.report(found)
+    return quality.report(found, *rows)

@@ -52,8 +52,12 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
     return silver_plan.facts_from_rows(rows(spark, folder), seeds.synonyms(spark))
 
 
-def silver(spark: SparkSession, folder: str) -> DataFrame:
-    return silver_plan.silver_financials(facts(spark, folder))
+def silver(spark: SparkSession, folder: str, *concepts: str) -> DataFrame:
+    """Resolved facts; with `concepts` only theirs, left out before anything is resolved."""
+    found = facts(spark, folder)
+    return silver_plan.silver_financials(
+        found.filter(F.col("canonical_concept").isin(*concepts)) if concepts else found
+    )
 
 
 def fact_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators.companies import companies, flatten_filings, last_filing
 from factloom.plans import anomalies, gold, reports
-from factloom.plans.silver import silver_financials
+from factloom.plans.silver import facts_from_rows, silver_financials
 from factloom.registry.base import bronze_submissions, facts, query, rows, silver, sql
 from factloom.session import stored
 from factloom.sources import seeds
@@ -152,32 +152,38 @@ def _rounded(flags: DataFrame) -> DataFrame:
     )
 
 
-def _one_rule(spark: SparkSession, folder: str, rule: Column) -> DataFrame:
-    return _rounded(anomalies.fired_rules(silver(spark, folder), [rule]))
+def _one_rule(spark: SparkSession, folder: str, rule: Column, *concepts: str) -> DataFrame:
+    """A rule over the concepts it looks at."""
+    return _rounded(anomalies.fired_rules(silver(spark, folder, *concepts), [rule]))
 
 
 @query("anomaly_revenue_spike", sql(f"{_FLAG_SQL} FROM r1", "r1"))
 def anomaly_revenue_spike(spark: SparkSession, folder: str) -> DataFrame:
-    return _one_rule(spark, folder, anomalies.revenue_spike())
+    return _one_rule(spark, folder, anomalies.revenue_spike(), anomalies.REVENUE)
 
 
 @query("anomaly_sign_flip", sql(f"{_FLAG_SQL} FROM r2", "r2"))
 def anomaly_sign_flip(spark: SparkSession, folder: str) -> DataFrame:
-    return _one_rule(spark, folder, anomalies.income_sign_flip())
+    return _one_rule(spark, folder, anomalies.income_sign_flip(), anomalies.INCOME, anomalies.REVENUE)
 
 
 @query("anomaly_eps_drop", sql(f"{_FLAG_SQL} FROM r3", "r3"))
 def anomaly_eps_drop(spark: SparkSession, folder: str) -> DataFrame:
-    return _one_rule(spark, folder, anomalies.eps_drop())
+    return _one_rule(spark, folder, anomalies.eps_drop(), anomalies.EPS)
 
 
 @query("anomaly_asset_jump", sql(f"{_FLAG_SQL} FROM r4", "r4"))
 def anomaly_asset_jump(spark: SparkSession, folder: str) -> DataFrame:
-    return _one_rule(spark, folder, anomalies.asset_jump())
+    return _one_rule(spark, folder, anomalies.asset_jump(), anomalies.ASSETS)
 
 
 def _flags(spark: SparkSession, folder: str) -> DataFrame:
-    base = facts(spark, folder)
+    return _flags_of(spark, rows(spark, folder))
+
+
+def _flags_of(spark: SparkSession, filed: DataFrame) -> DataFrame:
+    """Flags of fact rows; the facts serve twice and are built once."""
+    base = stored(spark, facts_from_rows(filed, seeds.synonyms(spark)), "facts")
     return anomalies.anomaly_flags(silver_financials(base), base)
 
 
@@ -191,9 +197,9 @@ _FEED_ORDER = "ORDER BY severity DESC NULLS LAST, cik, canonical_concept, period
 
 @query("anomaly_feed", sql(f"""
     {_FLAG_SQL}, 'filings/' || cik || '/' || accession_number AS filing_link
-    FROM (SELECT * FROM flags {_FEED_ORDER} LIMIT 100)""", "flags"))
+    FROM flags {_FEED_ORDER}""", "flags"))
 def anomaly_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(anomalies.anomaly_feed(_flags(spark, folder), top=100))
+    return _rounded(anomalies.anomaly_feed(_flags(spark, folder)))
 
 
 @query("anomaly_feed_filtered", sql(f"""
@@ -213,13 +219,16 @@ def anomaly_feed_filtered(spark: SparkSession, folder: str) -> DataFrame:
          AND e.filed_date BETWEEN f.period_end AND f.period_end + 90
     GROUP BY f.cik, f.canonical_concept, f.period_end, f.rule""", "flags", "filing_rows"))
 def event_window_join(spark: SparkSession, folder: str) -> DataFrame:
-    disclosures = rows(spark, folder).filter(F.upper("form_raw") == "8-K")
-    events = disclosures.select("cik", F.col("filed_date").alias("event_date"))
-    return anomalies.events_near_anomalies(_flags(spark, folder), events)
+    filed = stored(spark, rows(spark, folder), "filed")
+    events = filed.filter(F.upper("form_raw") == "8-K").select("cik", F.col("filed_date").alias("event_date"))
+    return anomalies.events_near_anomalies(_flags_of(spark, filed), events)
 
 
 # Pages -----------------------------------------------------------------------------------
 
+_CARDS = (anomalies.REVENUE, anomalies.INCOME, anomalies.EPS, anomalies.ASSETS)
+_MARGIN = (anomalies.REVENUE, anomalies.INCOME)
+
 
 @query("overview_cards", sql("""
     SELECT cik,
@@ -231,7 +240,7 @@ def event_window_join(spark: SparkSession, folder: str) -> DataFrame:
            arg_max(reported_value, period_end) FILTER (canonical_concept = 'Assets') AS assets
     FROM silver GROUP BY cik""", "silver"))
 def overview_cards(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.overview_cards(silver(spark, folder))
+    return reports.overview_cards(silver(spark, folder, *_CARDS))
 
 
 @query("sparkline_last8", sql("""
@@ -279,23 +288,25 @@ def annual_rollup(spark: SparkSession, folder: str) -> DataFrame:
     SELECT cik, q_idx, revenue, net_income, revenue_qoq, income_qoq FROM matrix
     WHERE revenue IS NOT NULL AND net_income IS NOT NULL""", "matrix"))
 def income_vs_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.income_vs_revenue(silver(spark, folder))
+    return reports.income_vs_revenue(silver(spark, folder, *_MARGIN))
 
 
 @query("margin_trend", sql(
     "SELECT cik, q_idx, margin FROM matrix WHERE margin IS NOT NULL", "matrix"))
 def margin_trend(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.margin_trend(silver(spark, folder))
+    return reports.margin_trend(silver(spark, folder, *_MARGIN))
 
 
 @query("peer_benchmark", sql("""
     SELECT sic_code, q_idx, count(*) AS companies, round(avg(revenue_qoq), 6) AS avg_growth,
            round(avg(margin), 6) AS avg_margin,
            round(quantile_disc(margin, 0.5), 6) AS median_margin
-    FROM matrix m JOIN companies c ON c.cik = m.cik GROUP BY sic_code, q_idx""",
+    FROM matrix m JOIN companies c ON c.cik = m.cik
+    WHERE revenue_qoq IS NOT NULL OR margin IS NOT NULL GROUP BY sic_code, q_idx""",
     "matrix", "companies"))
 def peer_benchmark(spark: SparkSession, folder: str) -> DataFrame:
-    peers = reports.peer_benchmark(silver(spark, folder), companies(bronze_submissions(spark, folder)))
+    directory = companies(bronze_submissions(spark, folder))
+    peers = reports.peer_benchmark(silver(spark, folder, *_MARGIN), directory)
     return peers.withColumns(
         {c: F.round(c, 6) for c in ("avg_growth", "avg_margin", "median_margin")}
     )

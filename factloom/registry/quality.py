@@ -9,7 +9,7 @@ from factloom.operators import quality
 from factloom.params import DEFAULTS
 from factloom.plans import gold
 from factloom.plans.silver import silver_financials
-from factloom.registry.base import facts, query, rows, sql
+from factloom.registry.base import CTES, facts, query, rows, sql
 from factloom.session import stored
 from factloom.sources import seeds
 from factloom.sources.tables import table
@@ -32,6 +32,7 @@ def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
     return quality.duplicates(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+# The list below are fixed values: accepted form codes, stated apart from the code they check.
 @query("dq_accepted_values", sql("""
     SELECT 'form_type' AS column_name, upper(form_raw) AS value, count(*) AS n FROM filing_rows
     WHERE upper(form_raw) NOT IN ('10-K', '10-Q', '10-K/A', '10-Q/A', '20-F', '40-F', '10-K405',
@@ -89,37 +90,71 @@ def dq_freshness(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("user_id", F.unix_micros("last_loaded").alias("last_us"), "is_stale")
 
 
-@query("dq_report", sql("""
-    SELECT check_name, failing_rows,
+def _number(name: str) -> str:
+    return f"CAST(accession_number AS BIGINT) % {name}"
+
+
+_DAMAGED_SQL = f""", charged AS (
+        SELECT * REPLACE (CASE WHEN {_number(97)} = 0 THEN CAST('Infinity' AS DOUBLE)
+                               WHEN canonical_concept = 'Revenues' THEN reported_value - 100000
+                               ELSE reported_value END AS reported_value) FROM facts),
+    damaged AS (SELECT * FROM charged UNION ALL SELECT * FROM charged WHERE {_number(83)} = 0),
+    {CTES["latest"].replace("latest AS", "latest_damaged AS").replace("FROM facts", "FROM damaged")},
+    {CTES["silver"].replace("silver AS", "silver_damaged AS").replace("FROM latest", "FROM latest_damaged")},
+    resolved AS (SELECT * FROM silver_damaged
+                 UNION ALL SELECT * FROM silver_damaged WHERE {_number(89)} = 0)"""
+
+
+def _repeated(relation: str, keys: str) -> str:
+    return f"""(SELECT coalesce(sum(n), 0) FROM (
+        SELECT count(*) AS n FROM {relation} GROUP BY {keys} HAVING count(*) > 1))"""
+
+
+@query("dq_report", sql(f"""{_DAMAGED_SQL}
+    SELECT check_name, CAST(failing_rows AS BIGINT) AS failing_rows,
            CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status
-    FROM (SELECT 'not null' AS check_name,
-                 CAST(count(*) FILTER (period_start IS NULL) > 0 AS BIGINT) AS failing_rows
-          FROM facts
-          UNION ALL SELECT 'unique accession', (SELECT count(*) FROM (
-              SELECT 1 FROM facts GROUP BY accession_number HAVING count(*) > 1))
-          UNION ALL SELECT 'duplicate periods', (SELECT count(*) FROM (
-              SELECT 1 FROM facts GROUP BY cik, canonical_concept, period_end HAVING count(*) > 1))
-          UNION ALL SELECT 'silver periods', 0
-          UNION ALL SELECT 'concept known', (SELECT count(DISTINCT canonical_concept) FROM facts
+    FROM (SELECT 'not null' AS check_name, (SELECT count(*) FROM damaged WHERE cik IS NULL
+              OR period_start IS NULL OR period_end IS NULL OR reported_value IS NULL
+              OR filed_date IS NULL) AS failing_rows
+          UNION ALL SELECT 'accepted form', (SELECT count(*) FROM damaged
+              WHERE form_type NOT IN ('10-K', '10-Q'))
+          UNION ALL SELECT 'unique accession', {_repeated("damaged", "accession_number")}
+          UNION ALL SELECT 'duplicate periods', {_repeated("damaged", "cik, canonical_concept, period_end")}
+          UNION ALL SELECT 'silver periods', {_repeated("resolved", "cik, canonical_concept, period_end")}
+          UNION ALL SELECT 'concept known', (SELECT count(*) FROM damaged
               WHERE canonical_concept NOT IN (SELECT canonical_tag FROM concepts))
-          UNION ALL SELECT 'revenue not negative', 0
-          UNION ALL SELECT 'values finite', 0)""", "facts", "concepts"))
+          UNION ALL SELECT 'revenue not negative', (SELECT count(*) FROM resolved
+              WHERE canonical_concept = 'Revenues' AND reported_value < 0)
+          UNION ALL SELECT 'values finite', (SELECT count(*) FROM resolved
+              WHERE isinf(reported_value) OR isnan(reported_value)))""", "facts", "concepts"))
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
-    all_facts = stored(spark, facts(spark, folder), "facts")
-    resolved = stored(spark, silver_financials(all_facts), "silver")
+    """Every check, over facts damaged so that each finds something: a charge on revenue,
+    infinite values, repeated facts and, after resolving, repeated periods."""
+    value = f"""CASE WHEN {_number(97)} = 0 THEN double('Infinity')
+                     WHEN canonical_concept = 'Revenues' THEN reported_value - 100000
+                     ELSE reported_value END"""
+    charged = facts(spark, folder).withColumn("reported_value", F.expr(value))
+    damaged = stored(spark, charged.unionByName(charged.filter(f"{_number(83)} = 0")), "facts")
+    silver = stored(spark, silver_financials(damaged), "silver")
+    resolved = silver.unionByName(silver.filter(f"{_number(89)} = 0"))
     key = ["cik", "canonical_concept", "period_end"]
     concepts = gold.dim_gaap_concepts(seeds.synonyms(spark))
     required = ["cik", "period_start", "period_end", "reported_value", "filed_date"]
     return quality.report(
         {
-            "not null": quality.not_null(all_facts, required).filter("null_rows > 0"),
-            "unique accession": quality.duplicates(all_facts, ["accession_number"]),
-            "duplicate periods": quality.duplicates(all_facts, key),
+            "unique accession": quality.duplicates(damaged, ["accession_number"]),
+            "duplicate periods": quality.duplicates(damaged, key),
             "silver periods": quality.duplicates(resolved, key),
             "concept known": quality.orphans(
-                all_facts, "canonical_concept", concepts, "canonical_tag"
+                damaged, "canonical_concept", concepts, "canonical_tag"
             ),
-            "revenue not negative": quality.negative_revenue(resolved),
-            "values finite": quality.non_finite_values(resolved),
-        }
+        },
+        quality.failing_rows(damaged, {
+            "not null": quality.any_null(required),
+            "accepted form": quality.outside("form_type", ("10-K", "10-Q")),
+        }),
+        quality.failing_rows(resolved, {
+            "revenue not negative": quality.is_negative_revenue(),
+            "values finite": quality.is_non_finite(),
+        }),
     )

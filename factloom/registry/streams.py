@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.plans.silver import SILVER_COLUMNS, facts_from_rows
@@ -11,10 +11,10 @@ from factloom.registry.silver import _SILVER_SQL
 from factloom.session import shared_path
 from factloom.sources import seeds
 from factloom.sources.documents import concept_count, land_documents
-from factloom.sources.tables import facts_from_orders, table
-from factloom.streaming.landing import document_stream, land_stream, landed
-from factloom.streaming.latest import current_table, keep_latest
-from factloom.streaming.monitor import append_to, arrival_windows, suppress_repeats
+from factloom.sources.tables import facts_from_orders, put_files, table
+from factloom.streaming.landing import document_stream, land_changed, land_stream, landed
+from factloom.streaming.latest import compact, current_table, keep_latest
+from factloom.streaming.monitor import append_to, arrival_windows, count_arrivals, suppress_repeats
 
 
 def _table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,24 +44,75 @@ def stream_latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     arriving = facts_from_orders(orders, table(spark, folder, "customer"))
     facts = facts_from_rows(arriving, seeds.synonyms(spark))
     keep_latest(facts, f"{root}/changes", f"{root}/checkpoint").awaitTermination()
+    compact(spark, f"{root}/changes")
     return current_table(spark, f"{root}/changes").select(*SILVER_COLUMNS)
 
 
 @query("stream_arrival_windows", """
-    SELECT CAST(epoch(day) AS BIGINT) AS window_seconds, event_type, count(*) AS arrivals
-    FROM (SELECT event_type, date_trunc('day', ts) AS day FROM events)
-    WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
-    GROUP BY day, event_type""")
+    SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS window_seconds, event_type,
+           count(*) AS arrivals
+    FROM events GROUP BY ALL""")
 def stream_arrival_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """Closed windows only: the last day stays open behind the watermark."""
     root = shared_path(spark, "arrivals")
-    counted = arrival_windows(_table_stream(spark, folder, "events"), "ts", ["event_type"])
-    append_to(counted, f"{root}/windows", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/windows").select(
+    events = _table_stream(spark, folder, "events")
+    count_arrivals(events, f"{root}/counts", f"{root}/checkpoint", "ts", ["event_type"]).awaitTermination()
+    return arrival_windows(spark, f"{root}/counts", ["event_type"]).select(
         F.unix_seconds("window_start").alias("window_seconds"), "event_type", "arrivals"
     )
 
 
+# Fixed value of the fixture: micro-batches that the events arrive in.
+ARRIVAL_BATCHES = 12
+
+
+@query("late_arrivals", f"""
+    WITH delivered AS (
+        SELECT ts, event_type, CASE WHEN event_id % 10 = 0 THEN {ARRIVAL_BATCHES} - 1
+               ELSE event_id % {ARRIVAL_BATCHES} END AS batch FROM events),
+    highest AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
+                AND 1 PRECEDING) AS before FROM delivered GROUP BY batch)
+    SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS window_seconds, event_type,
+           count(*) AS arrivals,
+           CAST(sum(coalesce(ts < before - INTERVAL 1 HOUR, false)::INT) AS BIGINT) AS late
+    FROM delivered JOIN highest USING (batch) GROUP BY ALL""")
+def late_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Events delivered out of order over several micro-batches, a tenth of them in the last."""
+    root = shared_path(spark, "late")
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type")
+    last = F.lit(ARRIVAL_BATCHES - 1)
+    batch = F.when(F.col("event_id") % 10 == 0, last).otherwise(F.col("event_id") % ARRIVAL_BATCHES)
+    put_files(spark, events.withColumn("batch", batch.cast("int")), "batch", f"{root}/in")
+    stream = (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    )
+    count_arrivals(stream, f"{root}/counts", f"{root}/checkpoint", "ts", ["event_type"]).awaitTermination()
+    return arrival_windows(spark, f"{root}/counts", ["event_type"]).select(
+        F.unix_seconds("window_start").alias("window_seconds"), "event_type", "arrivals", "late"
+    )
+
+
+@query("stream_refresh", sql("""
+    SELECT CAST(CAST(cik AS BIGINT) AS VARCHAR) AS cik_raw, entity_name, 2 * count(DISTINCT part) AS versions,
+           count(DISTINCT part) AS newest, count(DISTINCT (part, raw_concept)) AS concepts
+    FROM filing_rows GROUP BY ALL""", "filing_rows"))
+def stream_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's file is replaced in place by one with all its concepts."""
+    root = shared_path(spark, "refresh")
+    whole = fact_documents(spark, folder).withColumn("file", F.pmod(F.xxhash64("cik", "part"), F.lit(4)))
+    empty = F.regexp_replace("document", '"us-gaap":.*$', '"us-gaap":{}}}')
+    for version in (whole.withColumn("document", empty), whole):
+        put_files(spark, version.select("file", F.col("document").alias("value")), "file", f"{root}/in", "text")
+        land_changed(spark, f"{root}/in", f"{root}/bronze", multi_line=False, pattern="*")
+    good = landed(spark, f"{root}/bronze")
+    last = F.max("source_modified_at").over(Window.partitionBy("source_path"))
+    counted = good.withColumn("is_newest", F.col("source_modified_at") == last)
+    return counted.groupBy("cik_raw", "entity_name").agg(
+        F.count(F.lit(1)).alias("versions"),
+        F.count_if("is_newest").alias("newest"),
+        F.sum(F.when(F.col("is_newest"), concept_count("facts_blob"))).alias("concepts"),
+    )
+
+
 @query("stream_dedup", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event is delivered twice, as overlapping polls do; one delivery survives."""

@@ -53,11 +53,3 @@ def all_concepts_type() -> T.StructType:
     units = T.MapType(T.StringType(), T.ArrayType(FACT_ENTRY))
     concept = T.StructType([T.StructField("units", units)])
     return T.StructType([T.StructField("us-gaap", T.MapType(T.StringType(), concept))])
-
-
-def tracked_concepts_type(tags: list[str], units: tuple[str, ...]) -> T.StructType:
-    """Only the named concepts and units; the parser skips every other key unread."""
-    unit_type = T.StructType([T.StructField(u, T.ArrayType(FACT_ENTRY)) for u in units])
-    concept = T.StructType([T.StructField("units", unit_type)])
-    gaap = T.StructType([T.StructField(t, concept) for t in tags])
-    return T.StructType([T.StructField("us-gaap", gaap)])

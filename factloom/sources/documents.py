@@ -13,7 +13,15 @@ from factloom.schemas import CORRUPT, FACTS_DOCUMENT, SUBMISSIONS_DOCUMENT
 GOOD, REJECTED = "good", "rejected"
 
 
-def read_fact_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _landed_with(documents: DataFrame) -> list[str]:
+    """Columns that a landed document keeps where its reading or judging gave them."""
+    judged = ("status", "reason", CORRUPT) if "status" in documents.columns else ()
+    return [c for c in ("source_path", "source_modified_at", *judged) if c in documents.columns]
+
+
+def read_fact_documents(
+    spark: SparkSession, path: str | list[str], multi_line: bool = True
+) -> DataFrame:
     """One row per document with `facts` kept as raw JSON text.
 
     `multi_line` reads one (possibly indented) object per file; switch it off for files
@@ -21,12 +29,15 @@ def read_fact_documents(spark: SparkSession, path: str, multi_line: bool = True)
     """
     return (
         spark.read.schema(FACTS_DOCUMENT).option("multiLine", multi_line).json(path)
+        .withColumn("source_path", F.col("_metadata.file_path"))
         .withColumn("source_modified_at", F.col("_metadata.file_modification_time"))
         .withColumn("source_bytes", F.col("_metadata.file_size"))
     )
 
 
-def read_submission_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_submission_documents(
+    spark: SparkSession, path: str | list[str], multi_line: bool = True
+) -> DataFrame:
     return spark.read.schema(SUBMISSIONS_DOCUMENT).option("multiLine", multi_line).json(path)
 
 
@@ -36,16 +47,22 @@ def discover_schema(spark: SparkSession, sample_document: str) -> str:
 
 
 def rejection_reason(params: Params = DEFAULTS) -> Column:
-    """Why a fact document cannot be used; null for good ones.
+    """Why a fact document cannot be used; null for good ones. Reads column `gaap`, its concepts.
 
     An object that repeats a concept key has no single reading, so it is set aside too.
     """
-    keys = F.json_object_keys(F.get_json_object("facts", "$['us-gaap']"))
-    return (
+    concepts = F.map_keys("gaap")
+    # Only looked at where no concepts came out: absent is fine, present is not.
+    present = F.get_json_object("facts", "$['us-gaap']").isNotNull()
+    reason = (
         F.when(F.col(CORRUPT).isNotNull(), "malformed")
         .when(F.col("facts").isNull(), "missing facts")
-        .when(F.octet_length("facts") > params.max_object_bytes, "too large")
-        .when(F.size(keys) > F.size(F.array_distinct(keys)), "repeated concept")
+        .when(~F.ltrim("facts").startswith("{"), "facts is no object")
+    )
+    if params.max_object_bytes is not None:
+        reason = reason.when(F.octet_length("facts") > params.max_object_bytes, "too large")
+    return reason.when(F.col("gaap").isNull() & present, "taxonomy is no object").when(
+        F.size(concepts) > F.size(F.array_distinct(concepts)), "repeated concept"
     )
 
 
@@ -54,7 +71,18 @@ def judge_documents(documents: DataFrame, params: Params = DEFAULTS) -> DataFram
 
     Writing the outcome partitioned by status separates the two in one read of the input.
     """
-    judged = documents.withColumn("reason", rejection_reason(params))
+    read = documents.withColumn("gaap", F.from_json("facts", "`us-gaap` MAP<STRING, STRING>")["us-gaap"])
+    return _with_status(read.withColumn("reason", rejection_reason(params)).drop("gaap"))
+
+
+def judge_submissions(documents: DataFrame) -> DataFrame:
+    """As `judge_documents`, for company metadata: it must be readable and name its company."""
+    known = F.col("cik").try_cast("bigint").isNotNull()
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").when(~known, "missing cik")
+    return _with_status(documents.withColumn("reason", reason))
+
+
+def _with_status(judged: DataFrame) -> DataFrame:
     return judged.withColumn("status", F.when(F.col("reason").isNull(), GOOD).otherwise(REJECTED))
 
 
@@ -87,8 +115,9 @@ def raw_company_facts(documents: DataFrame) -> DataFrame:
         F.col("cik").try_cast("bigint").cast("string").alias("cik_raw"),
         F.col("entityName").alias("entity_name"),
         F.col("facts").alias("facts_blob"),
+        F.octet_length("facts").alias("facts_bytes"),
         F.current_timestamp().alias("loaded_at"),
-        *[c for c in ("status", "reason", CORRUPT) if "status" in documents.columns],
+        *_landed_with(documents),
     )
 
 
@@ -104,6 +133,7 @@ def raw_submissions(documents: DataFrame, loaded_at: Column | None = None) -> Da
         F.col("exchanges").alias("exchanges_raw"),
         F.col("filings").alias("filings_blob"),
         (F.current_timestamp() if loaded_at is None else loaded_at).alias("loaded_at"),
+        *_landed_with(documents),
     )
 
 

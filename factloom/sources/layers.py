@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("seeds", "bronze", "silver", "gold")
@@ -15,7 +18,18 @@ WIDE_ROW_OPTIONS = {
 }
 
 
+# Below a table's folder: a folder for each version, and a file that names the current one.
+POINTER = "CURRENT"
+
+
 class LayerStore:
+    """Tables that a rebuild replaces at once.
+
+    A rebuild writes a folder of its own and then switches the pointer, by one rename. Until
+    then, and when it fails, readers see the version before. That one is kept until the next
+    rebuild, so a reader that has begun finishes on the one it began with. One writer a table.
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -34,21 +48,53 @@ class LayerStore:
         wide_rows: bool = False,
     ) -> DataFrame:
         """Full rebuild of one table; returns the written table, so lineage ends here."""
-        writer = df.write.mode("overwrite").options(**(WIDE_ROW_OPTIONS if wide_rows else {}))
+        version = f"v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        writer = df.write.options(**(WIDE_ROW_OPTIONS if wide_rows else {}))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(layer, name))
+        writer.parquet(f"{self.path(layer, name)}/{version}")
+        self._switch(layer, name, version)
         return self.read(layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        return self.spark.read.parquet(self.current(layer, name))
+
+    def current(self, layer: str, name: str) -> str:
+        """Folder of the version that readers get."""
+        folder = self.path(layer, name)
+        pointer = self.spark.read.text(f"{folder}/{POINTER}").first()
+        return f"{folder}/{pointer[0]}"
 
     def register(self, layer: str, name: str, partitioned: bool = False) -> None:
-        """Make a written table visible to SQL as `layer.name`."""
+        """Make the current version visible to SQL as `layer.name`; again after a rebuild."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+        # The files are not the catalog's: dropping the entry leaves them.
+        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {layer}.{name} USING parquet "
-            f"LOCATION '{self.path(layer, name)}'"
+            f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{self.current(layer, name)}'"
         )
         if partitioned:
             self.spark.sql(f"MSCK REPAIR TABLE {layer}.{name}")
+
+    def _switch(self, layer: str, name: str, version: str) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        hadoop = jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(self.path(layer, name))
+        files = folder.getFileSystem(conf)
+        before = None
+        if files.exists(hadoop.Path(folder, POINTER)):
+            before = self.current(layer, name).rpartition("/")[2]
+        fresh = hadoop.Path(folder, f".{version}.pointer")
+        stream = files.create(fresh, True)
+        stream.write(bytearray(version.encode()))
+        stream.close()
+        # An overwriting rename is one step to every reader.
+        options = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        options[0] = hadoop.Options.Rename.OVERWRITE
+        hadoop.FileContext.getFileContext(folder.toUri(), conf).rename(
+            fresh, hadoop.Path(folder, POINTER), options
+        )
+        for status in files.listStatus(folder):
+            old = status.getPath().getName()
+            if old.startswith("v-") and old < version and old != before:
+                files.delete(hadoop.Path(folder, old), True)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.session import shared_path
+
 # Declared, so that opening a table reads no file footer.
 SCHEMAS = {
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
@@ -103,3 +107,25 @@ def submission_documents(spark: SparkSession, folder: str) -> DataFrame:
     return folded.join(company, "c_custkey").selectExpr(
         "timestamp_seconds(1704067200 + part * 3600) AS loaded_at", f"{document} AS document"
     )
+
+
+def put_files(spark: SparkSession, df: DataFrame, name: str, folder: str, kind: str = "parquet") -> None:
+    """One file per value of column `name`, called after it; a file of that name is replaced.
+
+    Modification times follow the order of the values, which is the order in which a stream
+    takes the files. For fixtures: the values are few.
+    """
+    staging = shared_path(spark, "staging")
+    df.repartition(name).write.partitionBy(name).format(kind).save(staging)
+    paths = spark._jvm.org.apache.hadoop.fs
+    target = paths.Path(folder)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    found = files.globStatus(paths.Path(staging, f"{name}=*/part-*"))
+    values = sorted((int(f.getPath().getParent().getName().rpartition("=")[2]), n, f.getPath()) for n, f in enumerate(found))
+    now = int(time.time() * 1000) - 1000 * len(values)
+    for place, (value, _, source) in enumerate(values):
+        file = paths.Path(target, f"{value}.{kind}")
+        files.delete(file, False)
+        files.rename(source, file)
+        files.setTimes(file, now + 1000 * place, -1)

@@ -1,33 +1,65 @@
-"""Arrival counts per window, and suppression of repeated deliveries."""
+"""Arrival counts per window, late arrivals, and suppression of repeated deliveries."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def arrival_windows(
-    arrivals: DataFrame, at: str, by: list[str], window: str = "1 day", delay: str = "1 hour"
-) -> DataFrame:
-    """Arrivals per window and group; rows later than `delay` are dropped and counted by
-    the query's own progress (`late_rows`).
+def count_arrivals(
+    arrivals: DataFrame,
+    path: str,
+    checkpoint: str,
+    at: str,
+    by: list[str],
+    window: str = "1 day",
+    delay: str = "1 hour",
+) -> StreamingQuery:
+    """Count arrivals per window and group, and how many of them came late.
 
-    Watermarks need a zoned timestamp, so zoneless ones are cast.
+    An arrival is late when its time is more than `delay` before the highest time of the
+    micro-batches before its own. Every row is judged before it is counted, and none is left
+    out. Each micro-batch writes its own small counts; a replay overwrites them. Read the
+    totals with `arrival_windows`.
     """
-    timed = arrivals.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
-    counted = timed.groupBy(F.window(at, window), *by).agg(F.count(F.lit(1)).alias("arrivals"))
-    return counted.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "arrivals"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # One row: the highest time that earlier batches have written.
+        earlier = None
+        if batch_id > 0:
+            earlier = (
+                spark.read.parquet(path).filter(F.col("batch_id") < batch_id).agg(F.max("highest")).first()[0]
+            )
+        moment = F.col(at).cast("timestamp")
+        late = F.lit(False)
+        if earlier is not None:
+            late = moment < F.lit(earlier) - F.expr(f"INTERVAL {delay}")
+        counts = batch.groupBy(F.window(moment, window).alias("window"), *by).agg(
+            F.count(F.lit(1)).alias("arrivals"),
+            F.count_if(late).alias("late"),
+            F.max(moment).alias("highest"),
+        )
+        counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        arrivals.filter(F.col(at).isNotNull())
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that arrived behind the watermark, over the query's recent micro-batches."""
-    return sum(
-        op.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for op in progress.stateOperators
+def arrival_windows(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
+    """Arrivals and late arrivals per window and group, over all micro-batches so far."""
+    counts = spark.read.parquet(path).groupBy("window", *by).agg(
+        F.sum("arrivals").alias("arrivals"), F.sum("late").alias("late")
+    )
+    return counts.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by,
+        "arrivals", "late",
     )
 
 

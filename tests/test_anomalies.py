@@ -126,7 +126,7 @@ def history(spark, n=3000, hot=0.5, seed=5):
 
 def test_lag_in_chunks_equals_plain_lag(spark):
     df = history(spark)
-    chunked = lag_in_chunks(df, ["cik"], "filed_date", ["accession_number"], ["reported_value", "filed_date"])
+    chunked = lag_in_chunks(df, ["cik"], ["filed_date"], ["accession_number"], ["reported_value", "filed_date"])
     w = Window.partitionBy("cik").orderBy("filed_date", "accession_number")
     plain = df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in ("reported_value", "filed_date")})
     assert chunked.count() == df.count()

@@ -105,8 +105,8 @@ def test_checks(spark):
     revenue = df.withColumn("canonical_concept", F.lit("Revenues"))
     assert quality.negative_revenue(revenue).count() == 1
     report = quality.report({"dup": quality.duplicates(df, ["k"]), "fine": df.limit(0)})
-    assert {tuple(r) for r in report.collect()} == {("dup", 1, "fail"), ("fine", 0, "pass")}
-    with pytest.raises(AssertionError, match="dup: 1"):
+    assert {tuple(r) for r in report.collect()} == {("dup", 2, "fail"), ("fine", 0, "pass")}
+    with pytest.raises(AssertionError, match="dup: 2"):
         quality.require_pass(report)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators import ingest
 from factloom.operators.extract import (
-    extract_entries, extracted_facts, mistyped_units, unnest_all, unnest_tracked, usable_facts,
+    extract_entries, extracted_facts, read_entries, unnest_all, unnest_tracked, unreadable, usable_facts,
 )
 from factloom.params import ALL_UNITS, Params
 from factloom.sources import documents as docs
@@ -106,7 +106,33 @@ def test_object_in_place_of_array_costs_that_concept_only(spark, land, seed):
     b = bronze(spark, land(document(1, gaap)))
     for rows in (unnest_all(b), unnest_tracked(b, seed)):
         assert [r["raw_concept"] for r in rows.collect()] == ["Revenues"]
-    assert [tuple(r) for r in mistyped_units(b).collect()] == [("0000000001", "Assets", "USD")]
+    found = unreadable(read_entries(b, seed)).collect()
+    assert [tuple(r) for r in found] == [("0000000001", "Assets", "USD", "unit is no array", 1)]
+
+
+def test_each_damaged_part_costs_itself_alone_whatever_the_seed(spark, land, seed):
+    """A concept, units, a unit, an entry that cannot be read, and a unit named twice."""
+    good = json.dumps(entry(val=7))
+    text = f"""{{"cik": 9, "entityName": "E", "facts": {{"us-gaap": {{
+        "Assets": "text", "Revenues": {{"units": [1]}}, "ProfitLoss": {{"units": {{"USD": {{"val": 1}}}}}},
+        "Liabilities": {{"units": {{"USD": [5, {good}, null]}}}},
+        "NetIncomeLoss": {{"units": {{"USD": [{good}], "USD": [{good}]}}}},
+        "StockholdersEquity": {{"units": {{"USD": [{good}]}}}}, "Goodwill": null}}}}}}"""
+    b = bronze(spark, land(text, document(10, {"Assets": usd(entry(val=8))})))
+    wide = spark.createDataFrame(
+        [(f"Tag{i}", f"Tag{i}", "IS", "x") for i in range(2500)], seed.schema).unionByName(seed).unionByName(
+        spark.createDataFrame([("Liabilities", "Liabilities", "BS", "x")], seed.schema))
+    narrow = spark.createDataFrame([(t, t, "IS", "x") for t in (
+        "Assets", "Revenues", "ProfitLoss", "Liabilities", "NetIncomeLoss", "StockholdersEquity")], seed.schema)
+    expected = {("Assets", "10"), ("Liabilities", "9"), ("StockholdersEquity", "9")}
+    reasons = {("Assets", None, "concept is no object", 1), ("Revenues", None, "units is no object", 1),
+               ("ProfitLoss", "USD", "unit is no array", 1), ("Liabilities", "USD", "entry is no object", 2),
+               ("NetIncomeLoss", "USD", "repeated unit", 2)}
+    for tags in (None, wide.dropDuplicates(["synonym_tag"]), narrow):
+        entries = read_entries(b, tags)
+        kept = [(r["raw_concept"], r["cik"].lstrip("0")) for r in entries.filter("reason IS NULL").collect()]
+        assert sorted(kept) == sorted(expected)
+        assert {tuple(r)[1:] for r in unreadable(entries).collect()} == reasons
 
 
 def test_units_are_chosen(spark, land, seed):
@@ -140,6 +166,7 @@ def test_empty_seed_gives_full_schema_and_no_rows(spark, land, seed):
 def test_quarantine_takes_each_bad_document_once(spark, land):
     twice = '{"cik": 5, "entityName": "E", "facts": {"us-gaap": {"Assets": {}, "Assets": {}}}}'
     path = land(
+        {"cik": 6, "facts": "text"}, {"cik": 7, "facts": {"us-gaap": [1]}},
         document(1, {"Assets": usd(entry())}), {"cik": 2, "entityName": "E"},
         '{"cik": 3, "entityName": "E", "facts": {"us-ga', document(4, {"Assets": usd(entry(accn="x" * 500))}),
         twice,
@@ -148,7 +175,14 @@ def test_quarantine_takes_each_bad_document_once(spark, land):
     good, bad = docs.split_documents(received, Params(max_object_bytes=400))
     assert [r["cik"] for r in good.collect()] == ["1"]
     assert sorted(r["reason"] for r in bad.collect()) == [
-        "malformed", "missing facts", "repeated concept", "too large"]
+        "facts is no object", "malformed", "missing facts", "repeated concept", "taxonomy is no object", "too large"]
+
+
+def test_submissions_are_judged(spark, land):
+    path = land({"cik": 1, "name": "A"}, '{"cik": 2, "na', {"name": "B"}, {"cik": "x", "name": "C"})
+    judged = docs.judge_submissions(docs.read_submission_documents(spark, path))
+    assert sorted((r["name"] or "", r["reason"] or "") for r in judged.collect()) == [
+        ("", "malformed"), ("A", ""), ("B", "missing cik"), ("C", "missing cik")]
 
 
 def test_fold_then_unnest_is_identity(spark, small):

@@ -4,7 +4,7 @@ import pytest
 
 from factloom import registry
 from factloom.operators import dedup
-from factloom.operators.extract import extracted_facts, mistyped_units, unnest_all, unnest_tracked
+from factloom.operators.extract import extracted_facts, read_entries, unnest_all, unnest_tracked, unreadable
 from factloom.plans import anomalies
 from factloom.registry import base
 
@@ -50,8 +50,9 @@ def test_document_text_is_parsed_once(spark, seed):
         [("1", "E", "{}")], "cik_raw string, entity_name string, facts_blob string"
     )
     for df in (unnest_all(bronze), unnest_tracked(bronze, seed), extracted_facts(bronze, seed),
-               mistyped_units(bronze)):
-        assert plan(df).count("from_json") == 1
+               unreadable(read_entries(bronze, seed))):
+        text = plan(df)
+        assert text.count("from_json(StructField(us-gaap") == 1 and text.count("get_json_object") == 0
 
 
 @pytest.mark.parametrize("name", ["filings_flatten", "latest_load_per_company"])
@@ -64,8 +65,36 @@ def test_scans_read_only_the_columns_they_need(spark, small):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text
 
 
-def test_top_of_the_feed_is_no_global_sort(spark, small):
-    assert "TakeOrderedAndProject" in plan(registry.queries["anomaly_feed"](spark, small))
+def test_top_of_the_feed_is_no_global_sort(spark, small, tmp_path):
+    path = str(tmp_path / "flags")
+    registry.queries["anomaly_flags"](spark, small).write.parquet(path)
+    assert "TakeOrderedAndProject" in plan(anomalies.anomaly_feed(spark.read.parquet(path), top=10))
+
+
+def final_plan(df):
+    """The adaptive plan that ran."""
+    df.collect()
+    return plan(df)
+
+
+def test_flags_and_events_read_what_they_share_once(spark, small):
+    for name in ("anomaly_flags", "event_window_join"):
+        text = final_plan(registry.queries[name](spark, small))
+        assert "orders.parquet" not in text  # read once, into the stored relation
+
+
+def test_restatements_shuffle_all_rows_once(stored_facts):
+    text = final_plan(anomalies.restatements(stored_facts)).split("== Initial Plan ==")[0]
+    # All rows by (key, date); then one row per date by key, on either branch of the union.
+    assert text.count("REPARTITION_BY_COL") == 1 or "ReusedExchange" in text
+    assert "partial" not in text.split("REPARTITION_BY_COL")[1].split("Scan parquet")[0]
+
+
+@pytest.mark.parametrize("name", ["anomaly_asset_jump", "anomaly_sign_flip", "overview_cards", "margin_trend"])
+def test_unneeded_concepts_go_before_the_shuffle(spark, small, name):
+    text = plan(registry.queries[name](spark, small))
+    below = text[text.index("Exchange hashpartitioning"):]
+    assert "coalesce(_canonical" in below and " IN (" in below or "= Assets" in below
 
 
 BATCH = sorted(n for n in registry.queries if not n.startswith("stream_"))

@@ -1,13 +1,14 @@
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from factloom.plans.silver import SILVER_COLUMNS, silver_financials
 from factloom.registry import base
-from factloom.streaming.landing import document_stream, land_stream, landed
-from factloom.streaming.latest import current_table, keep_latest
-from factloom.streaming.monitor import append_to, arrival_windows, late_rows, suppress_repeats
+from factloom.streaming.landing import document_stream, land_changed, land_stream, landed, newest_versions
+from factloom.streaming.latest import compact, current_table, keep_latest
+from factloom.streaming.monitor import append_to, arrival_windows, count_arrivals, suppress_repeats
 
 
 def test_landing_takes_each_document_once(spark, tmp_path):
@@ -47,12 +48,20 @@ def test_latest_table_over_many_batches_equals_batch(spark, small, tmp_path):
         return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
     assert same(run(), silver_financials(facts))
-    assert spark.read.parquet(str(tmp_path / "changes")).select("batch_id").distinct().count() > 1
+    changes = tmp_path / "changes"
+    assert len(list(changes.glob("log/batch_id=*"))) > 1
+    last = compact(spark, str(changes))
+    assert list(changes.glob("log/batch_id=*")) == [] and compact(spark, str(changes)) == last
+    assert same(current_table(spark, str(changes)), silver_financials(facts))
     later = facts.withColumn("filed_date", F.date_add("filed_date", 1000)).withColumn(
         "reported_value", F.col("reported_value") + 1).limit(40)
     later.cache()
     later.write.mode("append").parquet(str(tmp_path / "in"))
     assert same(run(), silver_financials(facts.unionByName(later)))
+    compact(spark, str(changes))
+    assert [p.name for p in changes.glob("merged_to=*")] != [f"merged_to={last}"]
+    assert len(list(changes.glob("merged_to=*"))) == 1 and list(changes.glob("log/batch_id=*")) == []
+    assert same(current_table(spark, str(changes)), silver_financials(facts.unionByName(later)))
 
 
 SCHEMA = "ts timestamp, kind string, id string"
@@ -71,17 +80,40 @@ def at(hour, minute=0, day=1):
     return dt.datetime(2024, 1, day, hour, minute)
 
 
-def test_arrival_windows_drop_and_count_late_rows(spark, tmp_path):
+def test_every_late_row_is_counted_and_no_window_is_left_out(spark, tmp_path):
     first = [(at(1), "a", "1"), (at(2), "a", "2")]
     second = [(at(12, day=3), "a", "3")]
-    closing = [(at(13, day=3), "a", "4")]
-    after = [(at(1), "a", "late"), (at(14, day=3), "a", "5")]
-    stream = arrivals(spark, tmp_path, first, second, closing, after)
-    query = append_to(arrival_windows(stream, "ts", ["kind"]), str(tmp_path / "out"), str(tmp_path / "ckpt"))
-    query.awaitTermination()
-    rows = [(r["window_start"].day, r["arrivals"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
-    assert rows == [(1, 2)]
-    assert late_rows(query) == 1
+    after = [(at(1), "a", f"late{i}") for i in range(50)] + [(at(14, day=3), "a", "5"), (at(11, 30, day=3), "a", "6")]
+    last = [(at(1), "b", "late")] * 2
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    stream = arrivals(spark, tmp_path, first, second, after, last)
+    count_arrivals(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), "ts", ["kind"]).awaitTermination()
+    rows = {(r["window_start"].day, r["kind"]): (r["arrivals"], r["late"])
+            for r in arrival_windows(spark, str(tmp_path / "out"), ["kind"]).collect()}
+    assert rows == {(1, "a"): (52, 50), (3, "a"): (3, 0), (1, "b"): (2, 2)}
+
+
+def test_replaced_files_land_again(spark, tmp_path):
+    inbox, bronze = tmp_path / "in", str(tmp_path / "bronze")
+    inbox.mkdir()
+
+    def arrive(cik, concepts, moment):
+        body = json.dumps({"cik": cik, "entityName": "E", "facts": {"us-gaap": dict.fromkeys(concepts, {})}}, indent=1)
+        (inbox / f"{cik}.json").write_text(body)
+        os.utime(inbox / f"{cik}.json", (moment, moment))
+
+    arrive(1, "A", 1000), arrive(2, "A", 1000)
+    assert land_changed(spark, str(inbox), bronze) == 2
+    assert land_changed(spark, str(inbox), bronze) == 0
+    arrive(1, "AB", 2000), arrive(3, "A", 2000)
+    (inbox / "4.json").write_text('{"cik": 4')
+    assert land_changed(spark, str(inbox), bronze) == 3
+    good = landed(spark, bronze)
+    assert sorted(r["cik_raw"] for r in good.collect()) == ["1", "1", "2", "3"]
+    newest = {r["cik_raw"]: r["facts_blob"] for r in newest_versions(good).collect()}
+    assert sorted(newest) == ["1", "2", "3"] and '"B"' in newest["1"]
+    rejected = spark.read.parquet(bronze).filter("status = 'rejected'").collect()
+    assert [r["reason"] for r in rejected] == ["malformed"]
 
 
 def test_repeated_deliveries_are_suppressed_across_batches(spark, tmp_path):
