@@ -17,11 +17,10 @@
 from __future__ import annotations
 
 import heapq
+from array import array
 from bisect import bisect_left
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from math import log2
 
 import numpy as np
@@ -39,21 +38,30 @@ from factloom.llm.components import components
 MU = 0.0085
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 MIX = np.uint64(0x9E3779B97F4A7C15)
+# Leading bits by which shingles are counted over the whole corpus.
+KEPT_BITS = 36
 
 
 @dataclass(frozen=True)
 class Settings:
     """`words`: length of a shingle. `percent`: least similarity. `frequent`: shingles whose
     frequency the common order knows, at most (the others count as rare; any order gives
-    the same links). `window`: shingles a task counts at a time. `block`, `volume`: sets and
-    shingles of a group that one task takes."""
+    the same links). `window`: shingles a task counts at a time. `bits`: two to this power
+    are the bits that tell shared shingles, of which the part `filled` is used at most;
+    `per_range`: documents for each range that they are counted in. `block`, `volume`: sets and
+    shingles of a group that one task takes. `broadcast`: classes up to which their keys are
+    broadcast to the texts; more of them are joined by key."""
 
     words: int = 5
     percent: int = 75
     frequent: int = 500_000
-    window: int = 2_000_000
-    block: int = 4_000
-    volume: int = 4_000_000
+    window: int = 4_000_000
+    bits: int = 28
+    filled: float = 0.1
+    per_range: int = 4096
+    block: int = 2_000
+    volume: int = 3_000_000
+    broadcast: int = 200_000
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
         """How many of n shingles to index: as many as two linked sets cannot both avoid."""
@@ -90,68 +98,174 @@ def row_key(key: str, text: str) -> Column:
     return F.concat_ws("~", F.col(key).cast("string"), F.hex(F.xxhash64(F.col(text))))
 
 
-def classes(docs: DataFrame, settings: Settings) -> DataFrame:
-    """_key, id, n, class of every row; and rows (null class) that carry frequent shingles."""
+def thinned(values: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Sorted shingles by range of their leading bits, as (range, low, high).
+
+    Of each only the first 36 bits are kept, as its distance from the one before: two bytes
+    in `low`, and the few that need more as (place, rest) in `high`.
+    """
+    short = np.sort(values) >> np.uint64(64 - KEPT_BITS)
+    width = (1 << KEPT_BITS) // ranges
+    edges = np.searchsorted(short, np.arange(ranges + 1, dtype=np.uint64) * np.uint64(width))
+    for k in np.flatnonzero(np.diff(edges)):
+        part = short[edges[k] : edges[k + 1]].astype(np.int64) - int(k) * width
+        gaps = np.diff(part, prepend=0)
+        far = np.flatnonzero(gaps >> 16)
+        high = np.column_stack([far, gaps[far] >> 16]).astype("<u4")
+        yield int(k), (gaps & 0xFFFF).astype("<u2").tobytes(), high.tobytes()
+
+
+def restored(low: bytes, high: bytes) -> np.ndarray:
+    """What `thinned` kept of a range, counted from the range's beginning."""
+    gaps = np.frombuffer(low, "<u2").astype(np.int64)
+    far = np.frombuffer(high, "<u4").reshape(-1, 2)
+    gaps[far[:, 0]] += far[:, 1].astype(np.int64) << 16
+    return np.cumsum(gaps)
+
+
+def classes(docs: DataFrame, ranges: int, settings: Settings) -> DataFrame:
+    """_key, id, n, class of every row; and rows without a class for the common order.
+
+    Those are a window's shingles that many of its sets have, with their number in n, and
+    all its shingles in short, by range.
+    """
     made = per_worker(docs.sparkSession, settings.words, Shingler)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = made()
-        held, size = [], 0
+        held, size, done = [], 0, set()
 
-        def frequent() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts > 2
-            n = int(often.sum())
+        def rows(id_type: pa.DataType, count: int, **columns: pa.Array) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
                 {
-                    "_key": pa.nulls(n, pa.string()), "id": pa.nulls(n, id_type),
-                    "n": pa.array(counts[often], pa.int64()), "class": pa.nulls(n, pa.int64()),
-                    "shingle": pa.array(values[often].view(np.int64)),
+                    name: columns.get(name, pa.nulls(count, kind))
+                    for name, kind in (
+                        ("_key", pa.string()), ("id", id_type), ("n", pa.int64()), ("class", pa.int64()),
+                        ("shingle", pa.int64()), ("range", pa.int32()), ("low", pa.binary()),
+                        ("high", pa.binary()),
+                    )
                 }
             )
 
+        def window() -> Iterator[pa.RecordBatch]:
+            flat = np.concatenate(held)
+            values, counts = np.unique(flat, return_counts=True)
+            often = counts > 2
+            yield rows(
+                id_type, int(often.sum()), n=pa.array(counts[often], pa.int64()),
+                shingle=pa.array(values[often].view(np.int64)),
+            )
+            parts = list(thinned(flat, ranges))
+            at, low, high = zip(*parts, strict=True)
+            yield rows(
+                id_type, len(parts), range=pa.array(at, pa.int32()),
+                low=pa.array(low, pa.binary()), high=pa.array(high, pa.binary()),
+            )
+
         for batch in batches:
             id_type = batch.schema.field("id").type
             sets = [shingler(t) for t in texts_of(batch)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "_key": batch.column("_key"), "id": batch.column("id"),
-                    "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "class": pa.array([class_of(s) for s in sets], pa.int64()),
-                    "shingle": pa.nulls(len(sets), pa.int64()),
-                }
+            names = [class_of(s) for s in sets]
+            yield rows(
+                id_type, len(sets), _key=batch.column("_key"), id=batch.column("id"),
+                n=pa.array([len(s) for s in sets], pa.int64()), **{"class": pa.array(names, pa.int64())},
             )
-            held += sets
-            size += sum(map(len, sets))
+            for name, found in zip(names, sets, strict=True):
+                if len(found) and name not in done:
+                    done.add(name)
+                    held.append(found)
+                    size += len(found)
             if size > settings.window:
-                yield frequent()
-                held, size = [], 0
+                yield from window()
+                held, size, done = [], 0, set()
         if size:
-            yield frequent()
+            yield from window()
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(task, f"_key string, id {kind}, n long, class long, shingle long")
+    return docs.mapInArrow(
+        task,
+        f"_key string, id {kind}, n long, class long, shingle long, range int, low binary, high binary",
+    )
+
+
+def shared_bits(marked: DataFrame, ranges: int, settings: Settings) -> np.ndarray:
+    """A bit for each value of the leading bits of a shingle: set where two sets or more have one.
+
+    Counted over all sets, by range. Where a range has more such shingles than a part of its
+    bits, only the commoner ones count.
+    """
+    bits = (1 << settings.bits) // ranges
+    shift = KEPT_BITS - settings.bits
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def segment() -> pa.RecordBatch:
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            least = 2
+            while (found := values[counts >= least]).size > bits * settings.filled:
+                least += 1
+            marks = np.zeros(bits, np.uint8)
+            marks[found >> shift] = 1
+            return pa.RecordBatch.from_pydict(
+                {"range": pa.array([at], pa.int32()), "marks": pa.array([np.packbits(marks).tobytes()])}
+            )
+
+        for batch in batches:
+            for where, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if where != at:
+                    if held:
+                        yield segment()
+                    at, held = where, []
+                held.append(restored(low, high))
+        if held:
+            yield segment()
+
+    # As many bits in all as `settings.bits` says.
+    dealt = marked.select("range", "low", "high").repartition("range").sortWithinPartitions("range")
+    segments = dealt.mapInArrow(task, "range int, marks binary").toArrow()
+    whole = np.zeros((ranges, bits // 8), np.uint8)
+    for where, marks in zip(segments["range"].to_pylist(), segments["marks"].to_pylist(), strict=True):
+        whole[where] = np.frombuffer(marks, np.uint8)
+    return whole.reshape(-1)
 
 
 def common_order(marked: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, ascending, and their counts; `settings.frequent` of them at most."""
-    found = (
-        marked.groupBy("shingle").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "shingle").limit(settings.frequent).toPandas()
-    )
-    found = found.assign(shingle=found["shingle"].to_numpy(np.int64).view(np.uint64))
-    found = found.sort_values("shingle")
-    return found["shingle"].to_numpy(np.uint64), found["n"].to_numpy(np.int64)
+    """Frequent shingles, ascending, and their counts; `settings.frequent` of them at most.
 
+    Those with the highest counts: from the count on that leaves no more than that many.
+    """
+    spark = marked.sparkSession
+    found = stored(spark, marked.groupBy("shingle").agg(F.sum("n").alias("n")), "frequent")
+    many = found.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count(F.lit(1)).alias("shingles"))
+    least, kept = 1 << 62, 0
+    for count, shingles in sorted(many.collect(), reverse=True):  # 65,536 rows at most
+        kept += shingles
+        if kept > settings.frequent:
+            break
+        least = count
+    picked = found.filter(F.col("n") >= least).toArrow()
+    shingles = picked["shingle"].to_numpy().view(np.uint64)
+    counts = picked["n"].to_numpy()
+    ascending = np.argsort(shingles)
+    return shingles[ascending], counts[ascending].astype(np.int32)
+
+
+def postings(
+    docs: DataFrame, order: tuple[np.ndarray, np.ndarray, np.ndarray], settings: Settings
+) -> DataFrame:
+    """shingle, n, class: the first shingles of every class in the common order.
 
-def postings(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], settings: Settings) -> DataFrame:
-    """shingle, n, class: the first shingles of every class in the common order."""
+    Shingles that no two sets share come first, then the shared ones, then those whose
+    frequency is known, by it; among equals the hash decides.
+    """
     made = per_worker(
         docs.sparkSession, order, lambda value: (Shingler(settings.words), *value)
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, known, counts = made()
+        shingler, known, counts, shared = made()
+        shift = np.uint64(64 - settings.bits)
         done: set[int] = set()
         for batch in batches:
             sets, names = [], []
@@ -167,10 +281,11 @@ def postings(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], settings: Se
                 continue
             flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
             owner = np.repeat(np.arange(len(sets)), sizes)
-            rank = np.zeros(len(flat), np.int64)
+            place = (flat >> shift).astype(np.int64)
+            rank = ((shared[place >> 3] >> (7 - (place & 7))) & 1).astype(np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-                rank = np.where(known[at] == flat, counts[at], 0)
+                rank = np.where(known[at] == flat, counts[at], rank)
             # Within a set hashes ascend already, and the sort keeps that among equals.
             placed = np.lexsort((rank, owner))
             number = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -218,11 +333,13 @@ def potential_edges(indexed: DataFrame, settings: Settings) -> DataFrame:
     return ordered.mapInArrow(task, "a long, b long")
 
 
-def merge_skip(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
+def merge_skip(lists: list[array], least: int) -> list[tuple[int, int]]:
     """(id, count) for the ids on at least `least` of the ascending lists."""
     if sum(map(len, lists)) > 20_000:
         # Where lists hold nearly all ids there is nothing to skip, and counting is quicker.
-        return [(y, c) for y, c in Counter(chain.from_iterable(lists)).items() if c >= least]
+        counts = np.bincount(np.concatenate([np.frombuffer(ids, np.int32) for ids in lists]))
+        found = np.flatnonzero(counts >= least)
+        return list(zip(found.tolist(), counts[found].tolist(), strict=True))
     heap = [(ids[0], k) for k, ids in enumerate(lists)]
     heapq.heapify(heap)
     at = [0] * len(lists)
@@ -250,7 +367,34 @@ def merge_skip(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
     return found
 
 
-def search(sets: list[list[int]], sides: list[int] | None, percent: int) -> list[tuple[int, int]]:
+class Lists:
+    """Inverted lists of several sets, as ranges of one array of set numbers in shingle order."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        flat = np.concatenate(sets)
+        self.edge = np.cumsum([0] + [len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), np.diff(self.edge))
+        order = np.argsort(flat, kind="stable")  # numbers ascend within a list
+        ids, ordered = owner[order], flat[order]
+        new = np.ones(len(flat), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(flat)), 0))
+        # For each shingle of each set: where its list begins, and how many smaller sets are on it.
+        self.begin, self.before = np.empty_like(first), np.empty_like(first)
+        self.begin[order] = first
+        self.before[order] = np.arange(len(flat)) - first
+        self.ids = array("i", ids.tobytes())
+
+    def of(self, x: int) -> tuple[np.ndarray, np.ndarray]:
+        """Begins and lengths of the lists of set x, cut before x itself, shortest first."""
+        mine = slice(self.edge[x], self.edge[x + 1])
+        begin, length = self.begin[mine], self.before[mine]
+        used = np.flatnonzero(length)
+        used = used[np.argsort(length[used], kind="stable")]
+        return begin[used], length[used]
+
+
+def search(sets: list[np.ndarray], sides: list[int] | None, percent: int) -> list[tuple[int, int]]:
     """Links between sets (ascending by size), as many as join something new.
 
     With `sides`, only sets of different sides are compared.
@@ -263,52 +407,48 @@ def search(sets: list[list[int]], sides: list[int] | None, percent: int) -> list
             x = parent[x]
         return x
 
-    index: dict[int, list[int]] = defaultdict(list)
-    found = []
+    lists, found = Lists(sets), []
     for x, shingles in enumerate(sets):
         n = len(shingles)
         least = -(-n * percent // 100)
-        lists = [index[s] for s in shingles if s in index]
-        if len(lists) >= least:
-            lists.sort(key=len)
-            aside = min(least - 1, int(least / (MU * log2(max(len(lists[-1]), 2)) + 1)))
-            short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-            for y, count in merge_skip(short, least - aside):
-                if (sides and sides[x] == sides[y]) or root(x) == root(y):
-                    continue
-                # 100 * both >= percent * (n + m - both)
-                need = -(-percent * (n + len(sets[y])) // (100 + percent))
-                for left, ids in enumerate(long):
-                    if count >= need or count + len(long) - left < need:
-                        break
-                    at = bisect_left(ids, y)
-                    count += at < len(ids) and ids[at] == y
-                if count >= need:
-                    parent[root(x)] = root(y)
-                    found.append((y, x))
-        for s in shingles:
-            index[s].append(x)
+        begin, length = lists.of(x)
+        if len(begin) < least:
+            continue
+        aside = min(least - 1, int(least / (MU * log2(max(int(length[-1]), 2)) + 1)))
+        cut = len(begin) - aside
+        spans = [(b, b + k) for b, k in zip(begin.tolist(), length.tolist(), strict=True)]
+        short = [lists.ids[b:e] for b, e in spans[:cut]]
+        for y, count in merge_skip(short, least - aside):
+            if (sides and sides[x] == sides[y]) or root(x) == root(y):
+                continue
+            # 100 * both >= percent * (n + m - both)
+            need = -(-percent * (n + len(sets[y])) // (100 + percent))
+            left = aside
+            for b, e in spans[cut:]:
+                if count >= need or count + left < need:
+                    break
+                at = bisect_left(lists.ids, y, b, e)
+                count += at < e and lists.ids[at] == y
+                left -= 1
+            if count >= need:
+                parent[root(x)] = root(y)
+                found.append((y, x))
     return found
 
 
 def links(grouped: DataFrame, settings: Settings) -> DataFrame:
-    """Rows of (label, i, j, side, n, class, shingles), sorted, -> (a, b) links between classes."""
-
-    def solve(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        _, i, j, *_ = rows[0]
-        names, sets, sides = [], [], []
-        for _, _, _, side, _, name, shingles in rows:
-            if not names or names[-1] != name:  # copies follow each other
-                names.append(name)
-                sets.append(np.frombuffer(shingles, np.uint64).tolist())
-                sides.append(side)
-        for a, b in search(sets, sides if i != j else None, settings.percent):
-            yield names[a], names[b]
+    """Rows of (label, i, j, side, n, class, text), sorted, -> (a, b) links between classes."""
+    made = per_worker(grouped.sparkSession, settings.words, Shingler)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
+        shingler = made()
+        at, names, sets, sides = None, [], [], []
         found: list[tuple[int, int]] = []
 
+        def solve() -> None:
+            apart = sides if at and at[1] != at[2] else None
+            found.extend((names[a], names[b]) for a, b in search(sets, apart, settings.percent))
+
         def out() -> pa.RecordBatch:
             a, b = zip(*found, strict=True) if found else ((), ())
             found.clear()
@@ -317,14 +457,20 @@ def links(grouped: DataFrame, settings: Settings) -> DataFrame:
             )
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and row[:3] != group[0][:3]:
-                    found.extend(solve(group))
-                    group.clear()
-                group.append(row)
+            for label, i, j, side, _, name, text in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                if at != (label, i, j):
+                    if sets:
+                        solve()
+                    at, names, sets, sides = (label, i, j), [], [], []
+                if not names or names[-1] != name:  # copies follow each other
+                    names.append(name)
+                    sets.append(shingler(text))
+                    sides.append(side)
             yield out()
-        if group:
-            found.extend(solve(group))
+        if sets:
+            solve()
             yield out()
 
     return grouped.mapInArrow(task, "a long, b long")
@@ -333,41 +479,27 @@ def links(grouped: DataFrame, settings: Settings) -> DataFrame:
 def group_rows(
     docs: DataFrame, members: DataFrame, labels: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Sets of the classes in potential groups, in the blocks that are compared with each other."""
+    """Texts of the classes in potential groups, in the blocks that are compared with each other.
+
+    Texts travel and not sets: they are smaller, and made into sets where they are compared.
+    """
     spark = docs.sparkSession
     picked = members.join(labels.withColumnRenamed("node", "class"), "class")
-    sizes = picked.groupBy("label").agg(
-        F.ceil(
-            F.greatest(
-                F.count(F.lit(1)) / settings.block, F.sum("n") / settings.volume
-            )
-        ).cast("int").alias("blocks")
-    )
-    picked = stored(
-        spark, picked.join(sizes, "label").select("first_key", "class", "label", "blocks"), "members"
-    )
-    texts = docs.join(picked, docs["_key"] == picked["first_key"])
-    made = per_worker(spark, settings.words, Shingler)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = made()
-        for batch in batches:
-            sets = [shingler(t) for t in texts_of(batch)]
-            kept = batch.select(["label", "blocks", "class"])
-            kept = kept.append_column("n", pa.array([len(s) for s in sets], pa.int32()))
-            yield kept.append_column("shingles", pa.array([s.tobytes() for s in sets], pa.binary()))
-
-    sets = texts.select("text", "label", "blocks", "class").mapInArrow(
-        task, "label long, blocks int, class long, n int, shingles binary"
-    )
+    blocks = F.greatest(F.count(F.lit(1)) / settings.block, F.sum("n") / settings.volume)
+    sizes = picked.groupBy("label").agg(F.ceil(blocks).cast("int").alias("blocks"))
+    picked = picked.join(sizes, "label").select("first_key", "class", "n", "label", "blocks")
+    picked = stored(spark, picked, "picked")
+    if picked.count() <= settings.broadcast:
+        picked = F.broadcast(picked)
+    rows = docs.join(picked, docs["_key"] == picked["first_key"])
     side = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(F.least(F.col("side"), o).alias("i"), F.greatest(F.col("side"), o).alias("j")),
     )
-    spread = sets.withColumn("side", side).withColumn("pair", F.explode(others))
+    spread = rows.withColumn("side", side).withColumn("pair", F.explode(others))
     return (
-        spread.select("label", "pair.i", "pair.j", "side", "n", "class", "shingles")
+        spread.select("label", "pair.i", "pair.j", "side", "n", "class", "text")
         .repartition("label", "i", "j")
         .sortWithinPartitions("label", "i", "j", "n", "class")
     )
@@ -388,9 +520,13 @@ def near_copies(
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select(row_key("id", "text").alias("_key"), "id", "text")
-    marked = stored(spark, classes(rows, settings), "classes")
-    every = marked.filter("class IS NOT NULL").drop("shingle")
-    order = common_order(marked.filter("class IS NULL"), settings)
+    ranges = 64
+    while ranges < min(docs.count() // settings.per_range, 1 << 16):
+        ranges *= 2
+    marked = stored(spark, classes(rows, ranges, settings), "classes")
+    every = marked.filter("class IS NOT NULL").select("_key", "id", "n", "class")
+    order = common_order(marked.filter("shingle IS NOT NULL"), settings)
+    order = (*order, shared_bits(marked.filter("range IS NOT NULL"), ranges, settings))
     # One row per class; the smallest row stands for it.
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_key"))
     members = every.filter("n > 0").groupBy("class").agg(
