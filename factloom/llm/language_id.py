@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm.common import by_batch, fold, per_worker, query, table, texts_of
-from factloom.llm.letters import CODES, SCRIPTS, Tables, Words, counted
+from factloom.llm.letters import CODES, SCRIPTS, Tables, Words, chunks, counted
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -92,11 +92,22 @@ def labels(scores: np.ndarray, edge: np.ndarray, switch: float) -> np.ndarray:
     return found
 
 
-def label_batch(texts: list[str], model: Model, tables: Tables) -> tuple[Words, np.ndarray]:
-    words = Words(texts, tables)
-    sums = words.summed(model.scores[words.trigram].astype(np.float64))
-    sums = sums.reshape(-1, len(model.names)) + model.barred[words.script]
-    return words, labels(sums, words.edge, model.settings.switch)
+def label_batch(
+    texts: list[str], model: Model, tables: Tables
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each text's words begin, their letters, and their labels.
+
+    Characters are scored a run of texts at a time; only the sums by word are kept for all.
+    """
+    edge, letters, sums = [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], []
+    for run in chunks(texts):
+        words = Words(run, tables)
+        score = words.summed(model.scores[words.trigram]).reshape(-1, len(model.names))
+        sums.append(score + model.barred[words.script])
+        edge.append(words.edge[1:] + edge[-1][-1])
+        letters.append(words.letters)
+    edge, letters = np.concatenate(edge), np.concatenate(letters)
+    return edge, letters, labels(np.concatenate(sums), edge, model.settings.switch)
 
 
 def predict(texts: list[str], model: Model, tables: Tables) -> tuple[list[str], list[float]]:
@@ -104,10 +115,10 @@ def predict(texts: list[str], model: Model, tables: Tables) -> tuple[list[str],
     kinds = len(model.names)
     if not kinds:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
-    words, found = label_batch(texts, model, tables)
-    owner = np.repeat(np.arange(len(texts)), np.diff(words.edge))
+    edge, counts, found = label_batch(texts, model, tables)
+    owner = np.repeat(np.arange(len(texts)), np.diff(edge))
     letters = np.bincount(
-        owner * kinds + found, weights=words.letters, minlength=len(texts) * kinds
+        owner * kinds + found, weights=counts, minlength=len(texts) * kinds
     ).reshape(-1, kinds)
     total, top = letters.sum(1), letters.argmax(1)
     share = letters.max(1) / np.maximum(total, 1)
@@ -155,8 +166,8 @@ def spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         model, tables = made()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            words, found = label_batch(texts_of(batch), model, tables)
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(words.edge))
+            edge, counts, found = label_batch(texts_of(batch), model, tables)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(edge))
             new = np.ones(len(found), bool)
             new[1:] = (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])
             at = np.flatnonzero(new)
@@ -165,10 +176,10 @@ def spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 key: batch.column("key").take(pa.array(of)),
                 "span": pa.array(np.arange(len(at)) - np.searchsorted(of, of), pa.int32()),
                 "lang": pa.array([model.names[k] for k in found[at]], pa.string()),
-                "first_word": pa.array(at - words.edge[of], pa.int32()),
+                "first_word": pa.array(at - edge[of], pa.int32()),
                 "words": pa.array(np.diff(np.append(at, len(found))), pa.int32()),
                 "letters": pa.array(
-                    np.add.reduceat(words.letters, at) if len(at) else at, pa.int64()
+                    np.add.reduceat(counts, at) if len(at) else at, pa.int64()
                 ),
             }
             return pa.RecordBatch.from_pydict(columns)

@@ -44,6 +44,22 @@ class Tables:
             self.script[first : last + 1] = SCRIPTS.index(name)
 
 
+def chunks(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
+    """Runs of texts of about `limit` characters; a longer text is a run of its own.
+
+    What is computed for each character then takes memory for so many of them.
+    """
+    run, size = [], 0
+    for text in texts:
+        if run and size + len(text) > limit:
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += len(text)
+    if run:
+        yield run
+
+
 def mixed(*parts: np.ndarray, size: int = CODES) -> np.ndarray:
     """Hash of code points, below `size` (a power of two)."""
     found = np.zeros(len(parts[0]), np.uint32)
@@ -105,10 +121,10 @@ def counted(
             names = batch.column("group").to_pylist()
             texts = batch.column("text").to_pylist()
             for name in set(names):
-                words = Words([t or "" for t, g in zip(texts, names, strict=True) if g == name], tables)
                 total = sums.setdefault(name, np.zeros(size, np.int64))
-                for codes in count(words):
-                    total += np.bincount(codes, minlength=size)
+                for run in chunks([t or "" for t, g in zip(texts, names, strict=True) if g == name]):
+                    for codes in count(Words(run, tables)):
+                        total += np.bincount(codes, minlength=size)
         for name, total in sums.items():
             codes = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict(

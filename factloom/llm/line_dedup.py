@@ -35,7 +35,7 @@ class Settings:
 
     percent: int = 80
     shared: int = 4
-    near: int = 8
+    near: int = 4
     broadcast: int = 500_000
 
     def least(self, n: Column) -> Column:
@@ -60,32 +60,38 @@ def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def words(line: Column) -> Column:
-    """Words of a line as hashes, each once."""
-    found = F.array_remove(F.split(F.lower(line), SPACE), "")
-    return F.array_distinct(F.transform(found, lambda w: F.xxhash64(w)))
+    """Distinct words of a line."""
+    return F.array_remove(F.array_distinct(F.split(F.lower(line), SPACE)), "")
 
 
-def rarity(cut: DataFrame) -> Column:
-    """Rank of each counter by the words that fell into it, rarest first, as an array literal."""
-    word = F.explode(F.split(F.lower("line"), SPACE)).alias("word")
-    counts = cut.select(word).groupBy(F.pmod(F.xxhash64("word"), F.lit(COUNTERS)).alias("at"))
+def short(found: Column) -> Column:
+    """Words as short hashes. Those that fall together bring more sets together, never fewer;
+    what is brought together is compared by the words themselves."""
+    return F.transform(found, lambda w: F.xxhash64(w).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+
+
+def rarity(told: DataFrame) -> Column:
+    """By the last 16 bits of a short hash, the rank of the words that have them, rarest first.
+
+    The rank stands in the upper bits of a long, so that it leads when the hash is added.
+    """
+    counts = told.select(F.explode("words").alias("word")).groupBy(
+        F.col("word").bitwiseAND(F.lit(COUNTERS - 1)).alias("at")
+    )
     counted = {r.at: r.n for r in counts.agg(F.count(F.lit(1)).alias("n")).collect()}
     order = sorted(range(COUNTERS), key=lambda at: (counted.get(at, 0), at))
     ranks = [0] * COUNTERS
     for rank, at in enumerate(order):
-        ranks[at] = rank
+        ranks[at] = rank << 31
     # One literal, which the optimizer folds into an array once.
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
 
 
 def ordered(found: Column, ranks: Column) -> Column:
-    """Hashes of words, rarest first: the rank leads, the rest of the hash tells words apart."""
-
-    def place(h: Column) -> Column:
-        rank = F.element_at(ranks, (F.pmod(h, F.lit(COUNTERS)) + 1).cast("int")).cast("long")
-        return F.shiftleft(rank, 47).bitwiseOR(h.bitwiseAND(F.lit((1 << 47) - 1)))
-
-    return F.sort_array(F.transform(found, place))
+    """Short hashes, rarest first; the rank leads, the hash tells words of one rank apart."""
+    return F.sort_array(
+        F.transform(found, lambda w: ranks[w.bitwiseAND(F.lit(COUNTERS - 1))].bitwiseOR(w.cast("bigint")))
+    )
 
 
 def near_candidates(indexed: DataFrame, settings: Settings) -> DataFrame:
@@ -96,7 +102,8 @@ def near_candidates(indexed: DataFrame, settings: Settings) -> DataFrame:
     met = met.select("b", "n", "first", F.explode("few").alias("a"))
     met = met.filter(settings.fits(F.col("n"), F.col("a.n")) & (F.col("a.first") < F.col("first")))
     pairs = met.groupBy("b", F.col("a.set").alias("a")).agg(F.count(F.lit(1)).alias("shared"))
-    best = pairs.filter(F.col("shared") > 1).groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
+    pairs = pairs.filter(F.col("shared") >= settings.shared)
+    best = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
     return best.select(F.col("best.a").alias("a"), "b")
 
 
@@ -125,8 +132,8 @@ def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings)
     used = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
     used = stored(pairs.sparkSession, sets.join(used, "set").select("set", "first.id", "first.place"), "used")
     picked = F.broadcast(used) if used.count() <= settings.broadcast else used
-    found = cut.join(picked, ["id", "place"]).select("set", words(F.col("line")).alias("words"))
-    # Equal places of documents with the same key would be one set twice.
+    found = cut.join(picked, ["id", "place"])
+    found = found.select("set", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
     found = stored(pairs.sparkSession, found.filter(F.size("words") > 0), "words")
     left = found.select(F.col("set").alias("a"), F.col("words").alias("x"))
     right = found.select(F.col("set").alias("b"), F.col("words").alias("y"))
@@ -146,30 +153,33 @@ def later_matches(
     """
     spark = docs.sparkSession
     cut = lines(docs, key, text)
-    ranks = rarity(cut)
-    # Words of a line, rarest first; the set is known by a hash of them.
-    told = cut.select("id", "place", words(F.col("line")).alias("found")).filter(F.size("found") > 0)
-    told = told.select("id", "place", ordered(F.col("found"), ranks).alias("words"))
+    # The one pass over the text: every line's words, short.
+    told = cut.select("id", "place", words(F.col("line")).alias("words")).filter(F.size("words") > 0)
+    told = stored(spark, told.select("id", "place", short(F.col("words")).alias("words")), "lines")
+    ranks = rarity(told)
     size = F.size("words")
-    told = told.select(
-        "id", "place", F.xxhash64("words").alias("set"), size.alias("n"),
-        # The ends of the hashes suffice here: what they wrongly bring together is compared.
+    sorted_ = told.select("id", "place", size.alias("n"), ordered(F.col("words"), ranks).alias("words"))
+    marked = sorted_.select(
+        # Sets count as equal when their short hashes are.
+        F.xxhash64("n", "words").alias("set"), F.struct("id", "place").alias("first"), "n",
         F.transform(
-            F.slice("words", 1, settings.prefix(size)),
+            F.slice("words", 1, settings.prefix(F.col("n"))),
             lambda w: w.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"),
         ).alias("prefix"),
     )
-    told = stored(spark, told, "lines")
-    first = F.min(F.struct("id", "place")).alias("first")
-    sets = told.groupBy("set").agg(first, F.count(F.lit(1)).alias("uses"))
+    sets = marked.groupBy("set").agg(
+        F.min("first").alias("first"), F.count(F.lit(1)).alias("uses"),
+        F.any_value("n").cast("short").alias("n"), F.any_value("prefix").alias("prefix"),
+    )
+    sets = stored(spark, sets, "sets")
     # Smaller sets are alike to none but their equals.
-    index = told.filter(F.col("n") >= settings.shared).groupBy("set").agg(
-        first, F.any_value("n").cast("short").alias("n"), F.any_value("prefix").alias("prefix")
+    index = sets.filter(F.col("n") >= settings.shared).select(
+        "set", "first", "n", F.posexplode("prefix").alias("at", "word")
     )
-    index = index.select("set", "first", "n", F.posexplode("prefix").alias("at", "word"))
     index = index.withColumn("at", F.col("at").cast("short"))
     listed = F.count(F.lit(1)).over(Window.partitionBy("word"))
     index = stored(spark, index.withColumn("size", listed).filter("size > 1").drop("size"), "index")
+    sets = sets.select("set", "first", "uses")
 
     near = stored(spark, near_candidates(index, settings), "near")
     gone = stored(spark, alike(near, cut, sets, settings), "gone")
@@ -179,7 +189,8 @@ def later_matches(
     gone = gone.union(alike(rest, cut, sets, settings)).withColumn("gone", F.lit(True))
     sets = stored(spark, sets.join(gone, "set", "left"), "sets")
     total = sets.agg(F.sum("uses")).first()[0] or 0
-    judged = join_values(told.select("id", "place", "set"), sets, "set", "uses", total)
+    known = sorted_.select("id", "place", F.xxhash64("n", "words").alias("set"))
+    judged = join_values(known, sets, "set", "uses", total)
     later = F.struct("id", "place") > F.col("first")
     return judged.filter(F.coalesce("gone", F.lit(False)) | later).select("id", "place")
 
