@@ -48,8 +48,3 @@ def missing_quarters(silver: DataFrame, concept: str = COVERAGE_CONCEPT) -> Data
     spine = present.groupBy("cik").agg(F.min("q_idx").alias("lo"), F.max("q_idx").alias("hi"))
     expected = spine.select("cik", F.explode(F.sequence("lo", "hi")).alias("q_idx"))
     return expected.join(present, ["cik", "q_idx"], "left_anti")
-
-
-def annotate_gaps(facts: DataFrame, coverage: DataFrame) -> DataFrame:
-    """Facts with the gap flag of their company; unknown coverage leaves it null."""
-    return facts.join(coverage.select("cik", "missing_quarters", "has_gaps"), "cik", "left")

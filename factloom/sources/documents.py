@@ -41,11 +41,6 @@ def read_submission_documents(
     return spark.read.schema(SUBMISSIONS_DOCUMENT).option("multiLine", multi_line).json(path)
 
 
-def discover_schema(spark: SparkSession, sample_document: str) -> str:
-    """DDL of one document, for writing an explicit schema by hand."""
-    return spark.range(1).select(F.schema_of_json(F.lit(sample_document))).first()[0]
-
-
 def rejection_reason(params: Params = DEFAULTS) -> Column:
     """Why a fact document cannot be used; null for good ones. Reads column `gaap`, its concepts.
 

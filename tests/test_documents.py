@@ -241,11 +241,6 @@ def test_usable_facts_keeps_columns(spark):
     assert usable_facts(df).count() == 0 and usable_facts(df).columns == df.columns
 
 
-def test_schema_discovery(spark):
-    assert docs.discover_schema(spark, '{"cik": 1, "tickers": ["A"]}') == (
-        "STRUCT<cik: BIGINT, tickers: ARRAY<STRING>>")
-
-
 def test_odd_tags_in_a_seed_are_quoted(spark, land, seed):
     tags = ["It's", "a`b", "x.y-z", "back\\slash"]
     odd = spark.createDataFrame([(t, t, "IS", t) for t in tags], seed.schema)
