@@ -55,7 +55,7 @@ class Settings:
     words: int = 5
     percent: int = 75
     frequent: int = 500_000
-    window: int = 4_000_000
+    window: int = 2_000_000
     bits: int = 28
     filled: float = 0.1
     per_range: int = 4096
@@ -99,12 +99,12 @@ def row_key(key: str, text: str) -> Column:
 
 
 def thinned(values: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Sorted shingles by range of their leading bits, as (range, low, high).
+    """Ascending shingles by range of their leading bits, as (range, low, high).
 
     Of each only the first 36 bits are kept, as its distance from the one before: two bytes
     in `low`, and the few that need more as (place, rest) in `high`.
     """
-    short = np.sort(values) >> np.uint64(64 - KEPT_BITS)
+    short = values >> np.uint64(64 - KEPT_BITS)
     width = (1 << KEPT_BITS) // ranges
     edges = np.searchsorted(short, np.arange(ranges + 1, dtype=np.uint64) * np.uint64(width))
     for k in np.flatnonzero(np.diff(edges)):
@@ -149,12 +149,16 @@ def classes(docs: DataFrame, ranges: int, settings: Settings) -> DataFrame:
 
         def window() -> Iterator[pa.RecordBatch]:
             flat = np.concatenate(held)
-            values, counts = np.unique(flat, return_counts=True)
+            held.clear()
+            flat.sort()
+            first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+            counts = np.diff(first, append=len(flat))
             often = counts > 2
             yield rows(
                 id_type, int(often.sum()), n=pa.array(counts[often], pa.int64()),
-                shingle=pa.array(values[often].view(np.int64)),
+                shingle=pa.array(flat[first[often]].view(np.int64)),
             )
+            del first, counts, often
             parts = list(thinned(flat, ranges))
             at, low, high = zip(*parts, strict=True)
             yield rows(
@@ -486,9 +490,11 @@ def group_rows(
     spark = docs.sparkSession
     picked = members.join(labels.withColumnRenamed("node", "class"), "class")
     blocks = F.greatest(F.count(F.lit(1)) / settings.block, F.sum("n") / settings.volume)
-    sizes = picked.groupBy("label").agg(F.ceil(blocks).cast("int").alias("blocks"))
-    picked = picked.join(sizes, "label").select("first_key", "class", "n", "label", "blocks")
-    picked = stored(spark, picked, "picked")
+    sizes = picked.groupBy("label").agg(
+        F.ceil(blocks).cast("int").alias("blocks"), F.count(F.lit(1)).alias("size")
+    )
+    picked = join_values(picked, sizes, "label", "size", labels.count())
+    picked = stored(spark, picked.select("first_key", "class", "n", "label", "blocks"), "picked")
     if picked.count() <= settings.broadcast:
         picked = F.broadcast(picked)
     rows = docs.join(picked, docs["_key"] == picked["first_key"])
