@@ -117,7 +117,7 @@ CTES = {
                CAST(o_orderdate AS DATE) + CAST(o_orderkey % 120 AS INTEGER) AS filed_date,
                CASE WHEN quarter(o_orderdate) = 4 THEN 'FY'
                     ELSE 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) END AS fiscal_period_label,
-               o_orderkey // 4096 AS part
+               o_orderkey // :facts_keys AS part
         FROM orders JOIN customer ON o_custkey = c_custkey)""",
     "facts": """facts AS (
         SELECT r.* EXCLUDE (form_raw), upper(form_raw) AS form_type,
@@ -252,7 +252,7 @@ CTES = {
                CASE WHEN c_nationkey < 10 THEN 'NYSE' WHEN c_nationkey < 20 THEN 'Nasdaq' END
                    AS primary_exchange,
                1704067200 + part * 3600 AS loaded_seconds
-        FROM (SELECT DISTINCT o_custkey, o_orderkey // 262144 * 2 + o_orderkey % 2 AS part FROM orders)
+        FROM (SELECT DISTINCT o_custkey, o_orderkey // :submission_keys * 2 + o_orderkey % 2 AS part FROM orders)
         JOIN customer ON c_custkey = o_custkey)""",
     "companies": """companies AS (
         SELECT * FROM submissions
@@ -277,6 +277,14 @@ CTES = {
         FROM silver GROUP BY period_end)""",
 }
 
+# The fixture's document sizes are fixed values of the relations; stated there.
+CTES = {
+    name: text.replace(":facts_keys", str(tables.KEYS_PER_FACTS_DOCUMENT)).replace(
+        ":submission_keys", str(tables.KEYS_PER_SUBMISSION)
+    )
+    for name, text in CTES.items()
+}
+
 _NEEDS = {
     "facts": ["filing_rows", "synonyms"],
     "latest": ["facts"],

@@ -24,7 +24,7 @@ SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
 }
 
-# A derived document covers orders of one such range of keys, which bounds its size
+# Fixed values of the test relations. A derived document covers orders of one such range of keys, which bounds its size
 # however many orders its company has.
 KEYS_PER_FACTS_DOCUMENT = 4096
 KEYS_PER_SUBMISSION = 262144
