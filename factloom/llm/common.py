@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import pickle
 import sys
@@ -14,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.session import stored  # noqa: F401
+from factloom import session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,17 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a relation to the shared folder and read it back (see `session.stored`).
+
+    Spark deletes the shuffle files behind it when the driver collects its garbage; asking
+    for that here keeps them from piling up over an operator's steps.
+    """
+    found = session.stored(spark, df, name)
+    spark._jvm.System.gc()
+    return found
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -109,6 +121,15 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
     return run
 
 
+def give_back() -> None:
+    """Return what the worker has freed to the system, which both allocators put off."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def per_worker(spark: SparkSession, value, build: Callable) -> Callable:
     """A function for tasks that gives `build(value)`, made once in each Python worker.
 
@@ -122,7 +143,7 @@ def per_worker(spark: SparkSession, value, build: Callable) -> Callable:
         made = holder.__dict__.setdefault("made", {})
         if name not in made:
             made.clear()
-            gc.collect()
+            give_back()
             made[name] = build(pickle.loads(sent.value))
         return made[name]
 

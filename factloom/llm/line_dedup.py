@@ -35,7 +35,7 @@ class Settings:
 
     percent: int = 80
     shared: int = 4
-    near: int = 4
+    near: int = 2
     broadcast: int = 500_000
 
     def least(self, n: Column) -> Column:
@@ -96,11 +96,11 @@ def ordered(found: Column, ranks: Column) -> Column:
 
 def near_candidates(indexed: DataFrame, settings: Settings) -> DataFrame:
     """(a, b): for each set b the set that shares most words with it among the few before it in its lists."""
-    before = Window.partitionBy("word").orderBy("first", "set").rowsBetween(-settings.near, -1)
-    few = F.collect_list(F.struct("set", "n", "first")).over(before)
-    met = indexed.select(F.col("set").alias("b"), "n", "first", few.alias("few"))
-    met = met.select("b", "n", "first", F.explode("few").alias("a"))
-    met = met.filter(settings.fits(F.col("n"), F.col("a.n")) & (F.col("a.first") < F.col("first")))
+    before = Window.partitionBy("word").orderBy("set").rowsBetween(-settings.near, -1)
+    few = F.collect_list(F.struct("set", "n")).over(before)
+    met = indexed.select(F.col("set").alias("b"), "n", few.alias("few"))
+    met = met.select("b", "n", F.explode("few").alias("a"))
+    met = met.filter(settings.fits(F.col("n"), F.col("a.n")))
     pairs = met.groupBy("b", F.col("a.set").alias("a")).agg(F.count(F.lit(1)).alias("shared"))
     pairs = pairs.filter(F.col("shared") >= settings.shared)
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
@@ -115,11 +115,11 @@ def all_candidates(indexed: DataFrame, open_sets: DataFrame, settings: Settings)
     """
     a, b = indexed.alias("a"), indexed.join(open_sets, "set", "left_semi").alias("b")
     n, m = F.col("a.n"), F.col("b.n")
-    together = (F.col("a.word") == F.col("b.word")) & (F.col("a.first") < F.col("b.first"))
+    together = (F.col("a.word") == F.col("b.word")) & (F.col("a.set") < F.col("b.set"))
     met = a.join(b, together & settings.fits(n, m))
     pairs = met.groupBy(F.col("a.set").alias("a"), F.col("b.set").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"),
-        F.any_value("a.n").alias("n"), F.any_value("b.n").alias("m"),
+        F.max("a.n").alias("n"), F.max("b.n").alias("m"),
         F.max("a.at").alias("i"), F.max("b.at").alias("j"),
     )
     left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
@@ -129,18 +129,19 @@ def all_candidates(indexed: DataFrame, open_sets: DataFrame, settings: Settings)
 
 def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """The sets b of the pairs (a, b) that are alike, by all the words of their first lines."""
-    used = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    used = stored(pairs.sparkSession, sets.join(used, "set").select("set", "first.id", "first.place"), "used")
+    spark = pairs.sparkSession
+    used = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
+    used = stored(spark, sets.join(used, "number").select("number", "first.id", "first.place"), "used")
     picked = F.broadcast(used) if used.count() <= settings.broadcast else used
     found = cut.join(picked, ["id", "place"])
-    found = found.select("set", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
-    found = stored(pairs.sparkSession, found.filter(F.size("words") > 0), "words")
-    left = found.select(F.col("set").alias("a"), F.col("words").alias("x"))
-    right = found.select(F.col("set").alias("b"), F.col("words").alias("y"))
+    found = found.select("number", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
+    found = stored(spark, found.filter(F.size("words") > 0), "words")
+    left = found.select(F.col("number").alias("a"), F.col("words").alias("x"))
+    right = found.select(F.col("number").alias("b"), F.col("words").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - both
     met = pairs.join(left, "a").join(right, "b").filter(both * 100 >= union * settings.percent)
-    return met.select(F.col("b").alias("set")).distinct()
+    return met.select(F.col("b").alias("number")).distinct()
 
 
 def later_matches(
@@ -172,22 +173,27 @@ def later_matches(
         F.any_value("n").cast("short").alias("n"), F.any_value("prefix").alias("prefix"),
     )
     sets = stored(spark, sets, "sets")
+    # Numbered in the order of their first lines, so that a smaller number is an earlier set.
+    sets = sets.repartitionByRange("first").sortWithinPartitions("first", "set")
+    sets = stored(spark, sets.withColumn("number", F.monotonically_increasing_id()), "numbered")
     # Smaller sets are alike to none but their equals.
     index = sets.filter(F.col("n") >= settings.shared).select(
-        "set", "first", "n", F.posexplode("prefix").alias("at", "word")
+        F.col("number").alias("set"), "n", F.posexplode("prefix").alias("at", "word")
     )
     index = index.withColumn("at", F.col("at").cast("short"))
     listed = F.count(F.lit(1)).over(Window.partitionBy("word"))
     index = stored(spark, index.withColumn("size", listed).filter("size > 1").drop("size"), "index")
-    sets = sets.select("set", "first", "uses")
+    sets = sets.select("set", "number", "first", "uses")
 
     near = stored(spark, near_candidates(index, settings), "near")
     gone = stored(spark, alike(near, cut, sets, settings), "gone")
-    still = index.select("set").distinct().join(gone, "set", "left_anti")
+    done = gone.withColumnRenamed("number", "set")
+    still = stored(spark, index.select("set").distinct().join(done, "set", "left_anti"), "open")
     rest = all_candidates(index, still, settings).join(near, ["a", "b"], "left_anti")
     rest = stored(spark, rest, "rest")
     gone = gone.union(alike(rest, cut, sets, settings)).withColumn("gone", F.lit(True))
-    sets = stored(spark, sets.join(gone, "set", "left"), "sets")
+    judged = sets.join(gone, "number", "left").select("set", "first", "uses", "gone")
+    sets = stored(spark, judged, "judged")
     total = sets.agg(F.sum("uses")).first()[0] or 0
     known = sorted_.select("id", "place", F.xxhash64("n", "words").alias("set"))
     judged = join_values(known, sets, "set", "uses", total)
