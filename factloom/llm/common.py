@@ -145,6 +145,8 @@ def per_worker(spark: SparkSession, value, build: Callable) -> Callable:
             made.clear()
             give_back()
             made[name] = build(pickle.loads(sent.value))
+            # The pickled form is of no more use here; it would be loaded again if it were.
+            sent.__dict__.pop("_value", None)
         return made[name]
 
     return get

@@ -72,7 +72,7 @@ class Shingler:
     """Text -> ascending array of its distinct shingles as 64-bit hashes."""
 
     def __init__(self, width: int):
-        self.width, self.hashes = width, Memo(xxhash.xxh3_64_intdigest, 400_000)
+        self.width, self.hashes = width, Memo(xxhash.xxh3_64_intdigest, 250_000)
 
     def __call__(self, text: str) -> np.ndarray:
         words = text.encode().translate(LOWER).split()
