@@ -33,11 +33,9 @@ LEET = {
 SEPARATORS = " .-_*'"
 READ, DROP, MASK, SHRINK = 0.5, 0.5, 1.0, 0.7
 
-SIGNS = "[" + re.escape("".join(LEET)) + "]"
-SUSPECT = re.compile(
-    rf"([^\W\d_])\1\1|(?<=[^\W\d_]){SIGNS}+(?=[^\W_])|(?<![^\s(\"']){SIGNS}(?=[^\W\d_])"
-    rf"|(?<=[^\W\d_])[0134578$](?!\S)|(?<=[^\W\d_])[.\-_*]+(?=[^\W\d_])"
-)
+# Signs and separators; a run of them is looked at with what stands on either side.
+MARKS = re.compile("[" + re.escape("".join(LEET) + ".-_*") + "]+")
+OPENING, CLOSING = " \t\n\r\x0b\x0c(\"'", "0134578$"
 APART = re.compile(rf"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[{re.escape(SEPARATORS)}]{{1,2}}(?:[^\W_]|[@$!|+])(?![^\W_])){{2,}}")
 RUNS = re.compile(r"(.)\1*", re.DOTALL)
 WORDS = re.compile(r"[^\W\d_]+")
@@ -143,17 +141,35 @@ def restore(stretch: str, model: CharModel) -> str:
     return "".join(reversed(letters))
 
 
+def hides(before: str, marks: str, after: str) -> bool:
+    """Whether marks between two characters (or an end) may be read as letters or left out."""
+    if before.isalpha():
+        if after.isalnum():
+            return after.isalpha() or any(m in LEET for m in marks)
+        # At a word's end only digits and the like: a full stop or an exclamation ends a sentence.
+        return len(marks) == 1 and marks in CLOSING and (not after or after.isspace())
+    return after.isalpha() and marks[-1] in LEET and (not before or before in OPENING)
+
+
 def suspects(text: str) -> set[str]:
     """Stretches of a lower-case text that may hide words."""
     found = {m[0] for m in APART.finditer(text)}
+    places = [
+        m.start() for m in MARKS.finditer(text)
+        if hides(text[m.start() - 1 : m.start()], m[0], text[m.end() : m.end() + 1])
+    ]
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    same = points[1:] == points[:-1]
+    thrice = np.flatnonzero(same[1:] & same[:-1]).tolist()
+    places += [at for at in thrice if text[at].isalpha()]
     end = -1
-    for m in SUSPECT.finditer(text):
-        if m.end() <= end:
+    for at in sorted(places):
+        if at < end:
             continue
-        start = m.start()
+        start = at
         while start > 0 and not text[start - 1].isspace():
             start -= 1
-        end = m.end()
+        end = at
         while end < len(text) and not text[end].isspace():
             end += 1
         found.add(text[start:end])
