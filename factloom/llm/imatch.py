@@ -2,11 +2,13 @@
 
 Terms whose inverse document frequency lies in a band form the lexicon. The distinct terms
 of a text that are in it, sorted, are hashed once for each of several random subsets of the
-lexicon; two texts are as alike as the share of subsets in which their hashes agree.
+lexicon; two texts are as alike as the share of subsets in which their hashes agree. A text
+that no subset has a term of is hashed over all its own terms instead.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +20,8 @@ from factloom.llm.common import query, stored, table
 @dataclass(frozen=True)
 class Settings:
     """`rarest`, `commonest`: share of all documents that a term of the lexicon is in; their
-    negative logarithms are the band's ends. The share also bounds the lexicon: it has at
+    negative logarithms are the band's ends. Copies of one text count as `rarest` of all
+    documents at most, so that no group of copies drives its own terms out. The share also bounds the lexicon: it has at
     most the mean number of distinct terms of a text, divided by `rarest`. `rates`: one in
     so many terms is in a subset, for each of `per_rate` subsets. `broadcast`: rows up to
     which the lexicon is broadcast; a larger one is joined by term."""
@@ -40,24 +43,51 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.lit("")), found))
 
 
+def drawn(term: Column, settings: Settings) -> Column:
+    """The subsets that the hash of a term is in, as bits. Each subset draws the terms anew."""
+    bits = F.lit(0).cast("long")
+    for k, rate in settings.subsets:
+        mine = F.pmod(F.xxhash64(term, F.lit(k)), F.lit(rate)) == 0
+        bits = bits.bitwiseOR(F.when(mine, F.lit(1 << k)).otherwise(0).cast("long"))
+    return bits
+
+
+def weighed(docs: DataFrame, settings: Settings, text: str) -> tuple[DataFrame, int]:
+    """(text, weight), the sum of weights: the copies of one text weigh `rarest` of all rows at most.
+
+    Texts with more copies than that are fewer than 1 / `rarest`; each stands there once.
+    """
+    rows = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("copy"))
+    copies = rows.groupBy("copy").agg(F.count(F.lit(1)).alias("n"))
+    total = docs.count()
+    most = max(2, math.ceil(settings.rarest * total))
+    # Proven bound: 1 / `rarest` rows of two numbers.
+    many = {r.copy: r.n for r in copies.filter(F.col("n") > most).collect()}
+    single = rows.select("text", F.lit(1).alias("weight"))
+    if not many:
+        return single, total
+    hot = F.broadcast(docs.sparkSession.createDataFrame([(c,) for c in many], "copy long"))
+    once = rows.join(hot, "copy").groupBy("copy").agg(F.min("text").alias("text"))
+    single = rows.join(hot, "copy", "left_anti").select("text", F.lit(1).alias("weight"))
+    each = once.select("text", F.lit(most).alias("weight"))
+    return single.unionByName(each), total - sum(n - most for n in many.values())
+
+
 def band(docs: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
     """(term, subsets): hashes of the terms in the band and, as bits, the subsets they are in.
 
-    Counted over every text; equal terms of a task combine before the shuffle. The empty
+    Counted over every text, copies up to a bound (`weighed`); equal terms of a task combine
+    before the shuffle. A table too small for a band holds the terms of weight two. The empty
     term is in it with no subset, so that a text without terms keeps its row.
     """
     spark = docs.sparkSession
-    total = docs.count()
-    seen = docs.select(F.explode(terms(F.col(text))).alias("term"))
-    counts = seen.groupBy(F.xxhash64("term").alias("term")).agg(F.count(F.lit(1)).alias("n"))
+    texts, total = weighed(docs, settings, text)
+    seen = texts.select("weight", F.explode(terms(F.col("text"))).alias("term"))
+    counts = seen.groupBy(F.xxhash64("term").alias("term")).agg(F.sum("weight").alias("n"))
     empty = F.xxhash64(F.lit(""))
-    within = F.col("n").between(max(2.0, settings.rarest * total), settings.commonest * total)
-    bits = F.lit(0).cast("long")
-    for k, rate in settings.subsets:
-        # Each subset draws the terms anew.
-        drawn = F.pmod(F.xxhash64("term", F.lit(k)), F.lit(rate)) == 0
-        bits = bits.bitwiseOR(F.when(drawn, F.lit(1 << k)).otherwise(0).cast("long"))
-    bits = F.when(F.col("term") == empty, F.lit(0).cast("long")).otherwise(bits)
+    least = max(2.0, settings.rarest * total)
+    within = F.col("n").between(least, max(least, settings.commonest * total))
+    bits = F.when(F.col("term") == empty, F.lit(0).cast("long")).otherwise(drawn(F.col("term"), settings))
     kept = counts.filter(within | (F.col("term") == empty))
     lexicon = stored(spark, kept.select("term", bits.alias("subsets")), "lexicon")
     return F.broadcast(lexicon) if lexicon.count() <= settings.broadcast else lexicon
@@ -73,6 +103,27 @@ def hashes(found: Column, settings: Settings) -> Column:
     return F.array(*[one(k) for k, _ in settings.subsets])
 
 
+def own_hashes(text: Column, settings: Settings) -> Column:
+    """One hash per subset over all terms of a text, for texts that the lexicon has nothing
+    of. Each term is in one subset at least, so only a text without terms has none."""
+
+    def placed(word: Column) -> Column:
+        term = F.xxhash64(word)
+        one = F.pmod(term, F.lit(len(settings.subsets))).cast("int")
+        return F.struct(
+            term.alias("term"),
+            drawn(term, settings).bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), one)).alias("subsets"),
+        )
+
+    found = F.transform(F.filter(terms(text), lambda w: w != ""), placed)
+    return hashes(F.sort_array(found), settings)
+
+
+def bare(prints: Column) -> Column:
+    """Whether no subset has a term of the text."""
+    return ~F.exists(prints, lambda h: h != 0)
+
+
 def shown(prints: Column) -> Column:
     return F.array_join(F.transform(prints, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
@@ -98,7 +149,12 @@ def fingerprint(
     found = known.groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("term", "subsets"))).alias("found")
     )
-    return found.select(F.col("id").alias(key), shown(hashes(F.col("found"), settings)).alias("fingerprint"))
+    prints = found.select("id", hashes(F.col("found"), settings).alias("prints"))
+    prints = stored(docs.sparkSession, prints, "prints")
+    left = docs.join(prints.filter(bare(F.col("prints"))).select("id"), "id")
+    left = left.select("id", own_hashes(F.col("text"), settings).alias("own"))
+    prints = prints.join(left, "id", "left").select("id", F.coalesce("own", "prints").alias("prints"))
+    return prints.select(F.col("id").alias(key), shown(F.col("prints")).alias("fingerprint"))
 
 
 def single(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -135,6 +191,37 @@ def receivers(docs: DataFrame) -> DataFrame:
     return linked.select("id", taker["id"].alias("receiver"), taker["half"].alias("half"))
 
 
+def edits(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """id, text, edited: the rows of `links`, with the edited text of those whose giver is in it too."""
+    # The one shuffle of whole texts; all that follows but the halves stays where it is.
+    placed = rows.join(links.hint("shuffle_merge"), "id")
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    given = placed.select(F.col("receiver").alias("id"), F.left("text", "half").alias("given"))
+    own = placed.select("id", "text", F.left("text", F.char_length("text") - half).alias("head"))
+    both = own.join(given.hint("shuffle_merge"), "id")
+    return both.select("id", "text", F.concat("head", "given").alias("edited"))
+
+
+def without_lexicon(
+    prints: DataFrame, rows: DataFrame, links: DataFrame, settings: Settings
+) -> DataFrame:
+    """id, all_own, all_edited, whole, same: of rows where the lexicon has nothing of the text
+    or of its edited form, the hashes over all terms, the text's SHA-256 and whether both are
+    the same text."""
+    needed = prints.filter(bare(F.col("own")) | bare(F.col("edited"))).select("id")
+    needed = stored(prints.sparkSession, needed, "bare")
+    givers = links.join(needed.withColumnRenamed("id", "receiver"), "receiver").select("id")
+    few = links.join(needed.union(givers).distinct(), "id")
+    texts = edits(rows.join(few.select("id"), "id", "left_semi"), few).join(needed, "id", "left_semi")
+    return texts.select(
+        "id",
+        own_hashes(F.col("text"), settings).alias("all_own"),
+        own_hashes(F.col("edited"), settings).alias("all_edited"),
+        F.sha2("text", 256).alias("whole"),
+        (F.col("text") == F.col("edited")).alias("same"),
+    )
+
+
 def compare_edits(
     docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -144,20 +231,16 @@ def compare_edits(
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many
     (or all) of the next document by descending key; the first document follows the last. A
     null text is an empty one; of rows with the same key the least text counts, rows without
-    a key are left out. A text without terms of the lexicon has an all-zero fingerprint and a
-    likeness of 0 to any. Other columns are not read.
+    a key are left out. A text that the lexicon has nothing of is hashed over all its own
+    terms, and so is alike to texts of its kind only. A text without any term has an all-zero
+    fingerprint, a likeness of 1 to the same text and of 0 to any other. Other columns are not
+    read.
     """
     spark = docs.sparkSession
     rows = single(docs, key, text)
     lexicon = band(rows, settings)
     links = stored(spark, receivers(rows), "receivers")
-    # The one shuffle of whole texts; all that follows but the halves stays where it is.
-    placed = rows.join(links.hint("shuffle_merge"), "id")
-    half = F.floor(F.char_length("text") / 2).cast("int")
-    given = placed.select(F.col("receiver").alias("id"), F.left("text", "half").alias("given"))
-    own = placed.select("id", "text", F.left("text", F.char_length("text") - half).alias("head"))
-    both = own.join(given.hint("shuffle_merge"), "id")
-    both = both.select("id", "text", F.concat("head", "given").alias("edited"))
+    both = edits(rows, links)
     # Terms of both texts in one list; the empty one is first in each, so every row stays.
     words = both.select(
         "id",
@@ -181,17 +264,29 @@ def compare_edits(
         hashes(F.col("own"), settings).alias("own"), hashes(F.col("edited"), settings).alias("edited"),
     )
     prints = stored(spark, prints, "prints")
+    more = stored(spark, without_lexicon(prints, rows, links, settings), "more")
+    prints = prints.join(more, "id", "left").select(
+        "id", "n_chars", "edited_sha256", "same",
+        F.when(bare(F.col("own")), F.col("all_own")).otherwise(F.col("own")).alias("own"),
+        F.when(bare(F.col("edited")), F.col("all_edited")).otherwise(F.col("edited")).alias("edited"),
+        F.col("whole"),
+    )
     # The document before `id` takes from it: there, `own` is the next one's.
-    behind = prints.select("id", F.col("own").alias("next")).join(links.select("id", "receiver"), "id")
-    result = prints.join(behind.select(F.col("receiver").alias("id"), "next"), "id")
+    behind = prints.select("id", F.col("own").alias("next"), F.col("whole").alias("whole_next"))
+    behind = behind.join(links.select("id", "receiver"), "id")
+    result = prints.join(
+        behind.select(F.col("receiver").alias("id"), "next", "whole_next"), "id"
+    )
+    one = F.lit(1.0)
     return result.select(
         F.col("id").alias(key),
         "n_chars",
         "edited_sha256",
         shown(F.col("own")).alias("fingerprint"),
         shown(F.col("edited")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("edited")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        F.when(F.col("same"), one).otherwise(likeness(F.col("own"), F.col("edited"))).alias("near_edited"),
+        F.when(F.col("whole") == F.col("whole_next"), one)
+        .otherwise(likeness(F.col("own"), F.col("next"))).alias("near_next"),
     )
 
 

@@ -77,6 +77,28 @@ def test_a_lexicon_too_large_to_broadcast_gives_the_same(documents):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+def test_copies_and_small_tables_keep_their_fingerprints(spark):
+    """A third of the rows is one text; others share words, a few have words of their own or none."""
+    hot = "solar panels feed batteries that carry towns through winter nights " * 2
+    rows = [(k, hot) for k in range(200)]
+    rows += [(200 + k, " ".join(f"w{(k * 7 + j * j) % 150}" for j in range(20))) for k in range(396)]
+    rows += [(600, "ein ganz seltener satz"), (601, "ein ganz seltener satz"), (602, ""), (603, None), (604, "?!"), (605, "!?")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r for r in imatch.compare_edits(docs).collect()}
+    zero = "0" * len(found[0]["fingerprint"])
+    same = {found[k]["fingerprint"] for k in range(200)}
+    assert len(same) == 1 and same != {zero}
+    assert all(found[k]["near_next"] == found[k]["near_edited"] == 1.0 for k in range(1, 200))
+    assert found[601]["near_next"] == 1.0 and found[601]["fingerprint"] == found[600]["fingerprint"] != zero
+    assert found[603]["near_next"] == 1.0 and found[603]["fingerprint"] == zero  # null after empty
+    assert found[605]["near_next"] == 0.0  # other signs, both without a term
+    assert {r["doc_id"]: r["fingerprint"] for r in imatch.fingerprint(docs).collect()} == {
+        k: r["fingerprint"] for k, r in found.items()}
+    few = spark.createDataFrame([(k, "one two three" if k < 3 else f"text {k}") for k in range(6)], docs.schema)
+    prints = {r["doc_id"]: r["fingerprint"] for r in imatch.compare_edits(few).collect()}
+    assert zero not in prints.values() and prints[0] == prints[1] == prints[2] != prints[3]
+
+
 @pytest.mark.parametrize("name", ["op4_document_fingerprints", "op6_line_dedup", "op10_url_filter"])
 def test_native_operators_run_no_python(spark, small, name):
     text = plan(QUERIES[name](spark, small))
