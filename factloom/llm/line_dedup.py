@@ -24,6 +24,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
 # Word frequencies are counted by hash, in this many counters.
 COUNTERS = 1 << 16
+# What tells a line apart, in the order of lines.
+LINE = ("id", "row", "place")
 
 
 @dataclass(frozen=True)
@@ -54,9 +56,15 @@ class Settings:
 
 
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id, place (from 0), line: the lines of every document, without its line feeds."""
+    """id, row, place (from 0), line: the lines of every document, without its line feeds."""
     cut = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    return docs.select(F.col(key).alias("id"), F.posexplode(cut).alias("place", "line"))
+    told = docs.select(F.col(key).alias("id"), row_of(text).alias("row"), cut.alias("cut"))
+    return told.select("id", "row", F.posexplode("cut").alias("place", "line"))
+
+
+def row_of(text: str) -> Column:
+    """Tells rows of the same id, or of none, apart."""
+    return F.xxhash64(F.col(text))
 
 
 def words(line: Column) -> Column:
@@ -131,9 +139,14 @@ def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings)
     """The sets b of the pairs (a, b) that are alike, by all the words of their first lines."""
     spark = pairs.sparkSession
     used = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
-    used = stored(spark, sets.join(used, "number").select("number", "first.id", "first.place"), "used")
+    first = ["number", "first.id", "first.row", "first.place"]
+    used = stored(spark, sets.join(used, "number").select(*first), "used")
+    used = used.withColumnRenamed("id", "_id")
     picked = F.broadcast(used) if used.count() <= settings.broadcast else used
-    found = cut.join(picked, ["id", "place"])
+    found = cut.withColumnsRenamed({"row": "_row", "place": "_place"}).join(
+        picked,
+        F.col("id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("row")) & (F.col("_place") == F.col("place")),
+    )
     found = found.select("number", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
     found = stored(spark, found.filter(F.size("words") > 0), "words")
     left = found.select(F.col("number").alias("a"), F.col("words").alias("x"))
@@ -147,22 +160,23 @@ def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings)
 def later_matches(
     docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """id, place of every line that an earlier line is alike to.
+    """id, row, place of every line that an earlier line is alike to.
 
-    Lines without words match none. Lines are ordered by key and place, null keys first;
-    lines of the same key and place (of documents with equal keys) do not go for each other.
+    Lines without words match none. Lines are ordered by key, row and place, null keys first;
+    `row` tells documents with equal or no keys apart by their texts. Rows that are the same
+    in key and text are one document: their lines do not go for each other.
     """
     spark = docs.sparkSession
     cut = lines(docs, key, text)
     # The one pass over the text: every line's words, short.
-    told = cut.select("id", "place", words(F.col("line")).alias("words")).filter(F.size("words") > 0)
-    told = stored(spark, told.select("id", "place", short(F.col("words")).alias("words")), "lines")
+    told = cut.select(*LINE, words(F.col("line")).alias("words")).filter(F.size("words") > 0)
+    told = stored(spark, told.select(*LINE, short(F.col("words")).alias("words")), "lines")
     ranks = rarity(told)
     size = F.size("words")
-    sorted_ = told.select("id", "place", size.alias("n"), ordered(F.col("words"), ranks).alias("words"))
+    sorted_ = told.select(*LINE, size.alias("n"), ordered(F.col("words"), ranks).alias("words"))
     marked = sorted_.select(
         # Sets count as equal when their short hashes are.
-        F.xxhash64("n", "words").alias("set"), F.struct("id", "place").alias("first"), "n",
+        F.xxhash64("n", "words").alias("set"), F.struct(*LINE).alias("first"), "n",
         F.transform(
             F.slice("words", 1, settings.prefix(F.col("n"))),
             lambda w: w.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"),
@@ -195,10 +209,10 @@ def later_matches(
     judged = sets.join(gone, "number", "left").select("set", "first", "uses", "gone")
     sets = stored(spark, judged, "judged")
     total = sets.agg(F.sum("uses")).first()[0] or 0
-    known = sorted_.select("id", "place", F.xxhash64("n", "words").alias("set"))
+    known = sorted_.select(*LINE, F.xxhash64("n", "words").alias("set"))
     judged = join_values(known, sets, "set", "uses", total)
-    later = F.struct("id", "place") > F.col("first")
-    return judged.filter(F.coalesce("gone", F.lit(False)) | later).select("id", "place")
+    later = F.struct(*LINE) > F.col("first")
+    return judged.filter(F.coalesce("gone", F.lit(False)) | later).select(*LINE)
 
 
 def drop_lines(
@@ -207,8 +221,11 @@ def drop_lines(
     """`docs` without the lines that an earlier line is alike to; all columns."""
     inner = [f"c{k}" for k in range(len(docs.columns))]
     at = dict(zip(docs.columns, inner, strict=True))
-    found = later_matches(docs, settings, key, text).groupBy("id").agg(F.collect_set("place").alias("_gone"))
-    rows = docs.toDF(*inner).join(found, F.col(at[key]).eqNullSafe(F.col("id")), "left")
+    found = later_matches(docs, settings, key, text)
+    found = found.groupBy("id", "row").agg(F.collect_set("place").alias("_gone"))
+    rows = docs.toDF(*inner).withColumn("_row", row_of(at[text])).join(
+        found, F.col(at[key]).eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")), "left"
+    )
     cut = F.split(F.col(at[text]), "\n")
     kept = F.filter(cut, lambda _, place: ~F.array_contains("_gone", place))
     clean = F.when(F.col("_gone").isNull(), F.col(at[text])).otherwise(F.array_join(kept, "\n"))
@@ -218,11 +235,17 @@ def drop_lines(
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: its lines, how many of them go, and their places."""
-    docs = table(spark, folder, "documents")
-    gone = later_matches(docs).groupBy(F.col("id").alias("doc_id")).agg(
+    return removed_places(table(spark, folder, "documents"))
+
+
+def removed_places(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_removed, removed: one row per row of `docs`, null and repeated ids too."""
+    gone = later_matches(docs).groupBy("id", "row").agg(
         F.sort_array(F.collect_set("place")).alias("removed")
     )
     count = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n_lines")
-    found = docs.select("doc_id", count).join(gone, "doc_id", "left")
+    found = docs.select("doc_id", row_of("text").alias("_row"), count).join(
+        gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")), "left"
+    )
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return found.select("doc_id", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))

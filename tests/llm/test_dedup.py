@@ -229,6 +229,34 @@ def test_lines_of_odd_rows(odd_documents, no_documents):
     assert line_dedup.later_matches(no_documents).count() == 0 and line_dedup.drop_lines(no_documents).count() == 0
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    """Every row against brute force over all rows, in the order of lines."""
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [
+        (None, f"{base}\nonly here in the first\nshared line of many"), (None, "quite another text\nshared line of many"),
+        (None, f"third text\nkept as it is\n{base} lambda"), (1, f"{base} my\nplain one"), (1, "plain one\nplain two\nplain three"),
+        (1, f"other start\nplain two\n{base} omega"), (2, "plain three\nfresh words"), (2, None), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    told = docs.select("doc_id", "text", line_dedup.row_of("text").alias("row")).collect()
+    told.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["row"]))
+    seen, expected, clean = [], [], []
+    for r in told:
+        gone = []
+        for place, line in enumerate((r["text"] or "").split("\n")):
+            words = set(line.lower().split())
+            if words and any(100 * len(words & w) >= 80 * len(words | w) for w in seen):
+                gone.append(place)
+            if words:
+                seen.append(words)
+        expected.append((r["doc_id"], len((r["text"] or "").split("\n")), len(gone), gone))
+        kept = [line for k, line in enumerate((r["text"] or "").split("\n")) if k not in gone]
+        clean.append((r["doc_id"], None if r["text"] is None else "\n".join(kept)))
+    found = [tuple(r) for r in line_dedup.removed_places(docs).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, expected)) and sum(r[2] for r in found) > 5
+    assert sorted(map(str, map(tuple, line_dedup.drop_lines(docs).collect()))) == sorted(map(str, clean))
+
+
 def test_line_query(spark, medium):
     rows = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     from factloom.llm.registry import queries as QUERIES
