@@ -72,10 +72,10 @@ def words(line: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(line), SPACE)), "")
 
 
-def short(found: Column) -> Column:
-    """Words as short hashes. Those that fall together bring more sets together, never fewer;
-    what is brought together is compared by the words themselves."""
-    return F.transform(found, lambda w: F.xxhash64(w).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+def short(hashed: Column) -> Column:
+    """64-bit hashes of words as short ones, for the index only. Those that fall together bring
+    more sets together, never fewer; what is brought together is compared by longer hashes."""
+    return F.transform(hashed, lambda w: w.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
 
 
 def rarity(told: DataFrame) -> Column:
@@ -170,13 +170,15 @@ def later_matches(
     cut = lines(docs, key, text)
     # The one pass over the text: every line's words, short.
     told = cut.select(*LINE, words(F.col("line")).alias("words")).filter(F.size("words") > 0)
-    told = stored(spark, told.select(*LINE, short(F.col("words")).alias("words")), "lines")
+    told = told.select(*LINE, F.transform("words", lambda w: F.xxhash64(w)).alias("hashed"))
+    # Sets are equal when the 64-bit hashes of their words are.
+    whole = F.xxhash64(F.size("hashed"), F.sort_array("hashed")).alias("set")
+    told = stored(spark, told.select(*LINE, whole, short(F.col("hashed")).alias("words")), "lines")
     ranks = rarity(told)
     size = F.size("words")
-    sorted_ = told.select(*LINE, size.alias("n"), ordered(F.col("words"), ranks).alias("words"))
+    sorted_ = told.select(*LINE, "set", size.alias("n"), ordered(F.col("words"), ranks).alias("words"))
     marked = sorted_.select(
-        # Sets count as equal when their short hashes are.
-        F.xxhash64("n", "words").alias("set"), F.struct(*LINE).alias("first"), "n",
+        "set", F.struct(*LINE).alias("first"), "n",
         F.transform(
             F.slice("words", 1, settings.prefix(F.col("n"))),
             lambda w: w.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"),
@@ -209,7 +211,7 @@ def later_matches(
     judged = sets.join(gone, "number", "left").select("set", "first", "uses", "gone")
     sets = stored(spark, judged, "judged")
     total = sets.agg(F.sum("uses")).first()[0] or 0
-    known = sorted_.select(*LINE, F.xxhash64("n", "words").alias("set"))
+    known = told.select(*LINE, "set")
     judged = join_values(known, sets, "set", "uses", total)
     later = F.struct(*LINE) > F.col("first")
     return judged.filter(F.coalesce("gone", F.lit(False)) | later).select(*LINE)

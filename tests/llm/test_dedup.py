@@ -257,6 +257,18 @@ def test_lines_of_null_and_repeated_ids(spark):
     assert sorted(map(str, map(tuple, line_dedup.drop_lines(docs).collect()))) == sorted(map(str, clean))
 
 
+def test_words_of_one_short_hash_are_not_equal_lines(spark):
+    """Lines whose words differ, but not in the 31 bits that the index keeps."""
+    words = spark.range(400_000).selectExpr("concat('w', id) AS word", "xxhash64(concat('w', id)) & 2147483647 AS h")
+    pairs = words.groupBy("h").agg({"word": "collect_list"}).toDF("h", "words").filter("size(words) > 1")
+    rows = [tuple(r["words"][:2]) for r in pairs.collect()]
+    assert len(rows) > 10
+    lines = [line for a, b in rows for line in (a, b, f"Page {a}", f"Page {b}", f"Page {a}")]
+    docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    found = line_dedup.later_matches(docs).collect()
+    assert sorted(r["place"] for r in found) == [5 * k + 4 for k in range(len(rows))]
+
+
 def test_line_query(spark, medium):
     rows = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     from factloom.llm.registry import queries as QUERIES
