@@ -1,7 +1,7 @@
 """Toxicity (8): disguised words are restored through a noisy channel, then texts are scored.
 
-Suspicious stretches (letters written as digits or signs, letters set apart, letters
-repeated) become lattices of what each sign may stand for. Viterbi picks the reading that
+Every stretch that can be read in more than one way (digits or signs next to letters, letters
+set apart, letters doubled) becomes a lattice of what each sign may stand for. Viterbi picks the reading that
 a trigram model of the corpus' characters finds likeliest. Words of the text as written
 and as restored are then scored by features learned from labels.
 """
@@ -34,9 +34,14 @@ SEPARATORS = " .-_*'"
 READ, DROP, MASK, SHRINK = 0.5, 0.5, 1.0, 0.7
 
 # Signs and separators; a run of them is looked at with what stands on either side.
-MARKS = re.compile("[" + re.escape("".join(LEET) + ".-_*") + "]+")
-OPENING, CLOSING = " \t\n\r\x0b\x0c(\"'", "0134578$"
-APART = re.compile(rf"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[{re.escape(SEPARATORS)}]{{1,2}}(?:[^\W_]|[@$!|+])(?![^\W_])){{2,}}")
+MARKS = re.compile("[" + re.escape("".join(LEET) + ".-_*'") + "]+")
+MONEY = "@$€£"
+CLOSERS = ".,;:?\"')]}-_*…"
+PART, BETWEEN = r"(?:[^\W_]|[@$!|+€£])", f"[{re.escape(SEPARATORS)}]"
+APART = re.compile(rf"(?<![^\W_]){PART}(?:{BETWEEN}+{PART}(?![^\W_])){{2,}}")
+CLOSE = re.compile(rf"(?<![^\W_]){PART}(?:{BETWEEN}{{1,2}}{PART}(?![^\W_])){{2,}}")
+GAPS = re.compile(f"{BETWEEN}+")
+TWICE = re.compile(r"(.)\1")
 RUNS = re.compile(r"(.)\1*", re.DOTALL)
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -142,29 +147,37 @@ def restore(stretch: str, model: CharModel) -> str:
 
 
 def hides(before: str, marks: str, after: str) -> bool:
-    """Whether marks between two characters (or an end) may be read as letters or left out."""
-    if before.isalpha():
-        if after.isalnum():
-            return after.isalpha() or any(m in LEET for m in marks)
-        # At a word's end only digits and the like: a full stop or an exclamation ends a sentence.
-        return len(marks) == 1 and marks in CLOSING and (not after or after.isspace())
-    return after.isalpha() and marks[-1] in LEET and (not before or before in OPENING)
+    """Whether marks between two characters (or an end) may be read as letters or left out.
 
+    Any other character ends a word, so only what stands next to the marks matters.
+    """
+    if before.isalpha() and after.isalpha():
+        return True
+    if before.isalpha() or after.isalpha():
+        return any(m in LEET for m in marks)
+    # Signs alone: two different ones that are no digits, which a number or a price has not.
+    return len({m for m in marks if m in MONEY}) > 1
+
+
+def apart(text: str) -> set[str]:
+    """Letters set apart by any number of separators, and the words among them that wider gaps part."""
+    found = set()
+    for m in APART.finditer(text):
+        found.add(m[0])
+        gaps = {len(g) for g in GAPS.findall(m[0])}
+        if len(gaps) > 1:
+            found.update(re.split(f"{BETWEEN}{{{min(gaps) + 1},}}", m[0]))
+            found.update(x[0] for x in CLOSE.finditer(m[0]))
+    return found
 
-def suspects(text: str) -> set[str]:
-    """Stretches of a lower-case text that may hide words."""
-    found = {m[0] for m in APART.finditer(text)}
-    places = [
-        m.start() for m in MARKS.finditer(text)
-        if hides(text[m.start() - 1 : m.start()], m[0], text[m.end() : m.end() + 1])
-    ]
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    same = points[1:] == points[:-1]
-    thrice = np.flatnonzero(same[1:] & same[:-1]).tolist()
-    places += [at for at in thrice if text[at].isalpha()]
+
+def marked(text: str) -> set[str]:
+    """Stretches of a lower-case text with marks that may hide words."""
+    found = apart(text)
     end = -1
-    for at in sorted(places):
-        if at < end:
+    for m in MARKS.finditer(text):
+        at = m.start()
+        if at < end or not hides(text[at - 1 : at], m[0], text[m.end() : m.end() + 1]):
             continue
         start = at
         while start > 0 and not text[start - 1].isspace():
@@ -173,21 +186,33 @@ def suspects(text: str) -> set[str]:
         while end < len(text) and not text[end].isspace():
             end += 1
         found.add(text[start:end])
+        # Exclamation marks at the end may be letters or not.
+        if text[start:end].rstrip(CLOSERS).endswith("!"):
+            found.add(text[start:end].rstrip(CLOSERS + "!"))
     return found
 
 
+def suspects(text: str) -> set[str]:
+    """Stretches of a lower-case text that may be read in more than one way."""
+    return marked(text) | {w for w in WORDS.findall(text) if TWICE.search(w)}
+
+
 class Reader:
     """Text -> its distinct words, as written and as restored."""
 
     def __init__(self, counts: np.ndarray):
         model = CharModel(counts)
         self.restored = Memo(lambda stretch: WORDS.findall(restore(stretch, model)), 100_000)
+        # Words without a doubled letter have one reading.
+        self.single = Memo(lambda word: WORDS.findall(restore(word, model)) if TWICE.search(word) else ())
 
     def __call__(self, text: str) -> set[str]:
         lowered = text.lower()
         words = set(WORDS.findall(lowered))
-        for stretch in suspects(lowered):
-            words.update(self.restored[stretch])
+        more = [w for word in words for w in self.single[word]]
+        for stretch in marked(lowered):
+            more += self.restored[stretch]
+        words.update(more)
         return words
 
 

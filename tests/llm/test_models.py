@@ -113,6 +113,25 @@ def test_disguised_words_are_restored(model):
     assert scorer("on 2023-05-01 version b2b 3d is on the is as and") < toxicity.THRESHOLD
 
 
+def test_disguises_at_word_ends_doubled_and_far_apart(model):
+    chars = toxicity.CharModel(model.counts)
+    hidden = {
+        "idio7,": "idiot", "idio7.": "idiot", "idio7!": "idiot", "(idio7)": "idiot", "idi'ot": "idiot",
+        "stuupid": "stupid", "iiddiioott": "idiot", "i   d   i   o   t": "idiot", "m.....o.....r.....o.....n": "moron",
+    }
+    scorer = toxicity.Scorer(model)
+    for disguised, word in hidden.items():
+        stretches = toxicity.suspects(f"so {disguised} he said")
+        found = {w for s in stretches for w in toxicity.WORDS.findall(toxicity.restore(s, chars))}
+        assert word in found, (disguised, found)
+        assert scorer(f"so {disguised} he said") >= toxicity.THRESHOLD, disguised
+    assert {"a$$", "a55", "@$$"} <= toxicity.suspects("an a$$ an a55 an @$$")
+    assert "s   t   u" in toxicity.suspects("s   t   u") and "i d i o t" in toxicity.suspects("s t u p i d   i d i o t")
+    assert not toxicity.suspects("on 2023-05-01 for $45, 1,000 of 13.5 or so.")
+    clean = "All letters will follow in summer! It's the 13th of 20, page 7a. Well-known offers cost $45, or 1,000."
+    assert scorer(clean) < toxicity.THRESHOLD
+
+
 def test_lattice_search_equals_all_readings(model):
     from itertools import product
 
