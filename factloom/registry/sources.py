@@ -57,18 +57,24 @@ def src_json_submissions(spark: SparkSession, folder: str) -> DataFrame:
            count(DISTINCT raw_concept) AS concepts, count(*) AS entries
     FROM filing_rows GROUP BY ALL""", "filing_rows"))
 def src_json_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One indented object per company and file, read whole."""
-    path = shared_path(spark, "facts")
-    whole = docs.fold_fact_documents(rows(spark, folder).withColumn("part", F.lit(0)))
-    named = whole.select(F.col("cik").cast("int").alias("file"), _indented("document").alias("value"))
-    put_files(spark, named, "file", path, "text")
-    bronze = docs.raw_company_facts(docs.judge_documents(docs.read_fact_documents(spark, path)))
+    """One indented object per file, read whole; a company has many files."""
+    bronze = docs.raw_company_facts(docs.judge_documents(docs.read_fact_documents(spark, fact_files(spark, folder))))
     count = unnest_all(bronze, ALL_UNITS).groupBy("cik").agg(F.count(F.lit(1)).alias("entries"))
-    concepts = docs.concept_count("facts_blob").cast("bigint").alias("concepts")
-    good = bronze.filter("status = 'good'").select("cik_raw", "entity_name", concepts)
+    named = F.json_object_keys(F.get_json_object("facts_blob", "$['us-gaap']"))
+    good = bronze.filter("status = 'good'").select("cik_raw", "entity_name", F.explode_outer(named).alias("name"))
+    good = good.groupBy("cik_raw", "entity_name").agg(F.count_distinct("name").alias("concepts"))
     return good.join(count, good["cik_raw"].cast("bigint") == count["cik"].cast("bigint")).drop("cik")
 
 
+def fact_files(spark: SparkSession, folder: str) -> str:
+    """Folder of a file for each (cik, part), whose size `part` bounds."""
+    path = shared_path(spark, "facts")
+    whole = fact_documents(spark, folder)
+    named = whole.select(F.col("cik").cast("int").alias("filer"), "part", _indented("document").alias("value"))
+    named.write.partitionBy("filer", "part").text(path)
+    return path
+
+
 @query("src_submission_files", sql("""
     SELECT CAST(c_custkey AS VARCHAR) AS cik_raw, company_name AS company_name_raw, sic_code AS sic_raw
     FROM submissions""", "submissions"))

@@ -247,3 +247,12 @@ def test_odd_tags_in_a_seed_are_quoted(spark, land, seed):
     b = bronze(spark, land(document(1, {t: usd(entry(val=i)) for i, t in enumerate(tags)})))
     found = {r["raw_concept"]: r["entry"]["val"] for r in unnest_tracked(b, odd).collect()}
     assert found == {t: str(i) for i, t in enumerate(tags)}
+
+
+def test_every_part_of_a_filer_is_a_file_of_its_own(spark, medium):
+    from factloom.registry import base, sources
+
+    parts = base.rows(spark, medium).select("cik", "part").distinct().count()
+    filers = base.rows(spark, medium).select("cik").distinct().count()
+    read = docs.read_fact_documents(spark, sources.fact_files(spark, medium))
+    assert read.select("source_path").distinct().count() == read.count() == parts > filers
