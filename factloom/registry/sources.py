@@ -17,7 +17,7 @@ from factloom.session import shared_path, stored
 from factloom.sources import documents as docs
 from factloom.sources import seeds
 from factloom.sources.layers import LayerStore
-from factloom.sources.tables import put_files, submission_documents, table
+from factloom.sources.tables import submission_documents, table
 
 
 @query("src_json_blob", sql("""
@@ -80,17 +80,29 @@ def fact_files(spark: SparkSession, folder: str) -> str:
     FROM submissions""", "submissions"))
 def src_submission_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files that hold an indented list of objects, read whole."""
+    read = docs.read_submission_documents(spark, submission_files(spark, folder))
+    return docs.raw_submissions(docs.judge_submissions(read)).filter("status = 'good'").select(
+        "cik_raw", "company_name_raw", "sic_raw"
+    )
+
+
+# Fixed value of the fixture: keys of companies whose documents of one load share a file.
+KEYS_PER_LIST = 256
+
+
+def submission_files(spark: SparkSession, folder: str) -> str:
+    """Folder of a file for each range of companies and load; a company has one document in a load."""
     path = shared_path(spark, "submissions")
-    texts = submission_documents(spark, folder).withColumn(
-        "file", F.pmod(F.xxhash64("document"), F.lit(25)).cast("int")
+    filer = F.get_json_object("document", "$.cik").cast("bigint")
+    texts = submission_documents(spark, folder).select(
+        F.floor(filer / KEYS_PER_LIST).alias("keys"), F.unix_seconds("loaded_at").alias("load"), "document"
     )
-    lists = texts.groupBy("file").agg(F.array_join(F.collect_list(_indented("document")), ",\n").alias("l"))
-    named = lists.select("file", F.concat(F.lit("[\n"), "l", F.lit("\n]")).alias("value"))
-    put_files(spark, named, "file", path, "text")
-    judged = docs.judge_submissions(docs.read_submission_documents(spark, path))
-    return docs.raw_submissions(judged).filter("status = 'good'").select(
-        "cik_raw", "company_name_raw", "sic_raw"
+    lists = texts.groupBy("keys", "load").agg(
+        F.array_join(F.collect_list(_indented("document")), ",\n").alias("l")
     )
+    named = lists.select("keys", "load", F.concat(F.lit("[\n"), "l", F.lit("\n]")).alias("value"))
+    named.write.partitionBy("keys", "load").text(path)
+    return path
 
 
 def _indented(document: str) -> Column:

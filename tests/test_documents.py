@@ -256,3 +256,12 @@ def test_every_part_of_a_filer_is_a_file_of_its_own(spark, medium):
     filers = base.rows(spark, medium).select("cik").distinct().count()
     read = docs.read_fact_documents(spark, sources.fact_files(spark, medium))
     assert read.select("source_path").distinct().count() == read.count() == parts > filers
+
+
+def test_a_list_of_submissions_holds_a_bounded_number(spark, medium):
+    from factloom.registry import sources
+
+    read = docs.read_submission_documents(spark, sources.submission_files(spark, medium))
+    sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
+    keys = spark.read.parquet(f"{medium}/customer.parquet").agg(F.max("c_custkey")).first()[0]
+    assert max(sizes) <= sources.KEYS_PER_LIST < keys and len(sizes) >= keys // sources.KEYS_PER_LIST

@@ -122,3 +122,21 @@ def test_repeated_deliveries_are_suppressed_across_batches(spark, tmp_path):
     unique = suppress_repeats(stream, "ts", ["id"])
     append_to(unique, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2", "3"]
+
+
+def test_refreshed_files_hold_a_bounded_number_of_documents(spark, medium, monkeypatch):
+    from factloom.registry import base, streams
+
+    held, put = [], streams.put_files
+
+    def noted(spark, df, name, *rest):
+        held.append([r["count"] for r in df.groupBy(name).count().collect()])
+        put(spark, df, name, *rest)
+
+    monkeypatch.setattr(streams, "put_files", noted)
+    assert streams.stream_refresh(spark, medium).count() > 0
+    rows = base.rows(spark, medium)
+    filers, parts = (rows.select(c).distinct().count() for c in ("cik", "part"))
+    assert len(held) == 2
+    for sizes in held:
+        assert max(sizes) <= filers * streams.PARTS_PER_FILE and len(sizes) * streams.PARTS_PER_FILE >= parts
