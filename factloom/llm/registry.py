@@ -1,6 +1,7 @@
 """Imports every operator's module, which registers its query."""
 
 from factloom.llm import (  # noqa: F401
+    byte_pieces,
     exact_dedup,
     imatch,
     language_id,
