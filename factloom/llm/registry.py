@@ -8,6 +8,7 @@ from factloom.llm import (  # noqa: F401
     line_dedup,
     ngram_join,
     packing,
+    phrases,
     sentence_pieces,
     token_counts,
     toxicity,
