@@ -3,6 +3,7 @@
 from factloom.llm import (  # noqa: F401
     byte_pieces,
     exact_dedup,
+    hard_negatives,
     imatch,
     language_id,
     line_dedup,
