@@ -84,17 +84,31 @@ class LayerStore:
         before = None
         if files.exists(hadoop.Path(folder, POINTER)):
             before = self.current(layer, name).rpartition("/")[2]
-        fresh = hadoop.Path(folder, f".{version}.pointer")
-        stream = files.create(fresh, True)
-        stream.write(bytearray(version.encode()))
-        stream.close()
-        # An overwriting rename is one step to every reader.
-        options = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-        options[0] = hadoop.Options.Rename.OVERWRITE
-        hadoop.FileContext.getFileContext(folder.toUri(), conf).rename(
-            fresh, hadoop.Path(folder, POINTER), options
-        )
+        point_to(self.spark, self.path(layer, name), version)
         for status in files.listStatus(folder):
             old = status.getPath().getName()
             if old.startswith("v-") and old < version and old != before:
                 files.delete(hadoop.Path(folder, old), True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of the driver's own, such as a pointer or a manifest."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def point_to(spark: SparkSession, folder: str, version: str) -> None:
+    """Make `version` the one that readers of `folder` get.
+
+    An overwriting rename is one step to every reader.
+    """
+    fresh = f"{folder}/.{version}.pointer"
+    put_text(spark, fresh, version)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(
+        hadoop.Path(folder).toUri(), spark._jsc.hadoopConfiguration()
+    ).rename(hadoop.Path(fresh), hadoop.Path(folder, POINTER), options)
