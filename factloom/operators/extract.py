@@ -22,7 +22,10 @@ REPEATED_UNIT, NO_ARRAY, NO_ENTRY = "repeated unit", "unit is no array", "entry
 
 
 def read_entries(
-    bronze: DataFrame, seed: DataFrame | None = None, units: tuple[str, ...] = DEFAULTS.units
+    bronze: DataFrame,
+    seed: DataFrame | None = None,
+    units: tuple[str, ...] = DEFAULTS.units,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every entry of the wanted units: cik, entity_name, raw_concept, unit, entry_text, reason.
 
@@ -30,18 +33,19 @@ def read_entries(
     that cannot is a row of its own with the reason, and null for what lies below it. A unit
     that its concept names twice has no single reading and gives no entries. Absent or empty
     taxonomies, units and arrays give no rows. With `seed` only the concepts it lists are
-    read beyond their name, whatever its size.
+    read beyond their name, whatever its size. `carry` names columns of the document that each
+    of its rows keeps, here and in the functions below.
     """
     gaap = F.from_json("facts_blob", TAXONOMY)["us-gaap"]
     concepts = bronze.select(
-        pad_identifier("cik_raw").alias("cik"), "entity_name",
+        *carry, pad_identifier("cik_raw").alias("cik"), "entity_name",
         # Exploding the bare column would make the optimizer test it for rows first, below
         # the projection, and so parse every document again for the test.
         F.explode(F.map_filter(gaap, lambda name, _: name.isNotNull())).alias("raw_concept", "concept"),
     )
     if seed is not None:
         concepts = tracked_only(seed)(concepts)
-    named = ["cik", "entity_name", "raw_concept"]
+    named = [*carry, "cik", "entity_name", "raw_concept"]
     whole = F.col("concept").startswith("{")
     parts = concepts.filter(F.col("concept").isNotNull()).select(
         *named, whole.alias("whole"), F.from_json("concept", CONCEPT)["units"].alias("units")
@@ -76,10 +80,10 @@ def read_entries(
     )
 
 
-def good_entries(entries: DataFrame) -> DataFrame:
+def good_entries(entries: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Readable entries of `read_entries` as structs: cik, entity_name, raw_concept, unit, entry."""
     return entries.filter("reason IS NULL").select(
-        "cik", "entity_name", "raw_concept", "unit", F.from_json("entry_text", FACT_ENTRY).alias("entry")
+        *carry, "cik", "entity_name", "raw_concept", "unit", F.from_json("entry_text", FACT_ENTRY).alias("entry")
     )
 
 
@@ -96,15 +100,19 @@ def unnest_all(bronze: DataFrame, units: tuple[str, ...] = DEFAULTS.units) -> Da
 
 
 def unnest_tracked(
-    bronze: DataFrame, seed: DataFrame, units: tuple[str, ...] = DEFAULTS.units
+    bronze: DataFrame,
+    seed: DataFrame,
+    units: tuple[str, ...] = DEFAULTS.units,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rows of `unnest_all` whose concept the seed lists."""
-    return good_entries(read_entries(bronze, seed, units))
+    return good_entries(read_entries(bronze, seed, units, carry), carry)
 
 
-def extract_entries(entries: DataFrame) -> DataFrame:
+def extract_entries(entries: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Entry structs -> typed columns, nothing filtered yet."""
     return entries.select(
+        *carry,
         "cik",
         "entity_name",
         "raw_concept",
@@ -129,11 +137,15 @@ def usable_facts(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def typed_facts(entries: DataFrame, seed: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def typed_facts(
+    entries: DataFrame, seed: DataFrame, params: Params = DEFAULTS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Typed, filtered and normalised facts of readable entries."""
-    return normalize_tag(seed)(usable_facts(extract_entries(entries), params))
+    return normalize_tag(seed)(usable_facts(extract_entries(entries, carry), params))
 
 
-def extracted_facts(bronze: DataFrame, seed: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def extracted_facts(
+    bronze: DataFrame, seed: DataFrame, params: Params = DEFAULTS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Tracked, typed, filtered and normalised facts of the bronze documents."""
-    return typed_facts(unnest_tracked(bronze, seed, params.units), seed, params)
+    return typed_facts(unnest_tracked(bronze, seed, params.units, carry), seed, params, carry)
