@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import pad_identifier
 from factloom.params import DEFAULTS, Params
 from factloom.schemas import CORRUPT, FACTS_DOCUMENT, SUBMISSIONS_DOCUMENT
+from factloom.sources import discovery
 
 
 GOOD, REJECTED = "good", "rejected"
@@ -38,7 +39,24 @@ def read_fact_documents(
 def read_submission_documents(
     spark: SparkSession, path: str | list[str], multi_line: bool = True
 ) -> DataFrame:
-    return spark.read.schema(SUBMISSIONS_DOCUMENT).option("multiLine", multi_line).json(path)
+    return (
+        spark.read.schema(SUBMISSIONS_DOCUMENT).option("multiLine", multi_line).json(path)
+        .withColumn("source_path", F.col("_metadata.file_path"))
+        .withColumn("source_modified_at", F.col("_metadata.file_modification_time"))
+    )
+
+
+def discovered_submissions(
+    spark: SparkSession, path: str | list[str], whole_files: bool = True
+) -> DataFrame:
+    """As `read_submission_documents`, with the columns that the documents turn out to have.
+
+    The declared columns come in their declared types, null where no document has them; every
+    other column that some document has stands beside them in the type found.
+    """
+    texts = discovery.read_texts(spark, path, whole_files)
+    found = discovery.read_with(texts, discovery.discover_schema(texts))
+    return discovery.aligned(found, SUBMISSIONS_DOCUMENT)
 
 
 def rejection_reason(params: Params = DEFAULTS) -> Column:
