@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.operators import quality
+from factloom.operators import ingest, quality
 from factloom.operators.companies import companies, flatten_filings, last_filing
 from factloom.operators.coverage import filing_periods
 from factloom.operators.extract import good_entries, read_entries, typed_facts, unreadable
@@ -37,16 +37,20 @@ def build(
     now: Column | None = None,
     params: Params = Params(units=ALL_UNITS),
     multi_line: bool = True,
+    stop_on_failure: bool = False,
 ) -> DataFrame:
     """Rebuild every table and return the check report.
 
+    `bronze.ingest_ledger` says how each document fared. With `stop_on_failure` the build ends
+    there when one of them failed; without, the report counts them and the rest is built.
+
     Each table is written and read back, so later layers start from storage: a lost
     executor costs a stage and never the parse of the documents.
     """
     as_of = F.current_date() if as_of is None else as_of
     now = F.current_timestamp() if now is None else now
     seed = store.write(seeds.synonyms(spark), "seeds", "gaap_tag_synonyms")
-    store.write(seeds.tracked_companies(spark), "seeds", "companies")
+    tracked = store.write(seeds.tracked_companies(spark), "seeds", "companies")
 
     judged = judge_documents(read_fact_documents(spark, facts_path, multi_line), params)
     landed = store.write(
@@ -55,6 +59,9 @@ def build(
     documents = judge_submissions(read_submission_documents(spark, submissions_path, multi_line))
     received = store.write(raw_submissions(documents), "bronze", "raw_submissions", ("status",))
     submissions = received.filter(F.col("status") == GOOD)
+    attempts = store.write(document_attempts(landed, received), "bronze", "ingest_ledger")
+    if stop_on_failure:
+        ingest.fail_on_any_failure(ingest.run_outcomes(attempts, tracked))
 
     # One parse of the documents serves the facts and the account of what could not be read.
     entries = read_entries(landed.filter(F.col("status") == GOOD), seed, params.units)
@@ -85,6 +92,18 @@ def build(
     return checks(tables, now, params)
 
 
+def document_attempts(facts: DataFrame, submissions: DataFrame) -> DataFrame:
+    """A ledger row for each document that was read, of either kind."""
+    status = F.when(F.col("status") == GOOD, ingest.FETCHED).otherwise(ingest.FAILED)
+    columns = [
+        "source_path", "source_modified_at", "cik_raw", status.alias("status"),
+        F.col("reason").alias("error"), F.col("loaded_at").alias("attempted_at"),
+    ]
+    return facts.select(F.lit("facts").alias("kind"), *columns).unionByName(
+        submissions.select(F.lit("submissions").alias("kind"), *columns)
+    )
+
+
 @dataclass(frozen=True)
 class Tables:
     """What the checks look at."""
@@ -119,6 +138,7 @@ def checks(tables: Tables, now: Column, params: Params = DEFAULTS) -> DataFrame:
         quality.failing_rows(companies_raw, {
             "submissions rejected": ~good,
             "not_null raw_submissions": good & quality.any_null(["cik_raw", "company_name_raw", "loaded_at"]),
+            "submissions fresh": good & (F.col("source_modified_at") < stale_before),
         }),
         quality.failing_rows(tables.silver, {
             "not_null stg_financials": quality.any_null(

@@ -7,7 +7,7 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.functions import pad_identifier
+from factloom.functions import catalog, pad_identifier
 from factloom.operators import ingest
 from factloom.operators.extract import read_entries, unnest_all, unreadable
 from factloom.params import ALL_UNITS
@@ -17,6 +17,7 @@ from factloom.session import shared_path, stored
 from factloom.sources import documents as docs
 from factloom.sources import seeds
 from factloom.sources.layers import LayerStore
+from factloom.sources.partitions import PartitionedTable
 from factloom.sources.tables import submission_documents, table
 
 
@@ -256,6 +257,83 @@ def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("merge_partitions", sql("""
+    SELECT cik, canonical_concept, CAST(period_end AS VARCHAR) AS period_end, reported_value,
+           form_type, accession_number, period_year FROM silver
+    WHERE NOT (CAST(cik AS BIGINT) % 5 = 4 AND period_year % 3 = 1)""", "silver"))
+def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver of two years in three, then those years' rows changed, missing ones added, others removed."""
+    final = silver(spark, folder).select(
+        "cik", "canonical_concept", "period_end", "reported_value", "form_type", "accession_number", "period_year"
+    )
+    final = stored(spark, final, "silver")
+    filer, year, key = F.col("cik").cast("bigint"), F.col("period_year"), ["cik", "canonical_concept", "period_end"]
+    stale = (filer % 5 == 2) & (year % 3 == 1)
+    wrong = F.when(stale, F.col("reported_value") - 1).otherwise(F.col("reported_value"))
+    target = PartitionedTable(spark, shared_path(spark, "merged"), ("period_year",))
+    target.replace(final.filter((filer % 5 != 3) | (year % 3 != 1)).withColumn("reported_value", wrong))
+    changes = final.filter((filer % 5).isin(2, 3) & (year % 3 == 1))
+    gone = final.filter((filer % 5 == 4) & (year % 3 == 1))
+    return target.merge(changes, key, removed=gone)
+
+
+@query("discovered_schema", sql("""
+    SELECT CAST(c_custkey AS VARCHAR) AS cik_raw, company_name AS company_name_raw,
+           CASE c_custkey % 4 WHEN 1 THEN 'SIC ' || sic_code ELSE sic_code END AS sic_raw,
+           CASE WHEN c_custkey % 4 <> 2 THEN state_of_incorporation END AS state_of_incorporation_raw, primary_ticker,
+           CAST(CASE WHEN c_custkey % 4 = 3 THEN 1231 WHEN c_custkey % 4 = 2 THEN 0.5 END AS DOUBLE) AS fiscal_year_end,
+           CASE c_custkey % 4 WHEN 3 THEN 'Street ' || CAST(c_custkey AS VARCHAR) END AS street
+    FROM submissions""", "submissions"))
+def discovered_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of four kinds of filers differ in their columns and in the types of these.
+
+    One kind has a code that is text and no number, one lacks a column and has a fraction where
+    another has a whole number, one has an object that no other has.
+    """
+    filer, text = F.get_json_object("document", "$.cik").cast("bigint") % 4, F.col("document")
+    more = F.concat(
+        F.left(text, F.length(text) - 1),
+        F.lit(',"fiscalYearEnd":1231,"addresses":{"mailing":{"street":"Street '),
+        F.get_json_object("document", "$.cik"), F.lit('"}}}'),
+    )
+    less = F.regexp_replace(text, '"stateOfIncorporation":[^,]*,', '"fiscalYearEnd":0.5,')
+    less = F.when(less == text, F.regexp_replace(text, '"tickers":', '"fiscalYearEnd":0.5,"tickers":')).otherwise(less)
+    varied = (
+        F.when(filer == 1, F.regexp_replace(text, r'"sic":(\d+)', '"sic":"SIC $1"'))
+        .when(filer == 2, less).when(filer == 3, more).otherwise(text)
+    )
+    path = shared_path(spark, "submissions")
+    docs.land_documents(submission_documents(spark, folder).select(varied.alias("document")), path)
+    read = docs.discovered_submissions(spark, path, whole_files=False)
+    return read.select(
+        F.col("cik").alias("cik_raw"), F.col("name").alias("company_name_raw"), F.col("sic").alias("sic_raw"),
+        F.col("stateOfIncorporation").alias("state_of_incorporation_raw"),
+        F.try_element_at("tickers", F.lit(1)).alias("primary_ticker"),
+        F.col("fiscalYearEnd").cast("double").alias("fiscal_year_end"),
+        F.col("addresses.mailing.street").alias("street"),
+    )
+
+
+@query("sql_functions", sql("""
+    SELECT coalesce(canonical_tag, raw_concept) AS canonical_concept, quarter(period_end)::INTEGER AS quarter,
+           regexp_replace(upper(form_raw), '/A$', '') AS form, lpad(CAST(CAST(cik AS BIGINT) AS VARCHAR), 10, '0') AS cik,
+           CAST(strftime(period_end, '%Y%m%d') AS INTEGER) AS period_key, count(*) AS facts,
+           max((reported_value - 1000.0) / 1000.0) AS change,
+           (SELECT count(*) FROM synonyms WHERE canonical_tag = 'Revenues') AS revenue_tags
+    FROM filing_rows LEFT JOIN synonyms ON synonym_tag = raw_concept GROUP BY ALL""", "filing_rows", "synonyms"))
+def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain SQL over the registered functions."""
+    catalog.register(spark, seeds.synonyms(spark))
+    rows(spark, folder).createOrReplaceTempView("filing_rows")
+    return spark.sql("""
+        SELECT normalize_gaap_tag(raw_concept) AS canonical_concept, fiscal_quarter(period_end) AS quarter,
+               base_form(upper(form_raw)) AS form, pad_identifier(CAST(CAST(cik AS BIGINT) AS STRING)) AS cik,
+               period_key(period_end) AS period_key, count(*) AS facts,
+               max(pct_change(reported_value, 1000.0D)) AS change,
+               (SELECT count(*) FROM synonyms_of('Revenues')) AS revenue_tags
+        FROM filing_rows GROUP BY ALL""")
+
+
 @query("json_fold_per_key", sql("""
     SELECT cik, part, count(DISTINCT raw_concept) AS concepts, count(*) AS entries
     FROM filing_rows GROUP BY cik, part""", "filing_rows"))

@@ -134,9 +134,12 @@ def test_refreshed_files_hold_a_bounded_number_of_documents(spark, medium, monke
         put(spark, df, name, *rest)
 
     monkeypatch.setattr(streams, "put_files", noted)
-    assert streams.stream_refresh(spark, medium).count() > 0
+    assert streams.stream_versions(spark, medium).count() > 0
     rows = base.rows(spark, medium)
     filers, parts = (rows.select(c).distinct().count() for c in ("cik", "part"))
     assert len(held) == 2
     for sizes in held:
         assert max(sizes) <= filers * streams.PARTS_PER_FILE and len(sizes) * streams.PARTS_PER_FILE >= parts
+    held.clear()
+    assert streams.stream_refresh(spark, medium).count() > 0
+    assert len(held) == 2 and max(map(max, held)) <= filers * streams.PARTS_PER_FILE
