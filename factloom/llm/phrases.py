@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -177,13 +178,14 @@ class Grams:
         found = [k for _, _, k in self.keys()]
         return np.unique(np.concatenate(found), return_counts=True)
 
-    def counted(self, alive: np.ndarray) -> Iterator[tuple[int, list[str], np.ndarray]]:
-        """(length, phrases, counts) of the n-grams whose key is one of `alive` (in order).
+    def counted(self, alive: np.ndarray) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+        """(partitions, phrases, counts) of the n-grams whose key is one of `alive` (in order).
 
-        Told apart by their words, not by their keys.
+        Told apart by their words, not by their keys; in the order of their partitions.
         """
         for n, places, keys in self.keys():
-            places = places[among(keys, alive)]
+            here = among(keys, alive)
+            places, parts = places[here], (keys[here] >> HALF).astype(np.int64)
             if not len(places):
                 continue
             code = self.sequence[places].astype(np.uint64)
@@ -192,9 +194,11 @@ class Grams:
                 _, code = np.unique(code, return_inverse=True)
                 code = code.astype(np.uint64) << HALF | self.sequence[places + step]
             _, first, counts = np.unique(code, return_index=True, return_counts=True)
+            order = np.argsort(parts[first], kind="stable")
+            first, counts = first[order], counts[order]
             columns = [self.sequence[places[first] + step].tolist() for step in range(n)]
             name = self.names.__getitem__
-            yield n, [" ".join(map(name, gram)) for gram in zip(*columns, strict=True)], counts
+            yield parts[first], [" ".join(map(name, gram)) for gram in zip(*columns, strict=True)], counts
 
 
 def summary(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -251,12 +255,11 @@ def among(keys: np.ndarray, alive: np.ndarray) -> np.ndarray:
     return alive[near] == keys
 
 
-def by_part(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(partition, from, to) of keys in order."""
-    if len(keys):
-        parts = keys >> HALF
+def by_part(parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(partition, from, to) of partitions in order."""
+    if len(parts):
         starts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])).tolist()
-        for a, z in zip(starts, [*starts[1:], len(keys)], strict=True):
+        for a, z in zip(starts, [*starts[1:], len(parts)], strict=True):
             yield int(parts[a]), a, z
 
 
@@ -265,7 +268,10 @@ HASHES_ARROW = pa.schema([
     ("keys", pa.binary()), ("counts", pa.binary()),
 ])
 MASK_ARROW = pa.schema([("chunk", pa.string()), ("part", pa.int64()), ("n", pa.int64()), ("mask", pa.binary())])
-FOUND_ARROW = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("count", pa.int64())])
+COUNTED_ARROW = pa.schema([
+    ("part", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("phrases", pa.binary()), ("bytes", pa.int64()),
+    ("counts", pa.binary()),
+])
 
 
 def hashed(chunks: DataFrame, partitions: int, longest: int, threshold: int) -> DataFrame:
@@ -276,7 +282,7 @@ def hashed(chunks: DataFrame, partitions: int, longest: int, threshold: int) ->
             for row in batch.to_pylist():
                 keys, counts = Grams(row, partitions, longest).distinct()
                 counts, rows = np.minimum(counts, threshold), []
-                for part, a, z in by_part(keys):
+                for part, a, z in by_part(keys >> HALF):
                     low = (keys[a:z] & LOW).astype(np.int64)
                     rows.append({
                         "part": part, "chunk": row["chunk"], "n": z - a, "mass": int(counts[a:z].sum()),
@@ -316,7 +322,11 @@ def marked(hashes: DataFrame, threshold: int) -> DataFrame:
 
 
 def counted(chunks: DataFrame, masks: DataFrame, partitions: int, longest: int) -> DataFrame:
-    """(lang, words, phrase, count) of what survived, as each chunk counts it."""
+    """(part, lang, n, phrases, bytes, counts): what survived of a chunk, a row for each partition.
+
+    Phrases stand in one text, a line each, so that the exchange moves rows as large as those
+    of `hashed` and not one for every phrase of every chunk.
+    """
 
     def task(batches):
         for batch in batches:
@@ -327,17 +337,44 @@ def counted(chunks: DataFrame, masks: DataFrame, partitions: int, longest: int)
                 alive = [
                     keys[a:z][np.unpackbits(np.frombuffer(
                         pa.decompress(masks[part]["mask"], (z - a + 7) // 8, "zstd"), "u1"), count=z - a).view(bool)]
-                    for part, a, z in by_part(keys) if part in masks
+                    for part, a, z in by_part(keys >> HALF) if part in masks
                 ]
-                for n, phrases, counts in grams.counted(np.concatenate(alive)):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([grams.lang] * len(phrases), pa.string()), pa.array([n] * len(phrases), pa.int32()),
-                        pa.array(phrases, pa.string()), pa.array(counts, pa.int64()),
-                    ], schema=FOUND_ARROW)
+                for parts, phrases, counts in grams.counted(np.concatenate(alive)):
+                    rows = []
+                    for part, a, z in by_part(parts):
+                        names = "\n".join(phrases[a:z]).encode()
+                        rows.append({
+                            "part": part, "lang": grams.lang, "n": z - a, "phrases": squeezed(names),
+                            "bytes": len(names), "counts": planes(counts[a:z]),
+                        })
+                    yield pa.RecordBatch.from_pylist(rows, COUNTED_ARROW)
 
     # A chunk gets at most one mask for each partition, and a bit for each of its n-grams.
     of_chunk = masks.groupBy("chunk").agg(F.collect_list(F.struct("part", "n", "mask")).alias("masks"))
-    return chunks.join(of_chunk, "chunk").mapInArrow(task, "lang string, words int, phrase string, count long")
+    return chunks.join(of_chunk, "chunk").mapInArrow(
+        task, "part long, lang string, n long, phrases binary, bytes long, counts binary"
+    )
+
+
+def summed(found: DataFrame, threshold: int) -> DataFrame:
+    """(lang, words, phrase, f): the exact counts of a partition's phrases that reach the threshold.
+
+    A phrase has one partition. What a task holds is bounded as in `marked`.
+    """
+
+    def add(group: pa.Table) -> pa.Table:
+        tables = []
+        for row in group.to_pylist():
+            names = pa.decompress(row["phrases"], row["bytes"], "zstd", asbytes=True).decode().split("\n")
+            counts = from_planes(row["counts"], row["n"]).astype(np.int64)
+            lang = pa.DictionaryArray.from_arrays(np.zeros(row["n"], np.int32), [row["lang"]]).cast(pa.string())
+            tables.append(pa.table({"lang": lang, "phrase": pa.array(names, pa.string()), "f": counts}))
+        total = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+        total = total.filter(pc.greater_equal(total["f_sum"], threshold))
+        words = pc.add(pc.count_substring(total["phrase"], " "), 1).cast(pa.int32())
+        return pa.table({"lang": total["lang"], "words": words, "phrase": total["phrase"], "f": total["f_sum"]})
+
+    return found.groupBy("part").applyInArrow(add, "lang string, words int, phrase string, f long")
 
 
 def frequent_phrases(chunks: DataFrame, threshold: int, longest: int) -> DataFrame:
@@ -345,8 +382,7 @@ def frequent_phrases(chunks: DataFrame, threshold: int, longest: int) -> DataFra
     total = chunks.agg(F.sum("words")).first()[0] or 0
     partitions = max(LEAST_PARTITIONS, -(-total // PARTITION_WORDS))
     masks = marked(hashed(chunks, partitions, longest, threshold), threshold)
-    found = counted(chunks, masks, partitions, longest).groupBy("lang", "words", "phrase")
-    return found.agg(F.sum("count").alias("f")).filter(F.col("f") >= threshold)
+    return summed(counted(chunks, masks, partitions, longest), threshold)
 
 
 def _gram(lang: str, phrase: str) -> Column:
