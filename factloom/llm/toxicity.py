@@ -8,10 +8,11 @@ and as restored are then scored by features learned from labels.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,19 +44,19 @@ CLOSE = re.compile(rf"(?<![^\W_]){PART}(?:{BETWEEN}{{1,2}}{PART}(?![^\W_])){{2,}
 GAPS = re.compile(f"{BETWEEN}+")
 TWICE = re.compile(r"(.)\1")
 RUNS = re.compile(r"(.)\1*", re.DOTALL)
+# Letters that stand there once, as many as follow each other, or one sign with its repeats.
+PARTS = re.compile(r"((?:([^\W\d_])(?!\2))+)|((.)\4*)", re.DOTALL)
 WORDS = re.compile(r"[^\W\d_]+")
 
 
 @dataclass(frozen=True)
 class Settings:
-    """`sample`: labelled rows that the classifier is fitted on, at most. `features`: word
-    features that it keeps, at most. `least`: share of toxic texts among those with a feature
+    """`sample`: labelled rows that the classifier is fitted on, at most. `least`: share of toxic texts among those with a feature
     from which it is kept. `doubt`: rows of the average kind that each share is shrunk by.
     `credit`: what a toxic text still counts for after each feature that explains it. `gain`:
     least credit that a further feature must earn."""
 
     sample: int = 20_000
-    features: int = 5_000
     least: float = 0.7
     doubt: float = 2.0
     credit: float = 0.5
@@ -72,6 +73,7 @@ class CharModel:
         self.one = counts[2 * CODES :]
         self.all = max(int(self.one.sum()), 1)
         self.memo = Memo(lambda key: self.fresh(*key), 200_000)
+        self.meant = functools.cache(readings)
 
     @staticmethod
     def codes(words: Words) -> Iterator[np.ndarray]:
@@ -119,26 +121,40 @@ def readings(sign: str, times: int) -> list[tuple[str, float]]:
 
 
 def restore(stretch: str, model: CharModel) -> str:
-    """Likeliest reading of a lower-case stretch. States are the last two characters."""
-    states = {("", ""): (0.0, None)}
-    for run in RUNS.finditer(stretch):
-        after: dict = {}
-        for sounds, cost in readings(run[1], len(run[0])):
-            for (a, b), (value, path) in states.items():
-                value -= cost
-                for c in sounds:
-                    if c == " ":
-                        value += model(a, b, "") if b else 0.0
-                        a, b = "", ""
-                    else:
-                        value += model(a, b, c)
-                        a, b = b, c
-                    path = (c, path)
-                if (a, b) not in after or value > after[a, b][0]:
-                    after[a, b] = (value, path)
-        states = after
-    ends = [(v + (model(a, b, "") if b else 0.0), path) for (a, b), (v, path) in states.items()]
-    path = max(ends, key=lambda x: x[0])[1]
+    """Likeliest reading of a lower-case stretch. States are the last two characters.
+
+    While there is a single state, what is certain adds the same to every reading that
+    follows, so only where readings differ is the model asked.
+    """
+    states: dict = {("", ""): (0.0, None)}
+    for part in PARTS.finditer(stretch):
+        plain, at = part[1] or "", 0
+        if plain and not plain.isalpha():
+            # Numerals among them are no letters.
+            for sign in plain:
+                states = followed(states, model.meant(sign, 1), model)
+            continue
+        while len(states) > 1 and at < len(plain):
+            states = followed(states, [(plain[at], 0.0)], model)
+            at += 1
+        if at < len(plain):
+            (((_, b), (value, path)),) = states.items()
+            state = (b, plain[at]) if at + 1 == len(plain) else (plain[-2], plain[-1])
+            states = {state: (value, (plain[at:], path))}
+        elif not plain:
+            found = model.meant(part[4], min(len(part[3]), 3))
+            if len(found) > 1 or len(states) > 1:
+                states = followed(states, found, model)
+                continue
+            (((a, b), (value, path)),) = states.items()
+            for c in found[0][0]:
+                (a, b), path = ("", "") if c == " " else (b, c), (c, path)
+            states = {(a, b): (value, path)}
+    if len(states) > 1:
+        ends = [(v + (model(a, b, "") if b else 0.0), path) for (a, b), (v, path) in states.items()]
+        path = max(ends, key=lambda x: x[0])[1]
+    else:
+        ((_, path),) = states.values()
     letters = []
     while path:
         letters.append(path[0])
@@ -146,6 +162,25 @@ def restore(stretch: str, model: CharModel) -> str:
     return "".join(reversed(letters))
 
 
+def followed(states: dict, found: list[tuple[str, float]], model: CharModel) -> dict:
+    """The states after a sign with these readings; of equal ones the likelier stays."""
+    after: dict = {}
+    for sounds, cost in found:
+        for (a, b), (value, path) in states.items():
+            value -= cost
+            for c in sounds:
+                if c == " ":
+                    value += model(a, b, "") if b else 0.0
+                    a, b = "", ""
+                else:
+                    value += model(a, b, c)
+                    a, b = b, c
+                path = (c, path)
+            if (a, b) not in after or value > after[a, b][0]:
+                after[a, b] = (value, path)
+    return after
+
+
 def hides(before: str, marks: str, after: str) -> bool:
     """Whether marks between two characters (or an end) may be read as letters or left out.
 
@@ -171,9 +206,9 @@ def apart(text: str) -> set[str]:
     return found
 
 
-def marked(text: str) -> set[str]:
-    """Stretches of a lower-case text with marks that may hide words."""
-    found = apart(text)
+def hidden(text: str) -> set[str]:
+    """Tokens of a lower-case text with marks that may hide words."""
+    found = set()
     end = -1
     for m in MARKS.finditer(text):
         at = m.start()
@@ -194,31 +229,89 @@ def marked(text: str) -> set[str]:
 
 def suspects(text: str) -> set[str]:
     """Stretches of a lower-case text that may be read in more than one way."""
-    return marked(text) | {w for w in WORDS.findall(text) if TWICE.search(w)}
+    return apart(text) | hidden(text) | {w for w in WORDS.findall(text) if TWICE.search(w)}
+
+
+# Letters set apart across tokens: what a token has of them at its beginning and its end.
+JOINTS = SEPARATORS.replace(" ", "")
+JOINT = f"[{re.escape(JOINTS)}]"
+HEAD = re.compile(rf"{JOINT}*({PART}(?![^\W_])(?:{JOINT}+{PART}(?![^\W_]))*)")
+TAIL = re.compile(rf"(?<![^\W_])({PART}(?:{JOINT}+{PART}(?![^\W_]))*){JOINT}*\Z")
+WHOLE = re.compile(rf"{JOINT}*(?:{PART}(?![^\W_])(?:{JOINT}+{PART}(?![^\W_]))*)?{JOINT}*\Z")
+# Three letters or more in tokens that follow each other; kinds as `kind` gives them.
+ACROSS = re.compile("[MCFI]Z*[SMDEFGHI]|[SBEH]Z*[MGHI]|[SMBCEFHI]Z*[SM]Z*[SMDEFGHI]")
+
+
+def kind(token: str) -> str:
+    """Z, S, M: nothing but separators, with one or more single letters. Else by how many
+    single letters (0, 1, more) the token begins and ends with: A-C none, one, more at the end;
+    D-F the same with one at the beginning; G-I with more."""
+    if len(token) > 2 and token[:-1].isalpha():
+        # A word, perhaps with a sign behind it.
+        return "A"
+    whole = WHOLE.match(token)
+    if whole:
+        return "ZSM"[min(2, len(re.findall(PART, token)))]
+    head, tail = HEAD.match(token), TAIL.search(token)
+    counts = [min(2, len(re.findall(PART, m[1]))) if m else 0 for m in (head, tail)]
+    return "ABCDEFGHI"[3 * counts[0] + counts[1]]
+
+
+# What may stand behind a word without giving it another reading.
+BEHIND = ".,;:?)\"'"
 
 
 class Reader:
-    """Text -> its distinct words, as written and as restored."""
+    """Text -> its distinct words, as written and as restored.
 
-    def __init__(self, counts: np.ndarray):
+    What a token between white space may mean depends on nothing but itself, so each worker
+    reads a token once and keeps what `tell` makes of it: (kind, what its words tell, what those
+    tell that it has only where no letters are set apart across it and its neighbours), or None
+    for a token of kind A without anything to tell. Only letters set apart across tokens are
+    looked for in the text, where the tokens' kinds leave room for them.
+    """
+
+    def __init__(self, counts: np.ndarray, tell: Callable[[Iterable[str]], set] = set):
         model = CharModel(counts)
         self.restored = Memo(lambda stretch: WORDS.findall(restore(stretch, model)), 100_000)
-        # Words without a doubled letter have one reading.
-        self.single = Memo(lambda word: WORDS.findall(restore(word, model)) if TWICE.search(word) else ())
-
-    def __call__(self, text: str) -> set[str]:
+        self.tell, self.tokens = tell, Memo(self.token)
+
+    def token(self, token: str) -> tuple | None:
+        core = token.rstrip(BEHIND)
+        if core.isalpha() and len(core) > 1:
+            if core is not token and core != token:
+                return self.tokens[core]
+            found = self.tell((token, *self.restored[token]) if TWICE.search(token) else (token,))
+            name = kind(token)
+            return (name, found, ()) if found or name != "A" else None
+        words = set(WORDS.findall(token))
+        for stretch in [w for w in words if TWICE.search(w)] + list(hidden(token)):
+            words.update(self.restored[stretch])
+        inside = {w for stretch in apart(token) for w in self.restored[stretch]}
+        name, found, more = kind(token), self.tell(words), self.tell(inside)
+        return (name, found, more) if found or more or name != "A" else None
+
+    def __call__(self, text: str) -> set:
         lowered = text.lower()
-        words = set(WORDS.findall(lowered))
-        more = [w for word in words for w in self.single[word]]
-        for stretch in marked(lowered):
-            more += self.restored[stretch]
-        words.update(more)
-        return words
+        read = list(map(self.tokens.__getitem__, lowered.split()))
+        kinds = "".join([entry[0] if entry else "A" for entry in read])
+        told: set = set()
+        across = ACROSS.search(kinds) is not None
+        for _, found, inside in filter(None, read):
+            told.update(found)
+            if not across:
+                told.update(inside)
+        for stretch in apart(lowered) if across else ():
+            told.update(self.tell(self.restored[stretch]))
+        return told
+
+
+SHORTEST, LONGEST = 4, 8
 
 
 def features(word: str) -> list[str]:
     """The whole word and its beginnings of 4 to 8 letters."""
-    return [f"={word}", *(word[:n] for n in range(4, 9) if len(word) >= n)]
+    return [f"={word}", *(word[:n] for n in range(SHORTEST, LONGEST + 1) if len(word) >= n)]
 
 
 @dataclass
@@ -237,14 +330,19 @@ class Scorer:
     """
 
     def __init__(self, model: Model):
-        self.model, self.read = model, Reader(model.counts)
-        chances = model.chances
-        self.best = Memo(
-            lambda word: max(((chances[f], f) for f in features(word) if f in chances), default=None)
-        )
+        self.model, self.read = model, Reader(model.counts, self.strongest)
+        # How a word that has any feature begins.
+        self.begins = {f[1 : SHORTEST + 1] if f[0] == "=" else f[:SHORTEST] for f in model.chances}
+
+    def strongest(self, words: Iterable[str]) -> set[tuple[float, str]]:
+        """Of each word the strongest feature that the model knows."""
+        chances = self.model.chances
+        known = (w for w in words if w[:SHORTEST] in self.begins)
+        best = (max(((chances[f], f) for f in features(w) if f in chances), default=None) for w in known)
+        return {x for x in best if x}
 
     def found(self, text: str) -> list[tuple[float, str]]:
-        return sorted({self.best[w] for w in self.read(text)} - {None})
+        return sorted(self.read(text))
 
     def __call__(self, text: str) -> float:
         clean = 1 - self.model.rest
@@ -349,8 +447,8 @@ def train(
     chosen = (
         found.filter("toxic > 1").select("feature", "toxic", chance.alias("chance"))
         .filter(F.col("chance") >= settings.least)
-        .orderBy(F.desc("toxic"), "feature").limit(settings.features)
     )
+    # Features of `settings.sample` rows at most.
     chances = {r.feature: r.chance for r in chosen.collect()}
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -169,3 +169,22 @@ def test_toxicity_query_and_odd_rows(spark, medium, model, odd_documents, no_doc
     assert toxicity.score(no_documents, model).count() == 0
     nothing = toxicity.train(no_documents, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r["predicted"] for r in toxicity.score(odd_documents, nothing).collect()} == {0}
+
+
+def test_tokens_are_read_as_the_whole_text_is():
+    """What the token table and the kinds give equals looking through the text as a whole."""
+    import random
+
+    import numpy as np
+
+    counts = np.random.default_rng(0).integers(0, 50, 2 * toxicity.CODES + toxicity.CharModel.SINGLES)
+    model, reader = toxicity.CharModel(counts), toxicity.Reader(counts)
+    chance = random.Random(3)
+    texts = ["".join(chance.choices("abio!@$1|.-_*' \n\t,(é5²日", k=chance.randrange(60))) for _ in range(4000)]
+    texts += ["i d i o t", "(i. d, i-d i o", "a-b c", "so i - d - i - o", "x" * 60 + "!! stuupid", "", "a b\tc d", "word. word, woord."]
+    for text in texts:
+        lowered = text.lower()
+        words = set(toxicity.WORDS.findall(lowered))
+        for stretch in toxicity.suspects(lowered):
+            words.update(toxicity.WORDS.findall(toxicity.restore(stretch, model)))
+        assert reader(text) == words, text
