@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from factloom.llm.common import per_worker
 
-# Code points from here on are no letters to us.
-LIMIT = 0x32000
+# The end of Unicode.
+LIMIT = 0x110000
 # Trigrams are counted by hash: the table's size does not depend on the corpus.
 CODES = 1 << 18
 
@@ -27,7 +27,7 @@ SCRIPT_RANGES = (
     ("tibetan", 0xF00, 0xFFF), ("georgian", 0x10A0, 0x10FF), ("hangul", 0x1100, 0x11FF),
     ("ethiopic", 0x1200, 0x137F), ("khmer", 0x1780, 0x17FF), ("latin", 0x1E00, 0x1EFF),
     ("greek", 0x1F00, 0x1FFF), ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF),
-    ("hangul", 0xAC00, 0xD7AF), ("han", 0xF900, 0xFAFF), ("han", 0x20000, 0x31FFF),
+    ("hangul", 0xAC00, 0xD7AF), ("han", 0xF900, 0xFAFF), ("han", 0x20000, 0x3FFFD),
 )
 SCRIPTS = ("other", *dict.fromkeys(name for name, _, _ in SCRIPT_RANGES))
 
