@@ -20,9 +20,9 @@ from factloom.llm.common import query, stored, table
 @dataclass(frozen=True)
 class Settings:
     """`rarest`, `commonest`: share of all documents that a term of the lexicon is in; their
-    negative logarithms are the band's ends. Copies of one text count as `rarest` of all
-    documents at most, so that no group of copies drives its own terms out. The share also bounds the lexicon: it has at
-    most the mean number of distinct terms of a text, divided by `rarest`. `rates`: one in
+    negative logarithms are the band's ends. Copies and near copies of one text count as
+    twice `rarest` at most, so that no group drives its own terms out. The share also bounds the
+    lexicon: it has at most the mean number of distinct terms of a text, divided by `rarest`. `rates`: one in
     so many terms is in a subset, for each of `per_rate` subsets. `broadcast`: rows up to
     which the lexicon is broadcast; a larger one is joined by term."""
 
@@ -52,41 +52,69 @@ def drawn(term: Column, settings: Settings) -> Column:
     return bits
 
 
-def weighed(docs: DataFrame, settings: Settings, text: str) -> tuple[DataFrame, int]:
-    """(text, weight), the sum of weights: the copies of one text weigh `rarest` of all rows at most.
+# What a text weighs that belongs to no large group of copies.
+WHOLE = 1000
+# Sketches of a text, and the minima that each is made of.
+SKETCHES, MINIMA = 4, 3
 
-    Texts with more copies than that are fewer than 1 / `rarest`; each stands there once.
+
+def sketches(found: Column) -> list[Column]:
+    """Hashes of a text's terms -> several hashes of it; near copies agree in one at least.
+
+    Each is made of the terms that are smallest in a few random orders. A text of 80 terms that
+    lacks one of another's keeps nine in ten of its sketches; texts that merely share common
+    terms seldom agree in any.
     """
-    rows = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("copy"))
-    copies = rows.groupBy("copy").agg(F.count(F.lit(1)).alias("n"))
-    total = docs.count()
-    most = max(2, math.ceil(settings.rarest * total))
-    # Proven bound: 1 / `rarest` rows of two numbers.
-    many = {r.copy: r.n for r in copies.filter(F.col("n") > most).collect()}
-    single = rows.select("text", F.lit(1).alias("weight"))
-    if not many:
-        return single, total
-    hot = F.broadcast(docs.sparkSession.createDataFrame([(c,) for c in many], "copy long"))
-    once = rows.join(hot, "copy").groupBy("copy").agg(F.min("text").alias("text"))
-    single = rows.join(hot, "copy", "left_anti").select("text", F.lit(1).alias("weight"))
-    each = once.select("text", F.lit(most).alias("weight"))
-    return single.unionByName(each), total - sum(n - most for n in many.values())
+
+    def least(order: int) -> Column:
+        return F.array_min(F.transform(found, lambda h: F.xxhash64(h, F.lit(order))))
+
+    return [F.xxhash64(*[least(j * MINIMA + i) for i in range(MINIMA)]) for j in range(SKETCHES)]
+
+
+def weighed(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
+    """(words, weight): the terms of each row, and what it weighs. A group of copies or near copies
+    weighs twice `rarest` of all rows at most, so that its terms come to lie in the band.
+
+    Rows that agree in a sketch are a group; of the groups that a row is in the largest counts.
+    """
+    spark = docs.sparkSession
+    words = docs.select(terms(F.col(text)).alias("words"))
+    hashed = F.transform(F.filter("words", lambda w: w != ""), lambda w: F.xxhash64(w))
+    sketched = words.select("words", F.array(*sketches(hashed)).alias("sketches"))
+    most = max(3, math.ceil(2 * settings.rarest * docs.count()))
+    groups = sketched.select(F.posexplode("sketches").alias("kind", "sketch")).groupBy("kind", "sketch")
+    groups = groups.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    # Proven bound: fewer than rows / `most` for each kind, some hundreds.
+    large: dict[int, list] = {}
+    for row in groups.collect():
+        large.setdefault(row["kind"], []).append((row["sketch"], max(1, WHOLE * most // row["n"])))
+    if not large:
+        return words.withColumn("weight", F.lit(WHOLE))
+    weight = [F.lit(WHOLE), F.lit(WHOLE)]
+    for kind, found in large.items():
+        sizes = F.broadcast(spark.createDataFrame(found, f"_s{kind} long, _w{kind} int"))
+        sketched = sketched.join(sizes, F.col("sketches")[kind] == F.col(f"_s{kind}"), "left")
+        weight.append(F.coalesce(f"_w{kind}", F.lit(WHOLE)))
+    return sketched.select("words", F.least(*weight).alias("weight"))
 
 
 def band(docs: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
     """(term, subsets): hashes of the terms in the band and, as bits, the subsets they are in.
 
-    Counted over every text, copies up to a bound (`weighed`); equal terms of a task combine
-    before the shuffle. A table too small for a band holds the terms of weight two. The empty
-    term is in it with no subset, so that a text without terms keeps its row.
+    Counted over every text, groups of copies up to a bound (`weighed`); equal terms of a task
+    combine before the shuffle. A table too small for a band holds the terms of weight two. The
+    empty term is in it with no subset, so that a text without terms keeps its row.
     """
     spark = docs.sparkSession
-    texts, total = weighed(docs, settings, text)
-    seen = texts.select("weight", F.explode(terms(F.col("text"))).alias("term"))
+    seen = weighed(docs, settings, text).select("weight", F.explode("words").alias("term"))
     counts = seen.groupBy(F.xxhash64("term").alias("term")).agg(F.sum("weight").alias("n"))
+    counts = stored(spark, counts, "terms")
     empty = F.xxhash64(F.lit(""))
-    least = max(2.0, settings.rarest * total)
-    within = F.col("n").between(least, max(least, settings.commonest * total))
+    # Every row has the empty term, so it weighs what all rows weigh.
+    every = counts.filter(F.col("term") == empty).agg(F.max("n")).first()[0] or 0
+    least = max(2 * WHOLE, settings.rarest * every)
+    within = F.col("n").between(least, max(least, settings.commonest * every))
     bits = F.when(F.col("term") == empty, F.lit(0).cast("long")).otherwise(drawn(F.col("term"), settings))
     kept = counts.filter(within | (F.col("term") == empty))
     lexicon = stored(spark, kept.select("term", bits.alias("subsets")), "lexicon")

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from factloom.llm import imatch, url_filter
 from factloom.llm.registry import queries as QUERIES
@@ -120,6 +121,47 @@ def test_query_equals_sql(spark, name, folder):
     assert sorted(map(str, map(tuple, df.select(*names).collect()))) == sorted(map(str, result.fetchall()))
 
 
+def near_copies(rows, seed=5):
+    """Texts of 80 words out of 4,000 that differ from the first in one word each."""
+    import random
+
+    chance = random.Random(seed)
+    base = [f"w{chance.randrange(4000)}" for _ in range(80)]
+    for _ in range(rows):
+        text = list(base)
+        text[chance.randrange(80)] = f"odd{chance.randrange(10**9)}"
+        yield " ".join(text)
+
+
+def test_a_hot_group_of_near_copies_is_as_alike_as_a_small_one(spark):
+    """A third of all rows are near copies of one text; 40 groups of eight are near copies too."""
+    import random
+
+    chance = random.Random(1)
+    groups = [list(near_copies(300, 2)), *[list(near_copies(8, 100 + g)) for g in range(40)]]
+    alone = [" ".join(f"w{chance.randrange(4000)}" for _ in range(80)) for _ in range(280)]
+    rows, inside = [], {"hot": [], "small": [], "alone": []}
+    for name, texts in [("hot", groups[0]), *[("small", g) for g in groups[1:]], ("alone", alone)]:
+        inside[name] += range(len(rows) + 1, len(rows) + len(texts))
+        rows += [(len(rows) + k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    near = {r["doc_id"]: r["near_next"] for r in imatch.compare_edits(docs).collect()}
+    mean = {name: sum(near[k] for k in keys) / len(keys) for name, keys in inside.items()}
+    assert mean["small"] > 0.7 and mean["hot"] > 0.9 * mean["small"] and mean["alone"] < 0.05, mean
+    assert sum(near[k] == 0 for k in inside["hot"]) < 0.02 * len(inside["hot"])
+
+
+def test_near_copies_agree_in_a_sketch(spark):
+    rows = [(0, t) for t in near_copies(100)] + [(k, " ".join(f"w{k}x{j}" for j in range(30)) + " the of and to in") for k in range(1, 200)]
+    df = spark.createDataFrame(rows, "g int, text string")
+    hashed = F.transform(F.filter(imatch.terms(F.col("text")), lambda w: w != ""), lambda w: F.xxhash64(w))
+    drawn = df.select("g", F.array(*imatch.sketches(hashed)).alias("s")).collect()
+    common = [Counter(r["s"][k] for r in drawn if r["g"] == 0).most_common(1)[0][0] for k in range(imatch.SKETCHES)]
+    assert sum(any(a == b for a, b in zip(r["s"], common, strict=True)) for r in drawn if r["g"] == 0) >= 99
+    others = [r["s"] for r in drawn if r["g"]]
+    assert all(Counter(s[k] for s in others).most_common(1)[0][1] <= 4 for k in range(imatch.SKETCHES))
+
+
 URLS = [
     ("http://a.net/x", "a.net", "/x", "net/", "block"),
     ("HTTPS://WWW.Example.NET/en/page?q=/de/", "www.example.net", "/en/page", "example.net/en/", "allow"),
