@@ -30,12 +30,12 @@ def normalised(text: Column) -> Column:
 
 
 class Terminal:
-    """The end of a text: the best row so far, the number of rows, and who asked."""
+    """The end of a text: the best row so far and its bytes, the number of rows, and who asked."""
 
-    __slots__ = ("best", "rows", "asked")
+    __slots__ = ("asked", "best", "rows", "weight")
 
     def __init__(self):
-        self.best, self.rows, self.asked = None, 0, []
+        self.best, self.rows, self.asked, self.weight = None, 0, [], 0
 
     def add(self, rank: tuple, rows: int, asked: int, payload: object) -> None:
         if self.best is None or rank < self.best[0]:
@@ -43,33 +43,80 @@ class Terminal:
         self.rows += rows
         self.asked.append(asked)
 
+    def beaten_by(self, rank: tuple) -> bool:
+        return self.best is None or rank < self.best[0]
+
+
+class Node:
+    """Edges by first byte, each a label and the node behind it; the end of a text, if one ends here."""
+
+    __slots__ = ("edges", "end")
+
+    def __init__(self, edges: dict | None = None, end: Terminal | None = None):
+        self.edges, self.end = edges or {}, end
+
+    def ends(self) -> Iterator[Terminal]:
+        """Ends at and below this node."""
+        waiting = [self]
+        while waiting:
+            node = waiting.pop()
+            if node.end is not None:
+                yield node.end
+            waiting += [child for _, child in node.edges.values()]
+
+    def size(self) -> int:
+        """Bytes on the edges below."""
+        total, waiting = 0, [self]
+        while waiting:
+            for label, child in waiting.pop().edges.values():
+                total += len(label)
+                waiting.append(child)
+        return total
+
 
 class RadixTrie:
     """Compressed trie over byte strings: an edge carries every byte up to the next branch."""
 
     def __init__(self):
-        # A node is [edges by first byte, terminal]; an edge is [label, node].
-        self.root, self.held = [{}, None], 0
+        self.root, self.held = Node(), 0
 
     def terminal(self, text: bytes) -> Terminal:
+        """The end of the text, a new one if there was none."""
         node, at = self.root, 0
         while at < len(text):
-            edge = node[0].get(text[at])
+            edge = node.edges.get(text[at])
             if edge is None:
-                leaf = [{}, Terminal()]
-                node[0][text[at]] = [text[at:], leaf]
+                leaf = Node(end=Terminal())
+                node.edges[text[at]] = [text[at:], leaf]
                 self.held += len(text) - at
-                return leaf[1]
+                return leaf.end
             label = edge[0]
             if not text.startswith(label, at):
                 same = shared(label, text[at : at + len(label)])
                 # The edge splits where the texts part.
-                edge[1] = [{label[same]: [label[same:], edge[1]]}, None]
+                edge[1] = Node({label[same]: [label[same:], edge[1]]})
                 edge[0] = label = label[:same]
             node, at = edge[1], at + len(label)
-        if node[1] is None:
-            node[1] = Terminal()
-        return node[1]
+        if node.end is None:
+            node.end = Terminal()
+        return node.end
+
+    def spill(self, limit: int) -> Iterator[Terminal]:
+        """Take out the largest subtree, and again, until at most `limit` bytes are held; its ends.
+
+        Subtrees hang on the first branch below the root.
+        """
+        branch = self.root
+        while branch.end is None and len(branch.edges) == 1:
+            ((_, branch),) = branch.edges.values()
+        sizes = [(len(label) + child.size(), first) for first, (label, child) in branch.edges.items()]
+        for size, first in sorted(sizes, reverse=True):
+            if self.held <= limit:
+                return
+            _, child = branch.edges.pop(first)
+            ends = list(child.ends())
+            self.held -= size + sum(end.weight for end in ends)
+            yield from ends
 
 
 def shared(a: bytes, b: bytes) -> int:
@@ -97,14 +144,23 @@ def collapse(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     schema, held, size = None, {}, 0
 
     def owners() -> pa.RecordBatch:
-        picked = [best.append_column("rows", pa.array([rows], pa.int64())).append_column(
-            "local", pa.array([local], pa.int64())) for best, _, rows, local in held.values()]
+        """The best rows, each with its count and number, gathered from what was copied of each batch."""
+        by_copy: dict[int, list] = {}
+        for copy, place, _, rows, local in held.values():
+            by_copy.setdefault(id(copy), [copy, [], [], []])
+            for kept, value in zip(by_copy[id(copy)][1:], (place, rows, local), strict=True):
+                kept.append(value)
+        picked = [
+            copy.take(pa.array(places, pa.int64())).append_column("rows", pa.array(rows, pa.int64()))
+            .append_column("local", pa.array(locals_, pa.int64()))
+            for copy, places, rows, locals_ in by_copy.values()
+        ]
         flat = pa.Table.from_batches(picked).combine_chunks().to_batches()[0]
         return member_or_owner(flat, "owner", schema)
 
     for batch in batches:
         schema = schema or union_schema(batch.schema)
-        locals_ = []
+        locals_, better = [], {}
         values = zip(
             batch.column("_norm").to_pylist(), batch.column("_key").to_pylist(),
             batch.column("_uid").to_pylist(), strict=True,
@@ -112,14 +168,21 @@ def collapse(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa
         for row, (text, key, uid) in enumerate(values):
             found = held.get(text)
             if found is None:
-                held[text] = [batch.slice(row, 1).select(names), rank(key, uid), 1, uid]
+                held[text] = [None, 0, rank(key, uid), 1, uid]
+                better[text] = row
                 size += len(text)
                 locals_.append(uid)
             else:
-                if rank(key, uid) < found[1]:
-                    found[0], found[1] = batch.slice(row, 1).select(names), rank(key, uid)
-                found[2] += 1
-                locals_.append(found[3])
+                if rank(key, uid) < found[2]:
+                    found[2], better[text] = rank(key, uid), row
+                found[3] += 1
+                locals_.append(found[4])
+        if better:
+            # A copy of the rows that matter: a slice would keep the whole batch.
+            copy = batch.select(names).take(pa.array(list(better.values()), pa.int64()))
+            size += copy.nbytes
+            for place, text in enumerate(better):
+                held[text][:2] = copy, place
         members = batch.select(["_key", "_uid", "_sha"]).append_column(
             "local", pa.array(locals_, pa.int64())
         )
@@ -152,21 +215,23 @@ def own(survivors: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     """Owner rows sorted by (length, hash) -> for every asker the row that stays; or, with
     `survivors`, those columns of the rows that stay.
 
-    A trie holds the texts of one length. Past the held bytes, the subtree ends whose hash
-    is complete leave it; Spark's sort holds on disk what is not yet read.
+    A trie holds the texts of one length. Past the held bytes, its largest subtrees are written
+    out until half of them are left: rows come in the order of their hashes, so but for the text
+    at hand every end in them is complete. Spark's sort holds on disk what is not yet read.
     """
-    trie, ends, at = RadixTrie(), {}, None
+    trie, at = RadixTrie(), None
 
-    def leave() -> pa.RecordBatch | None:
-        if not ends:
-            return None
-        found = list(ends.values())
+    def leave(ends: Iterator[Terminal]) -> Iterator[pa.RecordBatch]:
+        found = list(ends)
+        if not found:
+            return
         if survivors:
-            return pa.Table.from_batches([e.best[1] for e in found]).combine_chunks().to_batches()[0]
+            yield pa.Table.from_batches([e.best[1] for e in found]).combine_chunks().to_batches()[0]
+            return
         flat = [(a, *e.best[1], e.rows) for e in found for a in e.asked]
         names = ("local", "keep_id", "keep_uid", "group_size")
         kinds = (pa.int64(), key_type, pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*flat, strict=True), kinds, strict=True)], names
         )
 
@@ -175,17 +240,20 @@ def own(survivors: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         columns = ("_norm", "_bytes", "_sha", "_key", "_uid", "local", "rows")
         values = zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
         for row, (text, n, sha, key, uid, local, rows) in enumerate(values):
-            if at is not None and (n != at[0] or (trie.held > HELD_BYTES and sha != at[1])):
-                if (out := leave()) is not None:
-                    yield out
-                trie, ends = RadixTrie(), {}
+            if at is not None and n != at[0]:
+                yield from leave(trie.root.ends())
+                trie = RadixTrie()
+            elif trie.held > HELD_BYTES and sha != at[1]:
+                yield from leave(trie.spill(HELD_BYTES // 2))
             at = (n, sha)
             end = trie.terminal(text.encode())
-            payload = batch.slice(row, 1).select(survivors) if survivors else (key, uid)
+            payload = key, uid
+            if survivors and end.beaten_by(rank(key, uid)):
+                payload = batch.select(survivors).take(pa.array([row], pa.int64()))
+                trie.held += payload.nbytes - end.weight
+                end.weight = payload.nbytes
             end.add(rank(key, uid), rows, local, payload)
-            ends[id(end)] = end
-    if (out := leave()) is not None:
-        yield out
+    yield from leave(trie.root.ends())
 
 
 def prepared(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, list[str]]:

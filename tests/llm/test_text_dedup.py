@@ -61,6 +61,50 @@ def test_trie_holds_each_string_once(texts):
         assert end.rows == texts.count(text) and end.best[1] == texts.index(text)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=12), max_size=60), st.integers(0, 200))
+def test_spilled_subtrees_and_what_is_left_are_all_ends(texts, limit):
+    trie, ends = exact_dedup.RadixTrie(), {}
+    for text in texts:
+        ends[text] = trie.terminal(text)
+    before = trie.held
+    assert before == trie.root.size()
+    out = list(trie.spill(limit))
+    left = list(trie.root.ends())
+    assert len(out) + len(left) == len(ends) and {id(e) for e in [*out, *left]} == {id(e) for e in ends.values()}
+    assert trie.held == trie.root.size() <= before
+    # What stays is within the limit, or a single path.
+    assert trie.held <= limit or not out and len(left) <= 1 or len(left) <= 1
+    for text, end in ends.items():
+        if end in left:
+            assert trie.terminal(text) is end
+
+
+def test_held_rows_do_not_keep_their_batches():
+    """A file of copies with a few texts of its own in each batch: a task holds little more than those."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    start, most = pa.total_allocated_bytes(), 0
+
+    def batches():
+        nonlocal most
+        for n in range(40):
+            texts = ["copy " * 2000] * 99 + [f"own {n}"]
+            rows = {"c0": texts, "_norm": texts, "_key": list(range(n * 100, n * 100 + 100)),
+                    "_uid": list(range(n * 100, n * 100 + 100)), "_sha": ["x"] * 100}
+            yield pa.RecordBatch.from_pydict(rows)
+            most = max(most, pa.total_allocated_bytes() - start)
+
+    rows = owners = 0
+    for batch in exact_dedup.collapse(["c0", "_key", "_uid", "_sha"], batches()):
+        kinds = batch.column("kind").to_pylist()
+        rows, owners = rows + kinds.count("member"), owners + kinds.count("owner")
+    assert (rows, owners) == (4000, 41)
+    # A batch has 2 MB; 40 of them would have 80.
+    assert most < 12 << 20
+
+
 def shingles(text):
     lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = [w for w in re.split("[\x20\x09-\x0d]+", lowered) if w]
@@ -269,6 +313,16 @@ def test_words_of_one_short_hash_are_not_equal_lines(spark):
     assert sorted(r["place"] for r in found) == [5 * k + 4 for k in range(len(rows))]
 
 
+def test_a_line_of_very_many_words(spark):
+    """Longer than 16 bits count, a near copy of it, and a word that every line has."""
+    long = [f"w{k}" for k in range(40_000)]
+    rows = [(1, "the " + " ".join(long) + "\nthe one"), (2, "the " + " ".join(long[1000:] + [f"x{k}" for k in range(500)])),
+            (3, "the " + " ".join(long[20_000:])), (4, "\n".join(f"the a{k} b{k} c{k}" for k in range(300)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.later_matches(docs).collect()
+    assert {(r["id"], r["place"]) for r in found} == {(2, 0)}
+
+
 def test_line_query(spark, medium):
     rows = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     from factloom.llm.registry import queries as QUERIES
