@@ -42,16 +42,17 @@ class Settings:
 
     def least(self, n: Column) -> Column:
         """Common words of n words and any set that is alike, at least."""
-        return F.ceil(n * self.percent / 100).cast("int")
+        return F.ceil(n.cast("long") * self.percent / 100).cast("int")
 
     def prefix(self, n: Column) -> Column:
         return n - self.least(n) + self.shared
 
     def overlap(self, n: Column, m: Column) -> Column:
         """Least common words of two alike sets of n and m words."""
-        return F.ceil((n + m) * self.percent / (100 + self.percent)).cast("int")
+        return F.ceil((n.cast("long") + m) * self.percent / (100 + self.percent)).cast("int")
 
     def fits(self, n: Column, m: Column) -> Column:
+        n, m = n.cast("long"), m.cast("long")
         return (n * 100 >= m * self.percent) & (m * 100 >= n * self.percent)
 
 
@@ -186,7 +187,7 @@ def later_matches(
     )
     sets = marked.groupBy("set").agg(
         F.min("first").alias("first"), F.count(F.lit(1)).alias("uses"),
-        F.any_value("n").cast("short").alias("n"), F.any_value("prefix").alias("prefix"),
+        F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"),
     )
     sets = stored(spark, sets, "sets")
     # Numbered in the order of their first lines, so that a smaller number is an earlier set.
@@ -196,7 +197,6 @@ def later_matches(
     index = sets.filter(F.col("n") >= settings.shared).select(
         F.col("number").alias("set"), "n", F.posexplode("prefix").alias("at", "word")
     )
-    index = index.withColumn("at", F.col("at").cast("short"))
     listed = F.count(F.lit(1)).over(Window.partitionBy("word"))
     index = stored(spark, index.withColumn("size", listed).filter("size > 1").drop("size"), "index")
     sets = sets.select("set", "number", "first", "uses")
