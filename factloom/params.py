@@ -27,6 +27,9 @@ class Params:
     )
     accepted_value_types: tuple[str, ...] = ("instant", "duration")
 
+    # On where silver comes from a table that `LayerStore.write_bucketed` wrote by `cik`.
+    bucketed_by_company: bool = False
+
     # Only 80-100 day (or instant) values enter period-over-period measures when on.
     quarterly_only: bool = False
 

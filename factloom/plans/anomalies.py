@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from factloom.functions import pct_change, quarter_index
 from factloom.operators.ordered import lag_in_chunks
 from factloom.params import DEFAULTS, Params
+from factloom.session import stored
+from factloom.sources.partitions import same_keys
 
 REVENUE, INCOME, EPS, ASSETS = "Revenues", "NetIncomeLoss", "EarningsPerShareBasic", "Assets"
 
@@ -20,6 +22,9 @@ REVENUE, INCOME, EPS, ASSETS = "Revenues", "NetIncomeLoss", "EarningsPerShareBas
 # Filer and year at the beginning of an accession number.
 SERIES_LENGTH = 13
 
+# Filings of one key from which its days are looked at, and those of a day that one task takes.
+HOT_KEY, HOT_DAY = 100_000, 20_000
+
 _SERIES = "PARTITION BY cik, canonical_concept ORDER BY period_end"
 
 # Looks the quarter up by number, so gaps cannot shift it, and needs no self-join. Of
@@ -37,7 +42,9 @@ def quarterly_values(silver: DataFrame) -> DataFrame:
 
 def _prepared(silver: DataFrame, params: Params) -> DataFrame:
     chosen = quarterly_values(silver) if params.quarterly_only else silver
-    return chosen.repartition("cik").withColumn("q_idx", quarter_index("period_end"))
+    # A table stored in buckets by company stands as the windows need it.
+    placed = chosen if params.bucketed_by_company else chosen.repartition("cik")
+    return placed.withColumn("q_idx", quarter_index("period_end"))
 
 
 def qoq_change(silver: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -132,19 +139,53 @@ def silver_rules(params: Params = DEFAULTS) -> list[Column]:
     return [revenue_spike(params), income_sign_flip(), eps_drop(params), asset_jump(params)]
 
 
-def restatements(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+_HISTORY_KEY = ["cik", "canonical_concept", "raw_concept", "period_start", "period_end"]
+_HISTORY_ORDER = ["accession_number", "form_type", "reported_value"]
+
+
+def _split_hot_days(history: DataFrame, hot_key: int, hot_day: int) -> DataFrame:
+    """`series` of the days on which one key has very many filings: ranges of their order.
+
+    Counts combine before the shuffle, and days are counted for hot keys only. The rows of hot
+    days are dealt by their whole order, so that a range holds a bounded number of them, and
+    keep the number of their range; it is written down, since it decides which rows meet.
+    """
+    spark = history.sparkSession
+    keys = history.groupBy(*_HISTORY_KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_key)
+    keys = stored(spark, keys.drop("n"), "hot_keys")
+    if keys.isEmpty():
+        return history
+    day = [*_HISTORY_KEY, "filed_date", "series"]
+    hot = history.join(keys, same_keys(history, keys, _HISTORY_KEY), "left_semi")
+    days = hot.groupBy(*day).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_day)
+    days = stored(spark, days, "hot_days")
+    rows = days.agg(F.sum("n")).first()[0]
+    if rows is None:
+        return history
+    many = history.join(days, same_keys(history, days, day), "left_semi")
+    # Copies collapse first: rows that are equal must not come to stand in two ranges.
+    dealt = many.distinct().repartitionByRange(-(-rows // hot_day), *day, *_HISTORY_ORDER)
+    number = F.lpad(F.spark_partition_id().cast("string"), 10, "0")
+    dealt = stored(spark, dealt.withColumn("series", F.concat("series", F.lit("#"), number)), "hot_rows")
+    few = history.join(days, same_keys(history, days, day), "left_anti")
+    return few.unionByName(dealt)
+
+
+def restatements(
+    facts: DataFrame, params: Params = DEFAULTS, hot_key: int = HOT_KEY, hot_day: int = HOT_DAY
+) -> DataFrame:
     """Amended values that differ from the value reported before by more than the threshold.
 
     Works on extracted facts, before any of them are resolved away. Copies of an entry,
     which every new load of a document brings, collapse; a key with very many filings is
-    split by filing date, and those without a date by the beginning of their number.
+    split by filing date, those without a date by the beginning of their number, and a day
+    with very many of them by ranges of their order.
     """
-    key = ["cik", "canonical_concept", "raw_concept", "period_start", "period_end"]
-    order = ["accession_number", "form_type", "reported_value"]
     series = f"if(filed_date IS NULL, left(accession_number, {SERIES_LENGTH}), '') AS series"
-    history = facts.selectExpr(*key, "filed_date", series, *order)
-    chunks = ["filed_date", "series"]
-    lagged = lag_in_chunks(history, key, chunks, order, ["reported_value", "accession_number"]).drop("series")
+    history = facts.selectExpr(*_HISTORY_KEY, "filed_date", series, *_HISTORY_ORDER)
+    history = _split_hot_days(history, hot_key, hot_day)
+    chunks, carry = ["filed_date", "series"], ["reported_value", "accession_number"]
+    lagged = lag_in_chunks(history, _HISTORY_KEY, chunks, _HISTORY_ORDER, carry).drop("series")
     change = pct_change("reported_value", "prev_reported_value")
     return lagged.withColumn("change", change).filter(
         F.col("form_type").endswith("/A") & (F.abs("change") > params.restatement_threshold)
@@ -177,6 +218,11 @@ def anomaly_flags(silver: DataFrame, facts: DataFrame, params: Params = DEFAULTS
     return flagged.unionByName(restatement_flags(restatements(facts, params), params))
 
 
+def feed_order() -> list[Column]:
+    """Falling severity; the columns after it only make the order total."""
+    return [F.col("severity").desc_nulls_last(), *map(F.col, ("cik", "canonical_concept", "period_end", "rule"))]
+
+
 def anomaly_feed(
     flags: DataFrame,
     cik: str | None = None,
@@ -189,9 +235,7 @@ def anomaly_feed(
     for column, wanted in (("cik", cik), ("canonical_concept", concept), ("q_idx", quarter)):
         if wanted is not None:
             chosen = chosen.filter(F.col(column) == wanted)
-    ordered = chosen.orderBy(
-        F.col("severity").desc_nulls_last(), "cik", "canonical_concept", "period_end", "rule"
-    )
+    ordered = chosen.orderBy(*feed_order())
     limited = ordered if top is None else ordered.limit(top)
     return limited.withColumn("filing_link", F.concat_ws("/", F.lit("filings"), "cik", "accession_number"))
 

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import pct_change, quarter_index
+from factloom.operators.selection import exact_quantile
 from factloom.plans.anomalies import ASSETS, EPS, INCOME, REVENUE, yoy_change
+from factloom.session import stored
+from factloom.sources.partitions import same_keys
 
 OPERATING_INCOME = "OperatingIncomeLoss"
 
@@ -87,16 +90,40 @@ def margin_trend(silver: DataFrame) -> DataFrame:
     return quarter_matrix(silver).filter("margin IS NOT NULL").select("cik", "q_idx", "margin")
 
 
-def peer_benchmark(silver: DataFrame, companies: DataFrame) -> DataFrame:
+# Values that a task may hold for one median; groups with more of them are counted through.
+MEDIAN_BUFFER = 100_000
+
+
+def peer_benchmark(
+    silver: DataFrame, companies: DataFrame, buffer: int = MEDIAN_BUFFER
+) -> DataFrame:
     """Mean growth, mean and median margin per industry code and quarter, over the companies
-    that have one of the two. The median's buffer holds one value per company of the code."""
+    that have one of the two.
+
+    Means combine before the shuffle. The median of a group of up to `buffer` companies is
+    taken from its values; that of a larger one is found by counting (`exact_quantile`), so no
+    task holds a group without a bound. Both give the same value.
+    """
     known = quarter_matrix(silver).filter("revenue_qoq IS NOT NULL OR margin IS NOT NULL")
-    rows = known.join(companies.select("cik", "sic_code"), "cik")
-    return rows.groupBy("sic_code", "q_idx").agg(
-        F.count(F.lit(1)).alias("companies"),
-        F.avg("revenue_qoq").alias("avg_growth"),
+    group = ["sic_code", "q_idx"]
+    rows = known.join(companies.select("cik", "sic_code"), "cik").select(*group, "revenue_qoq", "margin")
+    rows = stored(silver.sparkSession, rows, "peers")
+    large = rows.groupBy(*group).agg(F.count("margin").alias("n")).filter(F.col("n") > buffer).select(*group)
+    large = stored(silver.sparkSession, large, "large_groups")
+    means = [
+        F.count(F.lit(1)).alias("companies"), F.avg("revenue_qoq").alias("avg_growth"),
         F.avg("margin").alias("avg_margin"),
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY margin)").alias("median_margin"),
+    ]
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY margin)").alias("median_margin")
+    if large.isEmpty():
+        return rows.groupBy(*group).agg(*means, median)
+    is_large = same_keys(rows, large, group)
+    small = rows.join(large, is_large, "left_anti").groupBy(*group).agg(*means, median)
+    rows = rows.join(large, is_large, "left_semi")
+    counted = exact_quantile(rows, group, "margin", 0.5, "median_margin")
+    mean = rows.groupBy(*group).agg(*means)
+    return small.unionByName(
+        mean.join(counted, same_keys(mean, counted, group)).select(mean["*"], counted["median_margin"])
     )
 
 

@@ -16,8 +16,8 @@ SILVER_COLUMNS = (
 )
 
 
-def facts_from_rows(rows: DataFrame, seed: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Typed rows (with `form_raw`) filtered and normalised like the entries of a document."""
+def typed_rows(rows: DataFrame, seed: DataFrame) -> DataFrame:
+    """Rows (with `form_raw`) of all forms, typed and normalised like the entries of a document."""
     typed = rows.selectExpr(
         "cik",
         "entity_name",
@@ -31,7 +31,12 @@ def facts_from_rows(rows: DataFrame, seed: DataFrame, params: Params = DEFAULTS)
         "fiscal_period_label",
         "if(period_start IS NULL, 'instant', 'duration') AS value_type",
     )
-    return normalize_tag(seed)(usable_facts(typed, params))
+    return normalize_tag(seed)(typed)
+
+
+def facts_from_rows(rows: DataFrame, seed: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """The usable ones of `typed_rows`."""
+    return usable_facts(typed_rows(rows, seed), params)
 
 
 def silver_financials(facts: DataFrame) -> DataFrame:

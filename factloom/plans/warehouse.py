@@ -11,9 +11,11 @@ from factloom.operators import ingest, quality
 from factloom.operators.companies import companies, flatten_filings, last_filing
 from factloom.operators.coverage import filing_periods
 from factloom.operators.extract import good_entries, read_entries, typed_facts, unreadable
+from factloom.operators.ordering import clustered
 from factloom.params import ALL_UNITS, DEFAULTS, Params
 from factloom.plans import anomalies, gold
 from factloom.plans.silver import silver_financials
+from factloom.session import stored
 from factloom.sources import seeds
 from factloom.sources.documents import (
     GOOD,
@@ -85,9 +87,9 @@ def build(
     dim_period = store.write(gold.dim_fiscal_periods(silver), "gold", "dim_fiscal_periods")
     dim_concept = store.write(gold.dim_gaap_concepts(seed), "gold", "dim_gaap_concepts")
     fact = store.write(gold.fact_financials(silver), "gold", "fact_financials")
-    store.write(
-        anomalies.anomaly_flags(silver, facts, params), "gold", "rpt_anomaly_flags"
-    )
+    flags = stored(spark, anomalies.anomaly_flags(silver, facts, params), "flags")
+    # So that a page's filter by company, concept or quarter skips most of the table.
+    store.write(clustered(flags, ["cik", "canonical_concept", "q_idx"]), "gold", "rpt_anomaly_flags")
     tables = Tables(landed, received, rejected, silver, company, fact, dim_company, dim_period, dim_concept)
     return checks(tables, now, params)
 

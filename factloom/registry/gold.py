@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.operators import ordering
 from factloom.operators.companies import companies, flatten_filings, last_filing
+from factloom.operators.extract import usable_facts
 from factloom.plans import anomalies, gold, reports
-from factloom.plans.silver import facts_from_rows, silver_financials
+from factloom.plans.silver import silver_financials, typed_rows
 from factloom.registry.base import bronze_submissions, facts, query, rows, silver, sql
 from factloom.session import stored
 from factloom.sources import seeds
@@ -178,12 +180,8 @@ def anomaly_asset_jump(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _flags(spark: SparkSession, folder: str) -> DataFrame:
-    return _flags_of(spark, rows(spark, folder))
-
-
-def _flags_of(spark: SparkSession, filed: DataFrame) -> DataFrame:
-    """Flags of fact rows; the facts serve twice and are built once."""
-    base = stored(spark, facts_from_rows(filed, seeds.synonyms(spark)), "facts")
+    """The facts serve twice and are built once."""
+    base = stored(spark, facts(spark, folder), "facts")
     return anomalies.anomaly_flags(silver_financials(base), base)
 
 
@@ -202,6 +200,19 @@ def anomaly_feed(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(anomalies.anomaly_feed(_flags(spark, folder)))
 
 
+# Fixed value of the page: flags that it shows at a time.
+PAGE = 25
+
+
+@query("anomaly_page", sql(f"""
+    SELECT *, (rank - 1) // {PAGE} + 1 AS page FROM (
+        SELECT *, row_number() OVER ({_FEED_ORDER}) AS rank FROM ({_FLAG_SQL} FROM flags))""", "flags"))
+def anomaly_page(spark: SparkSession, folder: str) -> DataFrame:
+    """Every flag with its rank in the feed and the page that shows it."""
+    ranks = ordering.ranked(_rounded(_flags(spark, folder)), anomalies.feed_order())
+    return ranks.withColumn("page", F.floor((F.col("rank") - 1) / PAGE) + 1)
+
+
 @query("anomaly_feed_filtered", sql(f"""
     {_FLAG_SQL}, 'filings/' || cik || '/' || accession_number AS filing_link
     FROM flags WHERE cik = '0000000007' AND canonical_concept = 'Revenues'""", "flags"))
@@ -219,9 +230,12 @@ def anomaly_feed_filtered(spark: SparkSession, folder: str) -> DataFrame:
          AND e.filed_date BETWEEN f.period_end AND f.period_end + 90
     GROUP BY f.cik, f.canonical_concept, f.period_end, f.rule""", "flags", "filing_rows"))
 def event_window_join(spark: SparkSession, folder: str) -> DataFrame:
-    filed = stored(spark, rows(spark, folder), "filed")
-    events = filed.filter(F.upper("form_raw") == "8-K").select("cik", F.col("filed_date").alias("event_date"))
-    return anomalies.events_near_anomalies(_flags_of(spark, filed), events)
+    """One stored relation, of all forms, serves the facts and the events."""
+    filed = stored(spark, typed_rows(rows(spark, folder), seeds.synonyms(spark)), "filed")
+    base = usable_facts(filed)
+    events = filed.filter("form_type = '8-K'").select("cik", F.col("filed_date").alias("event_date"))
+    flags = anomalies.anomaly_flags(silver_financials(base), base)
+    return anomalies.events_near_anomalies(flags, events)
 
 
 # Pages -----------------------------------------------------------------------------------

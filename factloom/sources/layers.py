@@ -56,6 +56,39 @@ class LayerStore:
         self._switch(layer, name, version)
         return self.read(layer, name)
 
+    def write_bucketed(
+        self, df: DataFrame, layer: str, name: str, column: str, buckets: int, sort_by: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """Full rebuild of one table in buckets by `column`, sorted within; returns it as a table.
+
+        A bucket is one file, dealt by the hash that joins, windows and groupings by the column
+        deal by; they read the table without an exchange. Parquet does not know of buckets, the
+        catalog does: the table is `layer.name` there, and `register_bucketed` declares it in
+        another session.
+        """
+        version = f"v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        path, scratch = f"{self.path(layer, name)}/{version}", f"bucketed_{uuid.uuid4().hex}"
+        writer = df.repartition(buckets, column).write.format("parquet").option("path", path)
+        writer.bucketBy(buckets, column).sortBy(column, *sort_by).saveAsTable(scratch)
+        # The entry is of no more use, and its files are not the catalog's.
+        self.spark.sql(f"DROP TABLE {scratch}")
+        self._switch(layer, name, version)
+        return self.register_bucketed(layer, name, column, buckets, sort_by)
+
+    def register_bucketed(
+        self, layer: str, name: str, column: str, buckets: int, sort_by: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """Make the current version of a bucketed table known; again after a rebuild."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+        columns = self.read(layer, name).schema.toDDL()
+        order = ", ".join([column, *sort_by])
+        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+        self.spark.sql(
+            f"CREATE TABLE {layer}.{name} ({columns}) USING parquet CLUSTERED BY ({column}) "
+            f"SORTED BY ({order}) INTO {buckets} BUCKETS LOCATION '{self.current(layer, name)}'"
+        )
+        return self.spark.table(f"{layer}.{name}")
+
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.current(layer, name))
 

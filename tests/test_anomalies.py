@@ -206,3 +206,28 @@ def test_reports_on_a_known_company(silver):
     assert [p["reported_value"] for p in line] == [110.0, 130.0, 200.0]
     pairs = {r["q_idx"] % 4: r for r in reports.income_vs_revenue(both).filter("q_idx < 2018 * 4 + 5").collect()}
     assert pairs[0]["income_qoq"] is None and pairs[0]["revenue_qoq"] == pytest.approx(20 / 110)
+
+
+def test_a_hot_day_of_one_key_is_split_by_ranges(spark):
+    """One key with a third of all filings, most on one day and without a date: same lag, small chunks."""
+    chance = random.Random(6)
+    rows, day = [], dt.date(2020, 5, 1)
+    for i in range(3000):
+        key = "0000000001" if i % 3 == 0 else f"{i % 50:010d}"
+        filed = None if i % 11 == 0 else day + dt.timedelta(days=0 if i % 3 == 0 and i % 5 else i % 40)
+        number = f"{chance.randrange(10**10):010d}-20-{i:06d}"
+        row = (key, "Assets", "Assets", None, dt.date(2020, 3, 31), filed, number, chance.choice(["10-Q", "10-Q/A"]), float(chance.randrange(1, 9)))
+        rows += [row] * chance.choice([1, 1, 2])
+    names = "cik string, canonical_concept string, raw_concept string, period_start date, period_end date, filed_date date, accession_number string, form_type string, reported_value double"
+    facts = spark.createDataFrame(rows, names).repartition(5)
+    plain = anomalies.restatements(facts)
+    split = anomalies.restatements(facts, hot_key=100, hot_day=50)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect())) and plain.count() > 300
+    history = facts.selectExpr(*anomalies._HISTORY_KEY, "filed_date", "'' AS series", *anomalies._HISTORY_ORDER).distinct()
+    chunks = anomalies._split_hot_days(history, 100, 50).groupBy("cik", "filed_date", "series").count()
+    assert history.groupBy("cik", "filed_date").count().agg({"count": "max"}).first()[0] > 500
+    assert chunks.agg({"count": "max"}).first()[0] < 150
+    order = Window.partitionBy("cik").orderBy(F.col("filed_date").asc_nulls_first(), "accession_number", "form_type", "reported_value")
+    lagged = history.withColumn("prev", F.lag("reported_value").over(order))
+    wanted = lagged.filter("form_type LIKE '%/A' AND abs((reported_value - prev) / abs(prev)) > 0.1")
+    assert wanted.count() == split.count()

@@ -36,14 +36,14 @@ def built(spark, small, tmp_path_factory):
 def test_all_checks_pass(built):
     _, report = built
     quality.require_pass(report)
-    assert report.count() == 21
+    assert report.count() == 22
 
 
 def test_every_table_is_there(built):
     store, _ = built
     tables = {
         "seeds": ["gaap_tag_synonyms", "companies"],
-        "bronze": ["raw_company_facts", "raw_submissions", "concept_entries"],
+        "bronze": ["raw_company_facts", "raw_submissions", "concept_entries", "ingest_ledger"],
         "silver": ["fact_entries", "stg_financials", "stg_companies", "stg_filing_periods", "stg_filings"],
         "gold": ["dim_companies", "dim_fiscal_periods", "dim_gaap_concepts", "fact_financials", "rpt_anomaly_flags"],
     }
