@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import pad_identifier, strict_date, strict_double, value_type
@@ -10,9 +12,12 @@ from factloom.operators.normalize import normalize_tag, tracked_only
 from factloom.params import DEFAULTS, Params
 from factloom.schemas import FACT_ENTRY
 
-# Each level is read from the text of the one above it, and everything below stays text.
-# So what cannot be read costs itself alone, and says where it stood.
+# A concept is read at once down to its entries, which stay text. One that cannot be is read level
+# by level, each from the text of the one above it. So what cannot be read costs itself alone,
+# and says where it stood.
 TAXONOMY = "`us-gaap` MAP<STRING, STRING>"
+UNREAD = "_unread"
+AT_ONCE = f"units MAP<STRING, ARRAY<STRING>>, {UNREAD} STRING"
 CONCEPT = "units STRING"
 UNITS = "MAP<STRING, STRING>"
 ENTRIES = "ARRAY<STRING>"
@@ -46,31 +51,13 @@ def read_entries(
     if seed is not None:
         concepts = tracked_only(seed)(concepts)
     named = [*carry, "cik", "entity_name", "raw_concept"]
-    whole = F.col("concept").startswith("{")
-    parts = concepts.filter(F.col("concept").isNotNull()).select(
-        *named, whole.alias("whole"), F.from_json("concept", CONCEPT)["units"].alias("units")
-    )
-    kept = parts.select(
-        *named, "whole", "units", F.from_json("units", UNITS).alias("by_unit")
-    ).select(
-        *named,
-        F.when(~F.col("whole"), NO_CONCEPT)
-        .when(F.col("units").isNotNull() & F.col("by_unit").isNull(), NO_UNITS).alias("above"),
-        F.map_keys("by_unit").alias("names"),
-        F.map_filter("by_unit", lambda unit, _: unit.isin(*units)).alias("wanted"),
-    )
-    by_unit = kept.select(*named, "above", "names", F.explode_outer("wanted").alias("unit", "text"))
-    by_unit = by_unit.filter("above IS NOT NULL OR text IS NOT NULL")
-    twice = F.size(F.filter("names", lambda n: n == F.col("unit"))) > 1
-    arrays = by_unit.select(*named, "above", "unit", twice.alias("twice"), F.from_json("text", ENTRIES).alias("entries"))
-    reason = (
-        F.when(F.col("above").isNotNull(), F.col("above"))
-        .when(F.col("twice"), REPEATED_UNIT)
-        .when(F.col("entries").isNull(), NO_ARRAY)
-    )
-    entries = arrays.select(
-        *named, "unit", reason.alias("above"), F.when(reason.isNull(), F.col("entries")).alias("entries")
+    read = concepts.filter(F.col("concept").isNotNull()).select(
+        *named, "concept", F.from_json("concept", AT_ONCE, {"columnNameOfCorruptRecord": UNREAD}).alias("parsed")
     )
+    # Kept apart from the parse above, so that the second one is only made where it is needed.
+    found = F.when(_is_read(), _units_read(units)).otherwise(_units_by_level(units))
+    arrays = read.select(*named, F.explode_outer(found).alias("u")).filter("u IS NOT NULL")
+    entries = arrays.select(*named, "u.unit", "u.above", "u.entries")
     # A unit named twice came as two rows.
     entries = entries.filter("above IS NOT NULL OR size(entries) > 0")
     single = entries.select(*named, "unit", "above", F.explode_outer("entries").alias("entry_text"))
@@ -80,6 +67,48 @@ def read_entries(
     )
 
 
+def _is_read() -> Column:
+    """Whether one parse of the concept gave all there is in it."""
+    parsed = F.col("parsed")
+    return F.col("concept").startswith("{") & parsed.isNotNull() & parsed[UNREAD].isNull()
+
+
+def _each_unit(by_unit: Column, units: tuple[str, ...], value: Callable[[Column], Column], unread: str) -> Column:
+    """Wanted units of a map as (unit, above, entries); `value` makes entries of what the map holds."""
+    names = F.map_keys(by_unit)
+    wanted = F.filter(F.map_entries(by_unit), lambda e: e["key"].isin(*units) & e["value"].isNotNull())
+
+    def one(e: Column) -> Column:
+        twice = F.size(F.filter(names, lambda n: n == e["key"])) > 1
+        entries = F.when(~twice, value(e["value"]))
+        reason = F.when(twice, REPEATED_UNIT).when(entries.isNull(), unread)
+        return _unit(e["key"], reason, entries)
+
+    return F.transform(wanted, one)
+
+
+def _unit(name: Column, above: Column, entries: Column) -> Column:
+    return F.struct(
+        name.cast("string").alias("unit"), above.cast("string").alias("above"),
+        entries.cast("array<string>").alias("entries"),
+    )
+
+
+def _units_read(units: tuple[str, ...]) -> Column:
+    return _each_unit(F.col("parsed")["units"], units, lambda entries: entries, NO_ARRAY)
+
+
+def _units_by_level(units: tuple[str, ...]) -> Column:
+    """The same for a concept that one parse could not read whole, level by level."""
+    text = F.from_json("concept", CONCEPT)["units"]
+    by_unit = F.from_json(text, UNITS)
+    above = F.when(~F.col("concept").startswith("{"), NO_CONCEPT).when(text.isNotNull() & by_unit.isNull(), NO_UNITS)
+    whole = F.array(_unit(F.lit(None), above, F.lit(None)))
+    return F.when(above.isNotNull(), whole).otherwise(
+        _each_unit(by_unit, units, lambda entries: F.from_json(entries, ENTRIES), NO_ARRAY)
+    )
+
+
 def good_entries(entries: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Readable entries of `read_entries` as structs: cik, entity_name, raw_concept, unit, entry."""
     return entries.filter("reason IS NULL").select(
