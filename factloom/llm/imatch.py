@@ -81,9 +81,16 @@ def weighed(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
     spark = docs.sparkSession
     words = docs.select(terms(F.col(text)).alias("words"))
     hashed = F.transform(F.filter("words", lambda w: w != ""), lambda w: F.xxhash64(w))
-    sketched = words.select("words", F.array(*sketches(hashed)).alias("sketches"))
+    # A column of its own: each of the minima would hash the words again.
+    hashed = words.select("words", hashed.alias("hashed"))
+    # Of many terms a fixed quarter of all hashes tells copies as well.
+    quarter = F.filter("hashed", lambda h: h.bitwiseAND(F.lit(3)) == 0)
+    drawn_from = F.when(F.size("hashed") > 64, quarter).otherwise(F.col("hashed")).alias("hashed")
+    sketched = hashed.select("words", drawn_from)
+    sketched = sketched.select("words", F.array(*sketches(F.col("hashed"))).alias("sketches"))
     most = max(3, math.ceil(2 * settings.rarest * docs.count()))
-    groups = sketched.select(F.posexplode("sketches").alias("kind", "sketch")).groupBy("kind", "sketch")
+    # The outer form: for the plain one the optimizer would test the sketches for null, below, anew.
+    groups = sketched.select(F.posexplode_outer("sketches").alias("kind", "sketch")).groupBy("kind", "sketch")
     groups = groups.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
     # Proven bound: fewer than rows / `most` for each kind, some hundreds.
     large: dict[int, list] = {}
