@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from factloom.operators import ordering
 from factloom.operators.companies import companies, flatten_filings, last_filing
 from factloom.operators.extract import usable_facts
+from factloom.params import Params
 from factloom.plans import anomalies, gold, reports
 from factloom.plans.silver import silver_financials, typed_rows
-from factloom.registry.base import bronze_submissions, facts, query, rows, silver, sql
+from factloom.registry.base import CTES, bronze_submissions, facts, query, rows, silver, sql
 from factloom.session import stored
 from factloom.sources import seeds
 
@@ -164,6 +165,19 @@ def anomaly_revenue_spike(spark: SparkSession, folder: str) -> DataFrame:
     return _one_rule(spark, folder, anomalies.revenue_spike(), anomalies.REVENUE)
 
 
+# Fixed value of the query: a threshold other than the usual one.
+STRICT = 0.5
+
+
+@query("anomaly_strict_params", sql(
+    f"{_FLAG_SQL} FROM ({CTES['r1'].partition('(')[2].rpartition(')')[0].replace('0.3', str(STRICT))})", "qoq"))
+def anomaly_strict_params(spark: SparkSession, folder: str) -> DataFrame:
+    """The revenue rule under parameters of the caller's own."""
+    params = Params(revenue_qoq_threshold=STRICT)
+    fired = anomalies.fired_rules(silver(spark, folder, anomalies.REVENUE), [anomalies.revenue_spike(params)], params)
+    return _rounded(fired)
+
+
 @query("anomaly_sign_flip", sql(f"{_FLAG_SQL} FROM r2", "r2"))
 def anomaly_sign_flip(spark: SparkSession, folder: str) -> DataFrame:
     return _one_rule(spark, folder, anomalies.income_sign_flip(), anomalies.INCOME, anomalies.REVENUE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from factloom.functions import catalog, pad_identifier
 from factloom.operators import ingest
 from factloom.operators.extract import read_entries, unnest_all, unreadable
 from factloom.params import ALL_UNITS
+from factloom.plans import gold
 from factloom.registry.base import fact_documents, query, rows, silver, sql
 from factloom.schemas import CORRUPT, FACTS_DOCUMENT, SUBMISSIONS_DOCUMENT, all_concepts_type
 from factloom.session import shared_path, stored
@@ -257,6 +259,46 @@ def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("layer_tables", sql("""
+    SELECT n.cik, c.display_label, c.kind, count(*) AS facts, round(sum(n.reported_value), 2) AS total
+    FROM (SELECT * FROM silver
+          QUALIFY period_end = max(period_end) OVER (PARTITION BY cik, canonical_concept)) n
+    JOIN concepts c ON c.canonical_tag = n.canonical_concept GROUP BY ALL""", "silver", "concepts"))
+def layer_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL text over tables of two layers, named as the catalog names them, in a chain of steps."""
+    store = LayerStore(spark, shared_path(spark, "layers"))
+    store.write(silver(spark, folder), "silver", "stg_financials")
+    store.write(gold.dim_gaap_concepts(seeds.synonyms(spark)), "gold", "dim_gaap_concepts")
+    store.register("silver", "stg_financials")
+    store.register("gold", "dim_gaap_concepts")
+    return spark.sql("""
+        WITH latest_ends AS (
+            SELECT cik, canonical_concept, max(period_end) AS last_end FROM silver.stg_financials GROUP BY ALL),
+        newest AS (
+            SELECT s.* FROM silver.stg_financials s
+            JOIN latest_ends l ON l.cik = s.cik AND l.canonical_concept = s.canonical_concept AND l.last_end = s.period_end)
+        SELECT n.cik, c.display_label, c.kind, count(*) AS facts, round(sum(n.reported_value), 2) AS total
+        FROM newest n JOIN gold.dim_gaap_concepts c ON c.canonical_tag = n.canonical_concept GROUP BY ALL""")
+
+
+@query("load_stamps", sql("""
+    SELECT CAST(CAST(cik AS BIGINT) AS VARCHAR) AS cik_raw, count(DISTINCT part) AS documents, 1 AS instants,
+           true AS in_this_run
+    FROM filing_rows GROUP BY cik""", "filing_rows"))
+def load_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document of a load carries the one instant at which the load ran."""
+    begun, path = int(time.time() * 1e6), shared_path(spark, "stamped")
+    docs.raw_company_facts(docs.parse_document_text(fact_documents(spark, folder).drop("cik"))).select(
+        "cik_raw", "loaded_at"
+    ).write.parquet(path)
+    ended = int(time.time() * 1e6)
+    moment = F.unix_micros("loaded_at")
+    return spark.read.parquet(path).groupBy("cik_raw").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_distinct("loaded_at").cast("int").alias("instants"),
+        F.every(moment.between(begun - 1000, ended + 1000)).alias("in_this_run"),
+    )
+
+
 @query("merge_partitions", sql("""
     SELECT cik, canonical_concept, CAST(period_end AS VARCHAR) AS period_end, reported_value,
            form_type, accession_number, period_year FROM silver
@@ -418,6 +460,19 @@ def ingest_failures(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.ingest_failures(_outcomes(spark, folder))
 
 
+@query("ingest_gate", f"""
+    SELECT count(*) = 0 AS passed, count(*) AS failures FROM {_OUTCOMES_SQL} WHERE status = 'failed'""")
+def ingest_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the gate lets a run pass, and the failures that it names."""
+    outcomes = _outcomes(spark, folder)
+    try:
+        ingest.fail_on_any_failure(outcomes)
+        passed, failures = True, 0
+    except RuntimeError as stopped:
+        passed, failures = False, int(str(stopped).split()[0])
+    return spark.createDataFrame([(passed, failures)], "passed boolean, failures long")
+
+
 @query("payload_quarantine", sql("""
     SELECT cik, CASE CAST(cik AS BIGINT) % 5 WHEN 1 THEN 'missing facts' WHEN 2 THEN 'malformed'
                      WHEN 3 THEN 'repeated concept' ELSE 'good' END AS outcome,

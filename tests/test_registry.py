@@ -1,11 +1,16 @@
 """Every query against its SQL twin."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 from factloom import registry
 
+ROOT = Path(__file__).resolve().parents[1]
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -28,6 +33,13 @@ def test_every_query_has_a_twin():
     assert set(registry.queries) <= set(contract.queries())
 
 
+def test_core_queries_stand_without_an_optional_library():
+    code = ("import sys; sys.modules['tokenizers'] = None; import __spark_entry__ as e; "
+            "assert 'qoq_change' in e.queries() and 'op5_token_counts' not in e.queries()")
+    found = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
+    assert found.returncode == 0 and "left out" in found.stderr, found.stderr
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 1040
 

@@ -8,7 +8,7 @@ from factloom.plans.silver import SILVER_COLUMNS, silver_financials
 from factloom.registry import base
 from factloom.streaming.landing import document_stream, land_changed, land_stream, landed, newest_versions
 from factloom.streaming.latest import compact, current_table, keep_latest
-from factloom.streaming.monitor import append_to, arrival_windows, count_arrivals, suppress_repeats
+from factloom.streaming.monitor import append_to, arrival_windows, count_arrivals, silences, suppress_repeats
 
 
 def test_landing_takes_each_document_once(spark, tmp_path):
@@ -116,6 +116,19 @@ def test_replaced_files_land_again(spark, tmp_path):
     assert [r["reason"] for r in rejected] == ["malformed"]
 
 
+def test_a_source_that_falls_silent_is_a_row(spark, tmp_path):
+    first = [(at(1), "a", "1"), (at(20), "a", "2"), (at(1), "b", "3")]
+    # b comes back after 26 hours, a goes on and stops, c keeps all moving.
+    second = [(at(3, day=2), "b", "4"), (at(10, day=2), "a", "5"), (at(4, day=3), "c", "6")]
+    third = [(at(2, day=4), "c", "7"), (at(1, day=5), "c", "8")]
+    stream = arrivals(spark, tmp_path, first, second, third)
+    append_to(silences(stream, "ts", ["kind"]), str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["kind"], r["first_seen"], r["last_seen"], r["arrivals"], r["overdue_at"]) for r in rows) == [
+        ("a", at(1), at(10, day=2), 3, at(11, day=3)), ("b", at(1), at(1), 1, at(2, day=2)),
+        ("b", at(3, day=2), at(3, day=2), 1, at(4, day=3))]
+
+
 def test_repeated_deliveries_are_suppressed_across_batches(spark, tmp_path):
     batch = [(at(1), "a", "1"), (at(2), "a", "2"), (at(1), "a", "1")]
     stream = arrivals(spark, tmp_path, batch, batch, [(at(3), "a", "3")])

@@ -76,7 +76,13 @@ def test_damaged_documents_show_in_the_report(spark, tmp_path):
         quality.require_pass(report)
     later = warehouse.build(spark, store, str(tmp_path / "facts"), str(tmp_path / "submissions"),
                             now=F.current_timestamp() + F.expr("INTERVAL 2 DAYS"))
-    assert {r["check_name"]: r["failing_rows"] for r in later.collect()}["documents fresh"] == 2
+    found = {r["check_name"]: r["failing_rows"] for r in later.collect()}
+    assert found["documents fresh"] == found["submissions fresh"] == 2
+    ledger = store.read("bronze", "ingest_ledger")
+    assert sorted((r["kind"], r["status"], r["error"]) for r in ledger.filter("status = 'failed'").collect()) == [
+        ("facts", "failed", "malformed"), ("submissions", "failed", "malformed")]
+    with pytest.raises(RuntimeError, match="companies failed"):
+        warehouse.build(spark, store, str(tmp_path / "facts"), str(tmp_path / "submissions"), stop_on_failure=True)
 
 
 def test_failed_rebuild_leaves_the_table_readable(spark, tmp_path):
