@@ -29,7 +29,9 @@ CHUNK_WORDS = 1_000_000
 STRETCH = 1 << 20
 # Words of the corpus for each hash partition: some ten million n-grams, below 50 MB as sent.
 PARTITION_WORDS = 2_500_000
-LEAST_PARTITIONS = 16
+# More partitions than this would cut a chunk's hashes into rows of a few n-grams each; a larger
+# corpus has larger partitions instead (at 16 trillion words, some 60 million words each).
+LEAST_PARTITIONS, MOST_PARTITIONS = 16, 1 << 18
 # Counters of a summary for each that the guarantee needs; more of them let fewer n-grams
 # survive that are not frequent.
 SPARE = 4
@@ -301,7 +303,7 @@ def marked(hashes: DataFrame, threshold: int) -> DataFrame:
     """(chunk, part, n, mask): a bit for each key that a chunk sent, set where it survived.
 
     A task holds the compressed hashes of one partition, whose size `PARTITION_WORDS` bounds
-    however often single n-grams occur, and its summary.
+    (up to `MOST_PARTITIONS` of them) however often single n-grams occur, and its summary.
     """
 
     def keys_of(row: dict) -> np.ndarray:
@@ -380,7 +382,7 @@ def summed(found: DataFrame, threshold: int) -> DataFrame:
 def frequent_phrases(chunks: DataFrame, threshold: int, longest: int) -> DataFrame:
     """(lang, words, phrase, f): every n-gram of 1 to `longest` words with f >= threshold."""
     total = chunks.agg(F.sum("words")).first()[0] or 0
-    partitions = max(LEAST_PARTITIONS, -(-total // PARTITION_WORDS))
+    partitions = min(MOST_PARTITIONS, max(LEAST_PARTITIONS, -(-total // PARTITION_WORDS)))
     masks = marked(hashed(chunks, partitions, longest, threshold), threshold)
     return summed(counted(chunks, masks, partitions, longest), threshold)
 
