@@ -10,7 +10,7 @@ from factloom.operators.dedup import PERIOD_KEY
 from factloom.operators.extract import extracted_facts
 from factloom.params import ALL_UNITS, Params
 from factloom.plans.silver import silver_financials
-from factloom.session import stored
+from factloom.session import discard, stored
 from factloom.sources.layers import LayerStore
 from factloom.sources.partitions import PartitionedTable, same_keys
 from factloom.streaming.landing import VERSION, landed, landed_rows, newest_versions, versions_with_rejects
@@ -69,6 +69,7 @@ def refresh_silver(
     if not begun:
         silver.replace(silver_financials(new.drop(*SOURCE, "bucket")))
         facts.replace(new, **{APPLIED: last, "buckets": buckets})
+        discard(spark, new)
         return silver.read()
 
     # Which filers the new versions speak for: those they name, and those that a whole version
@@ -95,6 +96,7 @@ def refresh_silver(
         removed=touched.withColumn("period_year", F.year("period_end")),
     )
     facts.merge(new, [*SOURCE, "cik"], removed=spoken, **{APPLIED: last})
+    discard(spark, new, spoken, touched)
     return silver.read()
 
 

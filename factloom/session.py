@@ -58,4 +58,13 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(spark: SparkSession, *relations: DataFrame) -> None:
+    """Delete what `stored` wrote, once nothing that will still be computed reads it."""
+    for relation in relations:
+        path = spark._jvm.org.apache.hadoop.fs.Path(relation._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.session import stored
+from factloom.session import discard, stored
 from factloom.sources.layers import POINTER, point_to, put_text
 
 COMMIT = "commit"
@@ -79,7 +79,9 @@ class PartitionedTable:
         old = self._rows({**before, "partitions": {n: c for n, c in before["partitions"].items() if n in touched}})
         keyed = gone.select(*keys).distinct()
         after = old.join(keyed, same_keys(old, keyed, keys), "left_anti").unionByName(rows)
-        return self._commit(after, kept, before["schema"], {**before["properties"], **properties}, keys)
+        result = self._commit(after, kept, before["schema"], {**before["properties"], **properties}, keys)
+        discard(self.spark, rows, gone)
+        return result
 
     def _commit(self, rows: DataFrame, kept: dict, schema: str, properties: dict, keys=()) -> DataFrame:
         commit = f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
