@@ -61,6 +61,10 @@ EXTRAS = (
     "stream_refresh",
     "unreadable_concepts",
     "src_json_files",
+    "merge_partitions",
+    "ledger_summary",
+    "stream_silence",
+    "anomaly_page",
 )
 
 
