@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from importlib import resources
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import catalog, pad_identifier
@@ -72,12 +72,15 @@ def src_json_files(spark: SparkSession, folder: str) -> DataFrame:
 def fact_files(spark: SparkSession, folder: str) -> str:
     """Folder of a file for each (cik, part), whose size `part` bounds."""
     path = shared_path(spark, "facts")
-    whole = fact_documents(spark, folder)
-    named = whole.select(F.col("cik").cast("int").alias("filer"), "part", _indented("document").alias("value"))
-    named.write.partitionBy("filer", "part").text(path)
+    _one_a_file(fact_documents(spark, folder).select(_indented("document").alias("value")), path)
     return path
 
 
+def _one_a_file(texts: DataFrame, path: str) -> None:
+    """Every text as a file, all in one folder: a folder for each would be made, moved and listed one by one."""
+    texts.write.option("maxRecordsPerFile", 1).text(path)
+
+
 @query("src_submission_files", sql("""
     SELECT CAST(c_custkey AS VARCHAR) AS cik_raw, company_name AS company_name_raw, sic_code AS sic_raw
     FROM submissions""", "submissions"))
@@ -89,27 +92,37 @@ def src_submission_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Fixed value of the fixture: keys of companies whose documents of one load share a file.
+# Fixed values of the fixture: documents of one load that share a file, and keys of the companies that they are dealt from.
 KEYS_PER_LIST = 256
+KEYS_PER_RANGE = 64 * KEYS_PER_LIST
 
 
 def submission_files(spark: SparkSession, folder: str) -> str:
-    """Folder of a file for each range of companies and load; a company has one document in a load."""
+    """Folder of files with a bounded number of documents each; a company has one document in a load.
+
+    Lists are cut from the documents of a load and a wide range of companies, so that their
+    number follows that of the documents and not that of the ranges of companies times the loads.
+    """
     path = shared_path(spark, "submissions")
     filer = F.get_json_object("document", "$.cik").cast("bigint")
     texts = submission_documents(spark, folder).select(
-        F.floor(filer / KEYS_PER_LIST).alias("keys"), F.unix_seconds("loaded_at").alias("load"), "document"
+        F.floor(filer / KEYS_PER_RANGE).alias("keys"), F.unix_seconds("loaded_at").alias("load"), filer.alias("filer"),
+        "document",
     )
-    lists = texts.groupBy("keys", "load").agg(
+    place = F.row_number().over(Window.partitionBy("keys", "load").orderBy("filer", "document"))
+    dealt = texts.withColumn("list", F.floor((place - 1) / KEYS_PER_LIST))
+    lists = dealt.groupBy("keys", "load", "list").agg(
         F.array_join(F.collect_list(_indented("document")), ",\n").alias("l")
     )
-    named = lists.select("keys", "load", F.concat(F.lit("[\n"), "l", F.lit("\n]")).alias("value"))
-    named.write.partitionBy("keys", "load").text(path)
+    _one_a_file(lists.select(F.concat(F.lit("[\n"), "l", F.lit("\n]")).alias("value")), path)
     return path
 
 
 def _indented(document: str) -> Column:
-    return F.regexp_replace(document, r"([{\[,])", "$1\n  ")
+    text = F.col(document)
+    for mark in "{[,":
+        text = F.replace(text, F.lit(mark), F.lit(f"{mark}\n  "))
+    return text
 
 
 @query("submission_quarantine", sql("""

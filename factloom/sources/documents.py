@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from factloom.functions import pad_identifier
 from factloom.params import DEFAULTS, Params
@@ -13,6 +14,18 @@ from factloom.sources import discovery
 
 GOOD, REJECTED = "good", "rejected"
 
+# A file read by this separator is one record: its zero characters stand in no JSON text.
+WHOLE_FILE = "\0" * 8 + "\1"
+
+
+def records(reader: DataFrameReader | DataStreamReader, multi_line: bool) -> DataFrameReader | DataStreamReader:
+    """Reads JSON by file or by line.
+
+    A file, in UTF-8, is read as one long line. In Spark's own multi-line mode every number or raw object
+    that becomes text is fetched from the file again, which opens it anew.
+    """
+    return reader.option("lineSep", WHOLE_FILE) if multi_line else reader
+
 
 def _landed_with(documents: DataFrame) -> list[str]:
     """Columns that a landed document keeps where its reading or judging gave them."""
@@ -29,7 +42,7 @@ def read_fact_documents(
     with one object per line, which split into many tasks.
     """
     return (
-        spark.read.schema(FACTS_DOCUMENT).option("multiLine", multi_line).json(path)
+        records(spark.read.schema(FACTS_DOCUMENT), multi_line).json(path)
         .withColumn("source_path", F.col("_metadata.file_path"))
         .withColumn("source_modified_at", F.col("_metadata.file_modification_time"))
         .withColumn("source_bytes", F.col("_metadata.file_size"))
@@ -40,7 +53,7 @@ def read_submission_documents(
     spark: SparkSession, path: str | list[str], multi_line: bool = True
 ) -> DataFrame:
     return (
-        spark.read.schema(SUBMISSIONS_DOCUMENT).option("multiLine", multi_line).json(path)
+        records(spark.read.schema(SUBMISSIONS_DOCUMENT), multi_line).json(path)
         .withColumn("source_path", F.col("_metadata.file_path"))
         .withColumn("source_modified_at", F.col("_metadata.file_modification_time"))
     )

@@ -15,6 +15,7 @@ from factloom.sources.documents import (
     judge_documents,
     raw_company_facts,
     read_fact_documents,
+    records,
 )
 from factloom.sources.layers import WIDE_ROW_OPTIONS
 
@@ -22,7 +23,7 @@ from factloom.sources.layers import WIDE_ROW_OPTIONS
 def document_stream(
     spark: SparkSession, path: str, multi_line: bool = True, files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(FACTS_DOCUMENT).option("multiLine", multi_line)
+    reader = records(spark.readStream.schema(FACTS_DOCUMENT), multi_line)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)

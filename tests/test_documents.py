@@ -10,6 +10,7 @@ from factloom.operators.extract import (
     extract_entries, extracted_facts, read_entries, unnest_all, unnest_tracked, unreadable, usable_facts,
 )
 from factloom.params import ALL_UNITS, Params
+from factloom.schemas import FACTS_DOCUMENT
 from factloom.sources import documents as docs
 from factloom.sources import seeds
 
@@ -265,3 +266,51 @@ def test_a_list_of_submissions_holds_a_bounded_number(spark, medium):
     sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
     keys = spark.read.parquet(f"{medium}/customer.parquet").agg(F.max("c_custkey")).first()[0]
     assert max(sizes) <= sources.KEYS_PER_LIST < keys and len(sizes) >= keys // sources.KEYS_PER_LIST
+
+
+def test_lists_of_submissions_follow_the_documents(spark, tmp_path):
+    """Companies far apart, each in three loads: the files are as many as the loads, not a grid of both."""
+    from factloom.registry import sources
+    from factloom.sources.tables import KEYS_PER_SUBMISSION, SCHEMAS
+
+    companies = [(k * 300, f"C{k}", k, 0.0, "BUILDING") for k in range(20)]
+    day = dt.datetime(2024, 1, 1)
+    orders = [
+        (load * KEYS_PER_SUBMISSION + 2 * c[0], c[0], "O", 1.0, day, "2-HIGH") for c in companies for load in range(3)
+    ]
+    for name, told in (("customer", companies), ("orders", orders)):
+        spark.createDataFrame(told, SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    read = docs.read_submission_documents(spark, sources.submission_files(spark, str(tmp_path)))
+    found = docs.judge_submissions(read).select("cik", "status", "source_path").collect()
+    assert len(found) == 60 and {r["status"] for r in found} == {"good"} and len({r["source_path"] for r in found}) == 3
+
+
+def _bytes_read(spark):
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_a_whole_file_is_read_once(spark, tmp_path):
+    """Numbers that become text are not fetched from the file again, one by one."""
+    text = "[\n" + ",\n".join(f'{{"cik": {k},\n "sic": {k % 9}, "name": "N"}}' for k in range(3000)) + "\n]"
+    (tmp_path / "list.json").write_text(text)
+    before = _bytes_read(spark)
+    read = docs.read_submission_documents(spark, str(tmp_path)).select("cik", "sic").collect()
+    assert sorted(int(r["cik"]) for r in read) == list(range(3000))
+    assert _bytes_read(spark) - before < 3 * len(text)
+
+
+@pytest.mark.parametrize("text, found", [
+    ('{"cik": 1.50,\n "entityName": "A",\n "facts": {"a" : [1e2,\n 007.0]}}', 1),
+    ('\ufeff{"cik": 1,\r\n "facts": {}}\n\n', 1),
+    ('[{"cik": 1},\n\n {"cik": 2}]', 2),
+    ('{"cik": 1,\n "facts": {"us-gaap"', 1),
+    ('{"cik": 1}\u0000\u0000\n{"cik": 2}', 1),
+    ("\u0000" * 100, 1),
+    (" \n ", 0),
+    ("", 0),
+])
+def test_whole_files_as_in_multi_line_mode(spark, tmp_path, text, found):
+    (tmp_path / "odd.json").write_bytes(text.encode())
+    mine = docs.read_fact_documents(spark, str(tmp_path)).select(*FACTS_DOCUMENT.names).collect()
+    spark_s = spark.read.schema(FACTS_DOCUMENT).option("multiLine", True).json(str(tmp_path)).collect()
+    assert mine == spark_s and len(mine) == found
