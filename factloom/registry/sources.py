@@ -61,7 +61,10 @@ def src_json_submissions(spark: SparkSession, folder: str) -> DataFrame:
     FROM filing_rows GROUP BY ALL""", "filing_rows"))
 def src_json_files(spark: SparkSession, folder: str) -> DataFrame:
     """One indented object per file, read whole; a company has many files."""
-    bronze = docs.raw_company_facts(docs.judge_documents(docs.read_fact_documents(spark, fact_files(spark, folder))))
+    files = fact_files(spark, folder, PARTS_PER_OBJECT)
+    bronze = docs.raw_company_facts(docs.judge_documents(docs.read_fact_documents(spark, files)))
+    # Two aggregations read it: opening many small files is what takes longest here.
+    bronze = stored(spark, bronze, "bronze")
     count = unnest_all(bronze, ALL_UNITS).groupBy("cik").agg(F.count(F.lit(1)).alias("entries"))
     named = F.json_object_keys(F.get_json_object("facts_blob", "$['us-gaap']"))
     good = bronze.filter("status = 'good'").select("cik_raw", "entity_name", F.explode_outer(named).alias("name"))
@@ -69,10 +72,16 @@ def src_json_files(spark: SparkSession, folder: str) -> DataFrame:
     return good.join(count, good["cik_raw"].cast("bigint") == count["cik"].cast("bigint")).drop("cik")
 
 
-def fact_files(spark: SparkSession, folder: str) -> str:
-    """Folder of a file for each (cik, part), whose size `part` bounds."""
+# Fixed value of the fixture: ranges of keys that share an object and so a file. It bounds an object to that many
+# ranges; with one range each, creating the files would take longer than all the rest.
+PARTS_PER_OBJECT = 16
+
+
+def fact_files(spark: SparkSession, folder: str, parts: int = 1) -> str:
+    """Folder of a file for each filer and `parts` ranges of keys, which bound its size."""
     path = shared_path(spark, "facts")
-    _one_a_file(fact_documents(spark, folder).select(_indented("document").alias("value")), path)
+    facts = rows(spark, folder).withColumn("part", F.floor(F.col("part") / parts).cast("int"))
+    _one_a_file(docs.fold_fact_documents(facts).select(_indented("document").alias("value")), path)
     return path
 
 

@@ -314,3 +314,16 @@ def test_whole_files_as_in_multi_line_mode(spark, tmp_path, text, found):
     mine = docs.read_fact_documents(spark, str(tmp_path)).select(*FACTS_DOCUMENT.names).collect()
     spark_s = spark.read.schema(FACTS_DOCUMENT).option("multiLine", True).json(str(tmp_path)).collect()
     assert mine == spark_s and len(mine) == found
+
+
+def test_files_of_facts_hold_several_parts(spark, medium, monkeypatch):
+    from factloom.registry import base, sources
+
+    found, read = [], docs.read_fact_documents
+    monkeypatch.setattr(docs, "read_fact_documents", lambda *a: found.append(read(*a)) or found[-1])
+    told = sources.src_json_files(spark, medium).agg(F.sum("entries")).first()[0]
+    facts = base.rows(spark, medium)
+    parts = facts.select("cik", "part").distinct().count()
+    wide = facts.select("cik", F.floor(F.col("part") / sources.PARTS_PER_OBJECT)).distinct().count()
+    assert told == facts.count()
+    assert found[0].select("source_path").distinct().count() == found[0].count() == wide < parts
