@@ -111,8 +111,11 @@ def _units_by_level(units: tuple[str, ...]) -> Column:
 
 def good_entries(entries: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Readable entries of `read_entries` as structs: cik, entity_name, raw_concept, unit, entry."""
+    # Exploded, so that the optimizer leaves a filter on fields of the entry above the parse; moved
+    # below it, the filter would parse the entry again for each mention of a field.
+    parsed = F.explode_outer(F.array(F.from_json("entry_text", FACT_ENTRY)))
     return entries.filter("reason IS NULL").select(
-        *carry, "cik", "entity_name", "raw_concept", "unit", F.from_json("entry_text", FACT_ENTRY).alias("entry")
+        *carry, "cik", "entity_name", "raw_concept", "unit", parsed.alias("entry")
     )
 
 

@@ -327,3 +327,12 @@ def test_files_of_facts_hold_several_parts(spark, medium, monkeypatch):
     wide = facts.select("cik", F.floor(F.col("part") / sources.PARTS_PER_OBJECT)).distinct().count()
     assert told == facts.count()
     assert found[0].select("source_path").distinct().count() == found[0].count() == wide < parts
+
+
+def test_an_entry_is_parsed_once(spark, land, seed):
+    """A filter on its fields does not parse it again."""
+    b = bronze(spark, land(document(1, {"Assets": usd(entry(), entry(val="x"), entry(form="8-K"), "no entry")})))
+    found = extracted_facts(b, seed)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 1 and plan.count("entry_text#") and "StructField(form" in plan
+    assert sum(line.count("StructField(form,") for line in plan.splitlines()) == 1
