@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm.common import join_values, query, stored, table
+from factloom.session import discard
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -110,7 +111,9 @@ def near_candidates(indexed: DataFrame, settings: Settings) -> DataFrame:
     met = indexed.select(F.col("set").alias("b"), "n", few.alias("few"))
     met = met.select("b", "n", F.explode("few").alias("a"))
     met = met.filter(settings.fits(F.col("n"), F.col("a.n")))
-    pairs = met.groupBy("b", F.col("a.set").alias("a")).agg(F.count(F.lit(1)).alias("shared"))
+    # One shuffle of bare pairs serves both aggregations.
+    met = met.select("b", F.col("a.set").alias("a")).repartition("b")
+    pairs = met.groupBy("b", "a").agg(F.count(F.lit(1)).alias("shared"))
     pairs = pairs.filter(F.col("shared") >= settings.shared)
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
     return best.select(F.col("best.a").alias("a"), "b")
@@ -137,12 +140,12 @@ def all_candidates(indexed: DataFrame, open_sets: DataFrame, settings: Settings)
 
 
 def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """The sets b of the pairs (a, b) that are alike, by all the words of their first lines."""
+    """The sets b of the pairs (a, b) that are alike, by all the words of their first lines; stored."""
     spark = pairs.sparkSession
     used = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
     first = ["number", "first.id", "first.row", "first.place"]
-    used = stored(spark, sets.join(used, "number").select(*first), "used")
-    used = used.withColumnRenamed("id", "_id")
+    firsts = stored(spark, sets.join(used, "number").select(*first), "used")
+    used = firsts.withColumnRenamed("id", "_id")
     picked = F.broadcast(used) if used.count() <= settings.broadcast else used
     found = cut.withColumnsRenamed({"row": "_row", "place": "_place"}).join(
         picked,
@@ -150,12 +153,15 @@ def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings)
     )
     found = found.select("number", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
     found = stored(spark, found.filter(F.size("words") > 0), "words")
+    discard(spark, firsts)
     left = found.select(F.col("number").alias("a"), F.col("words").alias("x"))
     right = found.select(F.col("number").alias("b"), F.col("words").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - both
     met = pairs.join(left, "a").join(right, "b").filter(both * 100 >= union * settings.percent)
-    return met.select(F.col("b").alias("number")).distinct()
+    gone = stored(spark, met.select(F.col("b").alias("number")).distinct(), "gone")
+    discard(spark, found)
+    return gone
 
 
 def later_matches(
@@ -190,28 +196,36 @@ def later_matches(
         F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"),
     )
     sets = stored(spark, sets, "sets")
+    # Their words are in the sets from here on; what is written and done with goes at once.
+    known = stored(spark, told.select(*LINE, "set"), "places")
+    discard(spark, told)
     # Numbered in the order of their first lines, so that a smaller number is an earlier set.
-    sets = sets.repartitionByRange("first").sortWithinPartitions("first", "set")
-    sets = stored(spark, sets.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    inorder = sets.repartitionByRange("first").sortWithinPartitions("first", "set")
+    numbered = stored(spark, inorder.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    discard(spark, sets)
     # Smaller sets are alike to none but their equals.
-    index = sets.filter(F.col("n") >= settings.shared).select(
+    index = numbered.filter(F.col("n") >= settings.shared).select(
         F.col("number").alias("set"), "n", F.posexplode("prefix").alias("at", "word")
     )
     listed = F.count(F.lit(1)).over(Window.partitionBy("word"))
     index = stored(spark, index.withColumn("size", listed).filter("size > 1").drop("size"), "index")
-    sets = sets.select("set", "number", "first", "uses")
+    sets = stored(spark, numbered.select("set", "number", "first", "uses"), "firsts")
+    discard(spark, numbered)
 
     near = stored(spark, near_candidates(index, settings), "near")
-    gone = stored(spark, alike(near, cut, sets, settings), "gone")
+    gone = alike(near, cut, sets, settings)
     done = gone.withColumnRenamed("number", "set")
     still = stored(spark, index.select("set").distinct().join(done, "set", "left_anti"), "open")
     rest = all_candidates(index, still, settings).join(near, ["a", "b"], "left_anti")
     rest = stored(spark, rest, "rest")
-    gone = gone.union(alike(rest, cut, sets, settings)).withColumn("gone", F.lit(True))
-    judged = sets.join(gone, "number", "left").select("set", "first", "uses", "gone")
-    sets = stored(spark, judged, "judged")
+    discard(spark, index, still, near)
+    more = alike(rest, cut, sets, settings)
+    all_gone = gone.union(more).withColumn("gone", F.lit(True))
+    judged = sets.join(all_gone, "number", "left").select("set", "first", "uses", "gone")
+    judged = stored(spark, judged, "judged")
+    discard(spark, rest, gone, more, sets)
+    sets = judged
     total = sets.agg(F.sum("uses")).first()[0] or 0
-    known = told.select(*LINE, "set")
     judged = join_values(known, sets, "set", "uses", total)
     later = F.struct(*LINE) > F.col("first")
     return judged.filter(F.coalesce("gone", F.lit(False)) | later).select(*LINE)

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -331,3 +332,14 @@ def test_line_query(spark, medium):
     gone = {(r["doc_id"], k) for r in found for k in r["removed"]}
     assert gone == expected_removed([tuple(r) for r in rows]) and len(found) == len(rows)
     assert all(r["n_removed"] == len(r["removed"]) for r in found)
+
+
+def test_line_dedup_keeps_only_what_its_result_reads(spark, tmp_path):
+    from factloom.session import shared_root
+
+    before = set(os.listdir(shared_root(spark)))
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(k, f"{text}\nline {k} of its own words") for k in range(6)], "doc_id long, text string")
+    assert line_dedup.removed_places(docs).filter("n_removed > 0").count() == 5
+    left = {name.partition("-")[0] for name in set(os.listdir(shared_root(spark))) - before}
+    assert left == {"places", "judged"}
