@@ -1,18 +1,22 @@
 """Line dedup (6): exact set-similarity join of lines, in DataFrame operations only.
 
 Lines become sets of words. Lines with equal sets are one from then on. The words of a set
-are ordered by rarity; two sets that are alike share several of the first few. Sets that
-share that many, fit in length and can still reach the overlap from where they stand (prefix,
-length and positional filters) are compared word by word. A line goes when an earlier line,
-by document and place, is at least as alike as the threshold.
+are ordered by rarity; two sets that are alike share several of the first few. Sets that share
+so many, fit in length (prefix and length filters) and whose sketches do not differ
+in too many bits are compared word by word. A line goes when an earlier line, by document and
+place, is at least as alike as the threshold.
+
+A sketch has a bit for every 64th of all words: whether the set has an odd number of them. A
+word that only one of two sets has turns one bit, so they differ in no more bits than words.
 
 Whether a set goes needs one earlier match and not all of them. So every set is compared
-first with the best of the few that stand just before it in its lists; only sets without a
-match there meet all earlier ones. A large group of near copies thus costs its size.
+first with the best of the few that stand just before it in three of its lists; only sets
+without a match there meet all earlier ones. A large group of near copies thus costs its size.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,10 +25,13 @@ from pyspark.sql import functions as F
 from factloom.llm.common import join_values, query, stored, table
 from factloom.session import discard
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SPACE = r"[\x20\x09-\x0D]+"
-# Word frequencies are counted by hash, in this many counters.
-COUNTERS = 1 << 16
+# White space inside a line.
+SPACES = "\x20\x09\x0B\x0C\x0D"
+# Word frequencies are estimated by hash, in this many counters, from every so many-th line. They
+# order the words, which decides the cost and not the result.
+COUNTERS, EVERY = 1 << 16, 32
+# The bits of a word's hash that the index keeps.
+KEPT = 0x7FFFFFFF
 # What tells a line apart, in the order of lines.
 LINE = ("id", "row", "place")
 
@@ -33,11 +40,11 @@ LINE = ("id", "row", "place")
 class Settings:
     """`percent`: least Jaccard similarity of two lines' words. `shared`: words that the
     beginnings of two alike sets share (beginnings are longer for it). `near`: earlier sets of
-    each list that a set is compared with first. `broadcast`: sets up to which the places of
+    a list that a set is compared with first. `broadcast`: sets up to which the places of
     their lines are broadcast; more of them are joined by place."""
 
     percent: int = 80
-    shared: int = 4
+    shared: int = 1
     near: int = 2
     broadcast: int = 500_000
 
@@ -56,6 +63,15 @@ class Settings:
         n, m = n.cast("long"), m.cast("long")
         return (n * 100 >= m * self.percent) & (m * 100 >= n * self.percent)
 
+    def close(self, x: Column, y: Column, n: Column, m: Column) -> Column:
+        """Whether the sketches of two sets of n and m words allow that they are alike."""
+        n, m = n.cast("long"), m.cast("long")
+        return F.bit_count(x.bitwiseXOR(y)) * (100 + self.percent) <= (n + m) * (100 - self.percent)
+
+    def alone(self, n: Column) -> Column:
+        """Whether sets of n words are too small to be alike to any but their equals."""
+        return n.cast("long") * 100 < (n + 1) * self.percent
+
 
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """id, row, place (from 0), line: the lines of every document, without its line feeds."""
@@ -69,74 +85,99 @@ def row_of(text: str) -> Column:
     return F.xxhash64(F.col(text))
 
 
-def words(line: Column) -> Column:
-    """Distinct words of a line."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(line), SPACE)), "")
-
+def hashes(line: Column) -> Column:
+    """64-bit hashes of the distinct words of a line.
 
-def short(hashed: Column) -> Column:
-    """64-bit hashes of words as short ones, for the index only. Those that fall together bring
-    more sets together, never fewer; what is brought together is compared by longer hashes."""
-    return F.transform(hashed, lambda w: w.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    A split at one plain character needs no pattern, which halves its cost.
+    """
+    line = F.lower(line)
+    for space in SPACES[1:]:
+        line = F.replace(line, F.lit(space), F.lit(SPACES[0]))
+    found = F.transform(F.split(line, SPACES[0]), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(found), F.xxhash64(F.lit("")))
 
 
-def rarity(told: DataFrame) -> Column:
-    """By the last 16 bits of a short hash, the rank of the words that have them, rarest first.
+def rarity(cut: DataFrame) -> Column:
+    """By the last 16 bits of a word's hash, how often words that have them occur: a level in the
+    upper bits of a long, so that it leads when the hash is added.
 
-    The rank stands in the upper bits of a long, so that it leads when the hash is added.
+    Any order gives the same result, so some of the lines do for the estimate.
     """
-    counts = told.select(F.explode("words").alias("word")).groupBy(
+    some = cut.filter(F.pmod(F.xxhash64("row", "place"), F.lit(EVERY)) == 0)
+    counts = some.select(F.explode(hashes(F.col("line"))).alias("word")).groupBy(
         F.col("word").bitwiseAND(F.lit(COUNTERS - 1)).alias("at")
     )
     counted = {r.at: r.n for r in counts.agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = sorted(range(COUNTERS), key=lambda at: (counted.get(at, 0), at))
-    ranks = [0] * COUNTERS
-    for rank, at in enumerate(order):
-        ranks[at] = rank << 31
+    levels = [int(4 * math.log2(1 + counted.get(at, 0))) << 31 for at in range(COUNTERS)]
     # One literal, which the optimizer folds into an array once.
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
 
-def ordered(found: Column, ranks: Column) -> Column:
-    """Short hashes, rarest first; the rank leads, the hash tells words of one rank apart."""
-    return F.sort_array(
-        F.transform(found, lambda w: ranks[w.bitwiseAND(F.lit(COUNTERS - 1))].bitwiseOR(w.cast("bigint")))
-    )
+def ordered(hashed: Column, levels: Column) -> Column:
+    """Short hashes, rarest first; the level leads, the hash tells words of one level apart.
+
+    Words whose short hashes are the same bring more sets together, never fewer; what is brought
+    together is compared by longer hashes.
+    """
+    return F.sort_array(F.transform(
+        hashed, lambda w: levels[w.bitwiseAND(F.lit(COUNTERS - 1))].bitwiseOR(w.bitwiseAND(F.lit(KEPT)))
+    ))
 
 
-def near_candidates(indexed: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b): for each set b the set that shares most words with it among the few before it in its lists."""
-    before = Window.partitionBy("word").orderBy("set").rowsBetween(-settings.near, -1)
-    few = F.collect_list(F.struct("set", "n")).over(before)
-    met = indexed.select(F.col("set").alias("b"), "n", few.alias("few"))
-    met = met.select("b", "n", F.explode("few").alias("a"))
-    met = met.filter(settings.fits(F.col("n"), F.col("a.n")))
-    # One shuffle of bare pairs serves both aggregations.
-    met = met.select("b", F.col("a.set").alias("a")).repartition("b")
-    pairs = met.groupBy("b", "a").agg(F.count(F.lit(1)).alias("shared"))
-    pairs = pairs.filter(F.col("shared") >= settings.shared)
-    best = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
+def sketch(hashed: Column) -> Column:
+    """One bit for every 64th of all words: set if the number of words there is odd."""
+    def bit(w: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, 58).cast("int"))
+
+    return F.aggregate(hashed, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(bit(w)))
+
+
+def near_candidates(sets: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): for each set b the closest of the few before it in three of its lists, if any may be alike.
+
+    The lists are those of the last word of its beginning and of two that hashes choose there;
+    near copies share at least one of them mostly, and what they share is not a frequent word.
+    """
+    own = F.array(F.element_at("prefix", -1), F.array_min("prefix"), F.array_max("prefix"))
+    told = sets.filter(F.size("prefix") > 0).select("number", "n", "sketch", F.posexplode(own).alias("kind", "word"))
+    before = Window.partitionBy("kind", "word").orderBy("number")
+    one = F.struct("number", "n", "sketch")
+    few = F.array(*(F.lag(one, k).over(before) for k in range(1, settings.near + 1)))
+    met = told.select(F.col("number").alias("b"), "n", "sketch", few.alias("few"))
+    met = met.filter(F.col("few")[0].isNotNull()).select("b", "n", "sketch", F.explode("few").alias("a"))
+    n, m = F.col("a.n"), F.col("n")
+    met = met.filter(settings.fits(n, m) & settings.close(F.col("a.sketch"), F.col("sketch"), n, m))
+    apart = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("sketch")))
+    best = met.groupBy("b").agg(F.min(F.struct(apart.alias("apart"), F.col("a.number").alias("a"))).alias("best"))
     return best.select(F.col("best.a").alias("a"), "b")
 
 
-def all_candidates(indexed: DataFrame, open_sets: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b): for each set b of `open_sets` every earlier set a that may be alike.
+def all_candidates(sets: DataFrame, gone: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): for each set b that is not `gone` yet every earlier set a that may be alike.
 
-    Pairs meet once for each word they share; behind the last shared places, both must have
-    enough words left to reach the overlap.
+    The one of two beginnings that ends first, in the order of words, shares with the other all
+    that it shares with the other set. So a pair that meets in too few words is not alike.
+
+    Both sides of the join are the same rows, which are shuffled once: `set` is twice the number,
+    and one more if the set is not gone.
     """
-    a, b = indexed.alias("a"), indexed.join(open_sets, "set", "left_semi").alias("b")
-    n, m = F.col("a.n"), F.col("b.n")
-    together = (F.col("a.word") == F.col("b.word")) & (F.col("a.set") < F.col("b.set"))
-    met = a.join(b, together & settings.fits(n, m))
-    pairs = met.groupBy(F.col("a.set").alias("a"), F.col("b.set").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"),
-        F.max("a.n").alias("n"), F.max("b.n").alias("m"),
-        F.max("a.at").alias("i"), F.max("b.at").alias("j"),
+    over = gone.withColumn("gone", F.lit(True))
+    told = sets.filter(F.size("prefix") > 0).join(over, "number", "left")
+    indexed = told.select(
+        (F.col("number") * 2 + F.when(F.col("gone"), 0).otherwise(1)).alias("set"), "n", "sketch",
+        F.explode("prefix").alias("word"),
+    )
+    a, b = indexed.alias("a"), indexed.alias("b")
+    number, n, m = F.shiftright("b.set", 1), F.col("a.n"), F.col("b.n")
+    earlier = F.shiftright("a.set", 1) < number * F.col("b.set").bitwiseAND(F.lit(1))
+    fits = settings.close(F.col("a.sketch"), F.col("b.sketch"), n, m) & settings.fits(n, m)
+    met = a.join(b, (F.col("a.word") == F.col("b.word")) & earlier & fits)
+    pairs = met.groupBy(F.shiftright("a.set", 1).alias("a"), number.alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.max(n).alias("n"), F.max(m).alias("m")
     )
-    left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
-    reach = F.col("shared") + left >= settings.overlap(F.col("n"), F.col("m"))
-    return pairs.filter((F.col("shared") >= settings.shared) & reach).select("a", "b")
+    n, m = F.col("n"), F.col("m")
+    behind = F.greatest(settings.least(n), settings.least(m), F.lit(settings.shared)) - settings.shared
+    return pairs.filter(F.col("shared") + behind >= settings.overlap(n, m)).select("a", "b")
 
 
 def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -151,8 +192,7 @@ def alike(pairs: DataFrame, cut: DataFrame, sets: DataFrame, settings: Settings)
         picked,
         F.col("id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("row")) & (F.col("_place") == F.col("place")),
     )
-    found = found.select("number", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
-    found = stored(spark, found.filter(F.size("words") > 0), "words")
+    found = stored(spark, found.select("number", hashes(F.col("line")).alias("words")), "words")
     discard(spark, firsts)
     left = found.select(F.col("number").alias("a"), F.col("words").alias("x"))
     right = found.select(F.col("number").alias("b"), F.col("words").alias("y"))
@@ -175,50 +215,35 @@ def later_matches(
     """
     spark = docs.sparkSession
     cut = lines(docs, key, text)
-    # The one pass over the text: every line's words, short.
-    told = cut.select(*LINE, words(F.col("line")).alias("words")).filter(F.size("words") > 0)
-    told = told.select(*LINE, F.transform("words", lambda w: F.xxhash64(w)).alias("hashed"))
+    levels = rarity(cut)
+    # The one pass over all words: what is left of them are the sets and their beginnings.
+    hashed, n = F.col("hashed"), F.size("hashed")
+    told = cut.select(*LINE, hashes(F.col("line")).alias("hashed"))
     # Sets are equal when the 64-bit hashes of their words are.
-    whole = F.xxhash64(F.size("hashed"), F.sort_array("hashed")).alias("set")
-    told = stored(spark, told.select(*LINE, whole, short(F.col("hashed")).alias("words")), "lines")
-    ranks = rarity(told)
-    size = F.size("words")
-    sorted_ = told.select(*LINE, "set", size.alias("n"), ordered(F.col("words"), ranks).alias("words"))
-    marked = sorted_.select(
-        "set", F.struct(*LINE).alias("first"), "n",
-        F.transform(
-            F.slice("words", 1, settings.prefix(F.col("n"))),
-            lambda w: w.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"),
-        ).alias("prefix"),
-    )
-    sets = marked.groupBy("set").agg(
-        F.min("first").alias("first"), F.count(F.lit(1)).alias("uses"),
-        F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"),
+    whole = F.xxhash64(n, F.sort_array("hashed")).alias("set")
+    told = told.select(*LINE, whole, n.alias("n"), sketch(hashed).alias("sketch"), ordered(hashed, levels).alias("words"))
+    n = F.col("n")
+    begin = F.slice("words", 1, F.when(settings.alone(n), 0).otherwise(settings.prefix(n)))
+    prefix = F.transform(begin, lambda w: w.bitwiseAND(F.lit(KEPT)).cast("int")).alias("prefix")
+    told = stored(spark, told.select(*LINE, "set", "n", "sketch", prefix), "lines")
+    sets = told.filter("n > 0").groupBy("set").agg(
+        F.min(F.struct(*LINE)).alias("first"), F.count(F.lit(1)).alias("uses"),
+        *(F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")),
     )
     sets = stored(spark, sets, "sets")
-    # Their words are in the sets from here on; what is written and done with goes at once.
-    known = stored(spark, told.select(*LINE, "set"), "places")
+    # Their beginnings are in the sets from here on; what is written and done with goes at once.
+    known = stored(spark, told.filter("n > 0").select(*LINE, "set"), "places")
     discard(spark, told)
     # Numbered in the order of their first lines, so that a smaller number is an earlier set.
     inorder = sets.repartitionByRange("first").sortWithinPartitions("first", "set")
     numbered = stored(spark, inorder.withColumn("number", F.monotonically_increasing_id()), "numbered")
     discard(spark, sets)
-    # Smaller sets are alike to none but their equals.
-    index = numbered.filter(F.col("n") >= settings.shared).select(
-        F.col("number").alias("set"), "n", F.posexplode("prefix").alias("at", "word")
-    )
-    listed = F.count(F.lit(1)).over(Window.partitionBy("word"))
-    index = stored(spark, index.withColumn("size", listed).filter("size > 1").drop("size"), "index")
-    sets = stored(spark, numbered.select("set", "number", "first", "uses"), "firsts")
-    discard(spark, numbered)
+    sets = numbered
 
-    near = stored(spark, near_candidates(index, settings), "near")
+    near = stored(spark, near_candidates(sets, settings), "near")
     gone = alike(near, cut, sets, settings)
-    done = gone.withColumnRenamed("number", "set")
-    still = stored(spark, index.select("set").distinct().join(done, "set", "left_anti"), "open")
-    rest = all_candidates(index, still, settings).join(near, ["a", "b"], "left_anti")
-    rest = stored(spark, rest, "rest")
-    discard(spark, index, still, near)
+    rest = stored(spark, all_candidates(sets, gone, settings), "rest")
+    discard(spark, near)
     more = alike(rest, cut, sets, settings)
     all_gone = gone.union(more).withColumn("gone", F.lit(True))
     judged = sets.join(all_gone, "number", "left").select("set", "first", "uses", "gone")
