@@ -8,6 +8,7 @@ place, is at least as alike as the threshold.
 
 A sketch has a bit for every 64th of all words: whether the set has an odd number of them. A
 word that only one of two sets has turns one bit, so they differ in no more bits than words.
+Long sets have another sketch of half of their words, which makes two of the one.
 
 Whether a set goes needs one earlier match and not all of them. So every set is compared
 first with the best of the few that stand just before it in three of its lists; only sets
@@ -32,6 +33,8 @@ SPACES = "\x20\x09\x0B\x0C\x0D"
 COUNTERS, EVERY = 1 << 16, 32
 # The bits of a word's hash that the index keeps.
 KEPT = 0x7FFFFFFF
+# Sets of more words have sketches of twice as many bits.
+LONG = 90
 # What tells a line apart, in the order of lines.
 LINE = ("id", "row", "place")
 
@@ -63,10 +66,14 @@ class Settings:
         n, m = n.cast("long"), m.cast("long")
         return (n * 100 >= m * self.percent) & (m * 100 >= n * self.percent)
 
-    def close(self, x: Column, y: Column, n: Column, m: Column) -> Column:
-        """Whether the sketches of two sets of n and m words allow that they are alike."""
-        n, m = n.cast("long"), m.cast("long")
-        return F.bit_count(x.bitwiseXOR(y)) * (100 + self.percent) <= (n + m) * (100 - self.percent)
+    def close(self, one: str, other: str) -> Column:
+        """Whether the sketches of two sets allow that they are alike; the halves tell if both have them."""
+        n, m = (F.col(f"{k}.n").cast("long") for k in (one, other))
+        apart, half = (F.col(f"{one}.{c}").bitwiseXOR(F.col(f"{other}.{c}")) for c in ("sketch", "half"))
+        most = (n + m) * (100 - self.percent)
+        whole = F.bit_count(apart) * (100 + self.percent) <= most
+        halves = (F.bit_count(half) + F.bit_count(apart.bitwiseXOR(half))) * (100 + self.percent) <= most
+        return whole & F.coalesce(halves, F.lit(True))
 
     def alone(self, n: Column) -> Column:
         """Whether sets of n words are too small to be alike to any but their equals."""
@@ -132,6 +139,12 @@ def sketch(hashed: Column) -> Column:
     return F.aggregate(hashed, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(bit(w)))
 
 
+def half_sketch(hashed: Column) -> Column:
+    """The sketch of the words in one half of all; null for short sets."""
+    half = F.filter(hashed, lambda w: w.bitwiseAND(F.lit(1 << 57)) != 0)
+    return F.when(F.size(hashed) > LONG, sketch(half))
+
+
 def near_candidates(sets: DataFrame, settings: Settings) -> DataFrame:
     """(a, b): for each set b the closest of the few before it in three of its lists, if any may be alike.
 
@@ -139,16 +152,15 @@ def near_candidates(sets: DataFrame, settings: Settings) -> DataFrame:
     near copies share at least one of them mostly, and what they share is not a frequent word.
     """
     own = F.array(F.element_at("prefix", -1), F.array_min("prefix"), F.array_max("prefix"))
-    told = sets.filter(F.size("prefix") > 0).select("number", "n", "sketch", F.posexplode(own).alias("kind", "word"))
-    before = Window.partitionBy("kind", "word").orderBy("number")
-    one = F.struct("number", "n", "sketch")
-    few = F.array(*(F.lag(one, k).over(before) for k in range(1, settings.near + 1)))
-    met = told.select(F.col("number").alias("b"), "n", "sketch", few.alias("few"))
-    met = met.filter(F.col("few")[0].isNotNull()).select("b", "n", "sketch", F.explode("few").alias("a"))
-    n, m = F.col("a.n"), F.col("n")
-    met = met.filter(settings.fits(n, m) & settings.close(F.col("a.sketch"), F.col("sketch"), n, m))
-    apart = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("sketch")))
-    best = met.groupBy("b").agg(F.min(F.struct(apart.alias("apart"), F.col("a.number").alias("a"))).alias("best"))
+    told = sets.filter(F.size("prefix") > 0)
+    told = told.select(F.struct("number", "n", "sketch", "half").alias("b"), F.posexplode(own).alias("kind", "word"))
+    before = Window.partitionBy("kind", "word").orderBy("b.number")
+    few = F.array(*(F.lag("b", k).over(before) for k in range(1, settings.near + 1)))
+    met = told.select("b", few.alias("few"))
+    met = met.filter(F.col("few")[0].isNotNull()).select("b", F.explode("few").alias("a"))
+    met = met.filter(settings.fits(F.col("a.n"), F.col("b.n")) & settings.close("a", "b"))
+    apart = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch")))
+    best = met.groupBy(F.col("b.number").alias("b")).agg(F.min(F.struct(apart.alias("apart"), F.col("a.number").alias("a"))).alias("best"))
     return best.select(F.col("best.a").alias("a"), "b")
 
 
@@ -164,13 +176,13 @@ def all_candidates(sets: DataFrame, gone: DataFrame, settings: Settings) -> Data
     over = gone.withColumn("gone", F.lit(True))
     told = sets.filter(F.size("prefix") > 0).join(over, "number", "left")
     indexed = told.select(
-        (F.col("number") * 2 + F.when(F.col("gone"), 0).otherwise(1)).alias("set"), "n", "sketch",
+        (F.col("number") * 2 + F.when(F.col("gone"), 0).otherwise(1)).alias("set"), "n", "sketch", "half",
         F.explode("prefix").alias("word"),
     )
     a, b = indexed.alias("a"), indexed.alias("b")
     number, n, m = F.shiftright("b.set", 1), F.col("a.n"), F.col("b.n")
     earlier = F.shiftright("a.set", 1) < number * F.col("b.set").bitwiseAND(F.lit(1))
-    fits = settings.close(F.col("a.sketch"), F.col("b.sketch"), n, m) & settings.fits(n, m)
+    fits = settings.fits(n, m) & settings.close("a", "b")
     met = a.join(b, (F.col("a.word") == F.col("b.word")) & earlier & fits)
     pairs = met.groupBy(F.shiftright("a.set", 1).alias("a"), number.alias("b")).agg(
         F.count(F.lit(1)).alias("shared"), F.max(n).alias("n"), F.max(m).alias("m")
@@ -221,14 +233,15 @@ def later_matches(
     told = cut.select(*LINE, hashes(F.col("line")).alias("hashed"))
     # Sets are equal when the 64-bit hashes of their words are.
     whole = F.xxhash64(n, F.sort_array("hashed")).alias("set")
-    told = told.select(*LINE, whole, n.alias("n"), sketch(hashed).alias("sketch"), ordered(hashed, levels).alias("words"))
+    sketches = sketch(hashed).alias("sketch"), half_sketch(hashed).alias("half")
+    told = told.select(*LINE, whole, n.alias("n"), *sketches, ordered(hashed, levels).alias("words"))
     n = F.col("n")
     begin = F.slice("words", 1, F.when(settings.alone(n), 0).otherwise(settings.prefix(n)))
     prefix = F.transform(begin, lambda w: w.bitwiseAND(F.lit(KEPT)).cast("int")).alias("prefix")
-    told = stored(spark, told.select(*LINE, "set", "n", "sketch", prefix), "lines")
+    told = stored(spark, told.select(*LINE, "set", "n", "sketch", "half", prefix), "lines")
     sets = told.filter("n > 0").groupBy("set").agg(
         F.min(F.struct(*LINE)).alias("first"), F.count(F.lit(1)).alias("uses"),
-        *(F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")),
+        *(F.any_value(c).alias(c) for c in ("n", "sketch", "half", "prefix")),
     )
     sets = stored(spark, sets, "sets")
     # Their beginnings are in the sets from here on; what is written and done with goes at once.

@@ -343,3 +343,24 @@ def test_line_dedup_keeps_only_what_its_result_reads(spark, tmp_path):
     assert line_dedup.removed_places(docs).filter("n_removed > 0").count() == 5
     left = {name.partition("-")[0] for name in set(os.listdir(shared_root(spark))) - before}
     assert left == {"places", "judged"}
+
+
+def test_lines_of_the_same_few_words_do_not_meet(spark, monkeypatch):
+    """Short and long lines that share many words and are not alike: few pairs, no words kept."""
+    draw, kept = random.Random(6), {}
+    write = line_dedup.stored
+
+    def watched(session, df, name):
+        found = write(session, df, name)
+        kept.setdefault(name, []).append((found.count(), found.columns))
+        return found
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    few, many = [f"a{k}" for k in range(60)], [f"b{k}" for k in range(400)]
+    lines = [draw.sample(few, 20) for _ in range(300)] + [draw.sample(many, 160) for _ in range(150)]
+    lines += [[*line[1:], "other"] for line in lines[::30]]
+    rows = [(k, " ".join(line)) for k, line in enumerate(lines)]
+    found = line_dedup.later_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["id"], r["place"]) for r in found} == expected_removed(rows) and len(found) >= 15
+    assert sum(n for name in ("near", "rest") for n, _ in kept[name]) < len(lines) / 4
+    assert all("words" not in columns for name in ("lines", "sets", "numbered") for _, columns in kept[name])
