@@ -28,9 +28,8 @@ from factloom.session import discard
 
 # White space inside a line.
 SPACES = "\x20\x09\x0B\x0C\x0D"
-# Word frequencies are estimated by hash, in this many counters, from every so many-th line. They
-# order the words, which decides the cost and not the result.
-COUNTERS, EVERY = 1 << 16, 32
+# Word frequencies are counted by hash, in this many counters.
+COUNTERS = 1 << 16
 # The bits of a word's hash that the index keeps.
 KEPT = 0x7FFFFFFF
 # Sets of more words have sketches of twice as many bits.
@@ -106,12 +105,8 @@ def hashes(line: Column) -> Column:
 
 def rarity(cut: DataFrame) -> Column:
     """By the last 16 bits of a word's hash, how often words that have them occur: a level in the
-    upper bits of a long, so that it leads when the hash is added.
-
-    Any order gives the same result, so some of the lines do for the estimate.
-    """
-    some = cut.filter(F.pmod(F.xxhash64("row", "place"), F.lit(EVERY)) == 0)
-    counts = some.select(F.explode(hashes(F.col("line"))).alias("word")).groupBy(
+    upper bits of a long, so that it leads when the hash is added."""
+    counts = cut.select(F.explode(hashes(F.col("line"))).alias("word")).groupBy(
         F.col("word").bitwiseAND(F.lit(COUNTERS - 1)).alias("at")
     )
     counted = {r.at: r.n for r in counts.agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -228,7 +223,7 @@ def later_matches(
     spark = docs.sparkSession
     cut = lines(docs, key, text)
     levels = rarity(cut)
-    # The one pass over all words: what is left of them are the sets and their beginnings.
+    # The second pass over all words: what is left of them are the sets and their beginnings.
     hashed, n = F.col("hashed"), F.size("hashed")
     told = cut.select(*LINE, hashes(F.col("line")).alias("hashed"))
     # Sets are equal when the 64-bit hashes of their words are.
